@@ -13,25 +13,27 @@ from lectern.operators.numbering import in_first
 GRAM = 3
 
 
-def _grams(text, width: int):
-    """All substrings of ``width`` characters, empty for a shorter text."""
-    return F.when(
-        F.length(text) >= width,
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(text) - width + 1, F.lit(1))),
-            lambda i: F.substring(text, i, F.lit(width)),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+def _grams(text: str, width: int) -> str:
+    """SQL for all substrings of ``width`` characters; a shorter text has none."""
+    starts = f"sequence(1, greatest(length({text}) - {width - 1}, 1))"
+    return f"filter(transform({starts}, i -> substring({text}, i, {width})), g -> length(g) = {width})"
 
 
-def _pattern_grams(folded):
-    """Grams every matching topic must hold: from the literal runs of a pattern, longest width first."""
-    runs = F.split(folded, "[%_]")
-    by_width = [F.flatten(F.transform(runs, lambda r, w=w: _grams(r, w))) for w in range(GRAM, 0, -1)]
-    chosen = F.array(F.lit(""))
-    for grams in reversed(by_width):
-        chosen = F.when(F.size(grams) > 0, grams).otherwise(chosen)
-    return F.array_distinct(chosen)
+def _all_grams(text: str) -> str:
+    """SQL for the empty gram and all grams of a text up to the widest."""
+    return f"array_distinct(concat(array(''), {', '.join(_grams(text, w) for w in range(1, GRAM + 1))}))"
+
+
+def _pattern_grams(pattern: str) -> str:
+    """SQL for the grams that every match must hold: those of the widest width found in a literal run,
+    or the empty gram for a pattern of wildcards."""
+    runs = f"split({pattern}, '[%_]')"
+    longest = f"array_max(transform({runs}, r -> length(r)))"
+    cases = " ".join(
+        f"WHEN {longest} >= {w} THEN array_distinct(flatten(transform({runs}, r -> {_grams('r', w)})))"
+        for w in range(GRAM, 0, -1)
+    )
+    return f"CASE {cases} ELSE array('') END"
 
 
 def lookup_many(content: DataFrame, queries: DataFrame, as_of: Instant, k: int = V.LATEST_ENTRIES) -> DataFrame:
@@ -47,9 +49,7 @@ def lookup_many(content: DataFrame, queries: DataFrame, as_of: Instant, k: int =
     topics = heads.select("topic").distinct().withColumn("_folded", fold(F.col("topic")))
     topic_grams = topics.select(
         "topic", "_folded",
-        F.explode(F.array_distinct(F.concat(
-            F.array(F.lit("")), *[_grams(F.col("_folded"), w) for w in range(1, GRAM + 1)],
-        ))).alias("_gram"),
+        F.explode(F.expr(_all_grams("_folded"))).alias("_gram"),
     )
     patterns = queries.select("query").distinct().select(
         "query",
@@ -58,7 +58,7 @@ def lookup_many(content: DataFrame, queries: DataFrame, as_of: Instant, k: int =
     distinct = patterns.select("_text").distinct()
     frequency = topic_grams.groupBy("_gram").agg(F.count("*").alias("_topics"))
     rarest = (
-        distinct.select("_text", F.explode(_pattern_grams(F.col("_text"))).alias("_gram"))
+        distinct.select("_text", F.explode(F.expr(_pattern_grams("_text"))).alias("_gram"))
         .join(frequency, "_gram")
         .groupBy("_text").agg(F.min_by("_gram", F.struct("_topics", "_gram")).alias("_gram"))
     )

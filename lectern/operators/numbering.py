@@ -31,18 +31,20 @@ def positions_by_block(
     Rows are ranked inside (group, block of the integer range), so no task ever holds more than one
     block; the running totals that link the blocks are taken over one small row per block.
     """
-    keyed = df.withColumn("_block", F.floor(F.col(order_col) / block))
-    group = list(keys)
+    group, block_of = list(keys), [*keys, "_block"]
+    inside = Window.partitionBy(*block_of)
+    ranked = df.withColumn("_block", F.floor(F.col(order_col) / block)).withColumns({
+        "_rank": F.row_number().over(inside.orderBy(order_col)),
+        "_rows": F.count("*").over(inside),
+    })
+    # The links come from the first row of each block, so both sides read the same shuffle.
     earlier = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    links = (
-        keyed.groupBy(*group, "_block").agg(F.count("*").alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .withColumn("_all", F.sum("_rows").over(Window.partitionBy(*group)))
-        .drop("_rows")
+    links = ranked.filter(F.col("_rank") == 1).select(
+        *block_of,
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_rows").over(Window.partitionBy(*group)).alias("_all"),
     )
-    inside = Window.partitionBy(*group, "_block").orderBy(order_col)
-    ranked = keyed.withColumn("_rank", F.row_number().over(inside))
-    joined = ranked.join(links, [*group, "_block"]).withColumn(out, F.col("_before") + F.col("_rank"))
+    joined = ranked.drop("_rows").join(links, block_of).withColumn(out, F.col("_before") + F.col("_rank"))
     if total:
         joined = joined.withColumn(total, F.col("_all"))
     return joined.drop("_block", "_rank", "_before", "_all")

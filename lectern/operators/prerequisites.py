@@ -2,35 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lectern.session import stage
+from lectern.session import scratch_path, stage
 
 
-def _peel(edges: DataFrame, before: str, after: str, label: str):
-    """Remove, round by round, the nodes with nothing left before them.
+def _observed_write(df: DataFrame, path: str, amount) -> int:
+    """Write and return the sum of ``amount`` over the rows, taken along the way."""
+    seen = Observation()
+    df.observe(seen, F.coalesce(F.sum(amount), F.lit(0)).alias("total")).drop("_edges").write.parquet(path)
+    return seen.get["total"]
 
-    Returns the (node, level) table of removed nodes and the edges that never went away. Every round
-    is written, so the plan does not grow with the depth; the rounds equal the longest path.
+
+class _Peeling:
+    """Rounds that free the nodes whose last open predecessor was freed in the round before.
+
+    ``levels`` is a written table (node, level), one folder per round, so plans stay flat and a lost
+    executor costs one round. Rounds scan the open edges; these are rewritten whenever half are gone.
     """
-    nodes = edges.select(F.col(before).alias("node")).unionByName(edges.select(F.col(after).alias("node"))).distinct()
-    waiting = edges.select(F.col(after).alias("node")).distinct()
-    ready = stage(nodes.join(waiting, "node", "left_anti").withColumn("level", F.lit(0)), label)
-    levels, left, level = ready, edges, 0
-    while not ready.isEmpty():
-        done = ready.select(F.col("node").alias(before), F.lit(True).alias("_done"))
-        marked = stage(left.join(done, before, "left").withColumn("_done", F.col("_done").isNotNull()), label)
-        left = marked.filter(~F.col("_done")).select(before, after)
-        freed = marked.filter("_done").select(F.col(after).alias("node")).distinct()
-        level += 1
-        ready = stage(
-            freed.join(left.select(F.col(after).alias("node")).distinct(), "node", "left_anti")
-            .withColumn("level", F.lit(level)),
-            label,
-        )
-        levels = levels.unionByName(ready)
-    return levels, left
+
+    def __init__(self, edges: DataFrame, n_edges: int):
+        self.spark = edges.sparkSession
+        self.open, self.n_open, self.n_stored = edges, n_edges, n_edges
+        self.root = scratch_path(self.spark, "levels")
+        self.node_type = edges.schema["before"].dataType.simpleString()
+        self.level = self.compacted_at = 0
+
+    def levels(self) -> DataFrame:
+        return self.spark.read.schema(f"node {self.node_type}, level int").option("basePath", self.root).parquet(self.root)
+
+    def _marked(self) -> DataFrame:
+        """Open edges with the level of their predecessor, if it was freed since the last rewrite."""
+        freed = self.levels().filter(F.col("level") >= self.compacted_at)
+        return self.open.join(freed, F.col("before") == F.col("node"), "left")
+
+    def run(self) -> None:
+        starts = self.open.select("before").distinct().join(
+            self.open.select(F.col("after").alias("before")).distinct(), "before", "left_anti")
+        found = _observed_write(starts.select(F.col("before").alias("node")), f"{self.root}/level=0", F.lit(1))
+        while found and self.n_open:
+            nodes = self._marked().groupBy(F.col("after").alias("node")).agg(
+                F.count("*").alias("_edges"), F.count("level").alias("_met"), F.max("level").alias("_last"))
+            freed = nodes.filter((F.col("_edges") == F.col("_met")) & (F.col("_last") == self.level))
+            self.level += 1
+            found = _observed_write(freed.drop("_met", "_last"), f"{self.root}/level={self.level}", F.col("_edges"))
+            self.n_open -= found
+            if self.n_open and 2 * self.n_open < self.n_stored:
+                self._compact()
+
+    def _compact(self) -> None:
+        """Keep the edges of nodes not freed yet, less those an older round has met."""
+        unmet = self._marked().filter(F.col("level").isNull() | (F.col("level") >= self.level))
+        done = self.levels().select(F.col("node").alias("after"))
+        kept = unmet.select("before", "after").join(done, "after", "left_anti")
+        path = scratch_path(self.spark, "open-edges")
+        self.n_open = self.n_stored = _observed_write(kept, path, F.lit(1))
+        self.open, self.compacted_at = self.spark.read.schema(kept.schema).parquet(path), self.level
+
+    def stuck(self) -> DataFrame:
+        """Edges between two nodes that no round freed."""
+        return self._marked().filter(F.col("level").isNull()).select("before", "after")
 
 
 def prerequisite_levels(edges: DataFrame) -> DataFrame:
@@ -39,17 +71,22 @@ def prerequisite_levels(edges: DataFrame) -> DataFrame:
     The level is the longest chain of prerequisites. Topics of a cycle, or between two cycles, have
     status ``cycle`` and no level; topics behind one have status ``blocked``.
     """
-    pairs = stage(edges.select("prerequisite", "topic").distinct(), "prerequisites")
-    levels, stuck = _peel(pairs, "prerequisite", "topic", "levels")
-    ordered = levels.select(F.col("node").alias("topic"), "level", F.lit("ordered").alias("status"))
-    if stuck.isEmpty():
+    pairs = stage(edges.select(F.col("prerequisite").alias("before"), F.col("topic").alias("after")).distinct(), "pairs")
+    forward = _Peeling(pairs, pairs.count())
+    forward.run()
+    ordered = forward.levels().select(F.col("node").alias("topic"), "level", F.lit("ordered").alias("status"))
+    if not forward.n_open:
         return ordered
-    # Only edges between two stuck topics remain after the first pass; peel those from the far end.
-    _, cyclic = _peel(stuck, "topic", "prerequisite", "cycles")
-    in_cycle = cyclic.select(F.col("topic")).unionByName(cyclic.select(F.col("prerequisite").alias("topic"))).distinct()
-    held = stuck.select(F.col("topic")).unionByName(stuck.select(F.col("prerequisite").alias("topic"))).distinct()
-    flagged = held.join(in_cycle.withColumn("_cycle", F.lit(True)), "topic", "left")
-    return ordered.unionByName(flagged.select(
+    stuck = stage(forward.stuck(), "stuck")
+    backward = _Peeling(stuck.select(F.col("after").alias("before"), F.col("before").alias("after")), stuck.count())
+    backward.run()
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("before").alias("topic")).unionByName(
+            pairs.select(F.col("after").alias("topic"))).distinct()
+
+    in_cycle = ends(backward.stuck()).withColumn("_cycle", F.lit(True))
+    return ordered.unionByName(ends(stuck).join(in_cycle, "topic", "left").select(
         "topic", F.lit(None).cast("int").alias("level"),
         F.when(F.col("_cycle"), "cycle").otherwise("blocked").alias("status"),
     ))

@@ -22,10 +22,12 @@ class Tables:
         return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
 
 
-def _dates(id_col: str):
-    fetched = F.lit(DAY_ZERO).cast("timestamp_ntz") + F.make_dt_interval((F.col(id_col) % 60).cast("int"))
-    expires = F.when(F.col(id_col) % 11 != 0, fetched + F.make_dt_interval(F.lit(30)))
-    return fetched.alias("fetched_at"), expires.alias("expires_at")
+def _dates(id_col: str) -> list[str]:
+    fetched = f"TIMESTAMP_NTZ '{DAY_ZERO}' + make_dt_interval(CAST({id_col} % 60 AS INT))"
+    return [
+        f"{fetched} AS fetched_at",
+        f"CASE WHEN {id_col} % 11 <> 0 THEN {fetched} + INTERVAL 30 DAYS END AS expires_at",
+    ]
 
 
 def _dates_sql(id_col: str) -> str:
@@ -36,12 +38,10 @@ def _dates_sql(id_col: str) -> str:
 # --- store tables -----------------------------------------------------------------------------
 
 def content(t: Tables) -> DataFrame:
-    return t.documents.select(
-        F.col("doc_id").alias("entry_id"), F.col("source").alias("topic"),
-        F.when(F.col("doc_id") % 7 != 0, F.col("lang")).alias("subject"),
-        F.concat(F.lit("https://example.org/d/"), F.col("doc_id").cast("string")).alias("url"),
-        F.col("text").alias("body"), F.lit("web").alias("source_type"), *_dates("doc_id"),
-        F.lit(None).cast("string").alias("tags"),
+    return t.documents.selectExpr(
+        "doc_id AS entry_id", "source AS topic", "CASE WHEN doc_id % 7 <> 0 THEN lang END AS subject",
+        "'https://example.org/d/' || doc_id AS url", "text AS body", "'web' AS source_type", *_dates("doc_id"),
+        "CAST(NULL AS STRING) AS tags",
     )
 
 
@@ -53,13 +53,11 @@ CONTENT = f"""content AS (
 
 
 def problems_from(part: DataFrame) -> DataFrame:
-    size = F.col("p_size")
-    return part.select(
-        F.col("p_partkey").alias("problem_id"), F.col("p_name").alias("topic"), F.col("p_type").alias("subject"),
-        F.when(size <= 17, "Easy").when(size <= 34, "Medium").otherwise("Hard").alias("difficulty"),
-        F.col("p_brand").alias("source"),
-        F.concat(F.col("p_name"), F.lit(" #"), F.col("p_partkey").cast("string")).alias("problem"),
-        F.lit(None).cast("string").alias("solution"), F.lit(None).cast("string").alias("url"), *_dates("p_partkey"),
+    return part.selectExpr(
+        "p_partkey AS problem_id", "p_name AS topic", "p_type AS subject",
+        "CASE WHEN p_size <= 17 THEN 'Easy' WHEN p_size <= 34 THEN 'Medium' ELSE 'Hard' END AS difficulty",
+        "p_brand AS source", "p_name || ' #' || p_partkey AS problem", "CAST(NULL AS STRING) AS solution",
+        "CAST(NULL AS STRING) AS url", *_dates("p_partkey"),
     )
 
 
@@ -76,24 +74,19 @@ PROBLEMS = f"""problems AS (
 
 
 def sessions(t: Tables) -> DataFrame:
-    return t.events.select(
-        F.col("event_id").alias("session_id"), F.col("event_type").alias("topic"), "user_id",
-        F.col("ts").alias("started_at"), F.lit(0).alias("checkpoint"))
+    return t.events.selectExpr(
+        "event_id AS session_id", "event_type AS topic", "user_id", "ts AS started_at", "0 AS checkpoint")
 
 
 # --- curriculum -------------------------------------------------------------------------------
 
 def syllabus(t: Tables) -> DataFrame:
-    def pick(col, values):
-        return F.element_at(F.array(*map(F.lit, values)), (col % len(values)).cast("int") + 1)
-
-    key = F.col("p_partkey").cast("string")
-    return t.part.select(
-        F.col("p_type").alias("subject"), F.col("p_brand").alias("section"),
-        F.concat(F.lit("topic "), key).alias("topic"), (F.col("p_size") % 6 + 1).cast("int").alias("weight_pct"),
-        pick(F.col("p_size"), ["Low", "Medium", "High", "Very High"]).alias("advanced"),
-        pick(F.col("p_partkey"), ["CRITICAL", "HIGH", "MEDIUM", "LOW"]).alias("tier"),
-        F.col("p_name").alias("notes"),
+    return t.part.selectExpr(
+        "p_type AS subject", "p_brand AS section", "'topic ' || p_partkey AS topic",
+        "CAST(p_size % 6 + 1 AS INT) AS weight_pct",
+        "element_at(array('Low', 'Medium', 'High', 'Very High'), p_size % 4 + 1) AS advanced",
+        "element_at(array('CRITICAL', 'HIGH', 'MEDIUM', 'LOW'), CAST(p_partkey % 4 AS INT) + 1) AS tier",
+        "p_name AS notes",
     )
 
 
@@ -108,9 +101,9 @@ SYLLABUS = """syllabus AS (
 def section_totals(t: Tables) -> DataFrame:
     """Declared ranges around the real sums; sections of the brand with number 25 are declared too low."""
     sums = syllabus(t).groupBy("subject", "section").agg(F.sum("weight_pct").alias("s"))
-    slack = F.when(F.col("section") == "Brand#25", -1).otherwise(2)
-    return sums.select(
-        "subject", "section", F.greatest(F.col("s") - 2, F.lit(0)).cast("int").alias("lo_pct"), (F.col("s") + slack).cast("int").alias("hi_pct"))
+    return sums.selectExpr(
+        "subject", "section", "CAST(greatest(s - 2, 0) AS INT) AS lo_pct",
+        "CAST(s + IF(section = 'Brand#25', -1, 2) AS INT) AS hi_pct")
 
 
 SECTION_TOTALS = """section_totals AS (
@@ -122,8 +115,7 @@ SECTION_TOTALS = """section_totals AS (
 # --- decks ------------------------------------------------------------------------------------
 
 def slides(t: Tables) -> DataFrame:
-    return t.conversations.select(
-        F.col("conv_id").alias("deck"), (F.col("turn") + 1).cast("int").alias("slide_no"), "text", "role")
+    return t.conversations.selectExpr("conv_id AS deck", "CAST(turn + 1 AS INT) AS slide_no", "text", "role")
 
 
 SLIDES = """slides AS (
@@ -150,8 +142,7 @@ SMALL_DECKS = """decks AS (
 
 def written_large_pages(t: Tables) -> DataFrame:
     """Pages said to be written already: one per customer balance."""
-    page = (F.floor(F.abs("c_acctbal")) % 1000 + 1).cast("int")
-    return t.customer.select(F.col("c_nationkey").alias("deck"), page.alias("page"))
+    return t.customer.selectExpr("c_nationkey AS deck", "CAST(floor(abs(c_acctbal)) % 1000 + 1 AS INT) AS page")
 
 
 WRITTEN_LARGE = """written AS (
@@ -217,9 +208,7 @@ SKIP = ["annt", "enst", "reed", "reor", "reat", "anor"]
 
 
 def pages_with_module(t: Tables) -> DataFrame:
-    return t.documents.select(
-        F.col("source").alias("module"), F.concat("source", F.lit("-"), "lang").alias("deck"),
-        F.col("doc_id").alias("slide_no"), "text")
+    return t.documents.selectExpr("source AS module", "source || '-' || lang AS deck", "doc_id AS slide_no", "text")
 
 
 def _list_sql(values: list[str]) -> str:
