@@ -6,12 +6,17 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern import fixed_values as V
+import lectern
+from lectern.fixed_values import ERROR_CHARS, MAX_ATTEMPTS, MAX_SPLIT_DEPTH, RATE_LIMIT_MARKERS
 from lectern.session import shuffle_width, stage
 
+# Executors need not have this package: what runs there travels with the task.
+cloudpickle.register_pickle_by_value(lectern)
+
 
 @dataclass(frozen=True)
 class Extractor:
@@ -30,7 +35,7 @@ def _worth_retrying(extractor: Extractor, message: str) -> bool:
     if extractor.retry == "any":
         return True
     lowered = message.lower()
-    return any(marker in lowered for marker in V.RATE_LIMIT_MARKERS)
+    return any(marker in lowered for marker in RATE_LIMIT_MARKERS)
 
 
 def _first_success(extractors: Sequence[Extractor], pages: list[int], refs: list[str], attempts: int):
@@ -46,7 +51,7 @@ def _first_success(extractors: Sequence[Extractor], pages: list[int], refs: list
             except TimeoutError:
                 return "timeout", None, extractor.name, f"timeout in {extractor.name}"
             except Exception as exc:  # a failing callable must not end the job
-                error = (str(exc) or type(exc).__name__)[: V.ERROR_CHARS]
+                error = (str(exc) or type(exc).__name__)[: ERROR_CHARS]
                 if attempt + 1 == attempts or not _worth_retrying(extractor, error):
                     break
     return "error", None, None, error
@@ -71,7 +76,7 @@ def _halves(pieces: DataFrame) -> DataFrame:
     }).drop("_s")
 
 
-def split_plan(chunks: DataFrame, depth: int = V.MAX_SPLIT_DEPTH) -> DataFrame:
+def split_plan(chunks: DataFrame, depth: int = MAX_SPLIT_DEPTH) -> DataFrame:
     """Pieces of each chunk if every try timed out: halved ``depth`` times, single pages left whole."""
     pieces = chunks.withColumn("path", F.lit(""))
     for _ in range(depth):
@@ -80,8 +85,8 @@ def split_plan(chunks: DataFrame, depth: int = V.MAX_SPLIT_DEPTH) -> DataFrame:
 
 
 def apply_with_fallback(
-    chunks: DataFrame, extractors: Sequence[Extractor], max_rounds: int = V.MAX_SPLIT_DEPTH,
-    attempts: int = V.MAX_ATTEMPTS,
+    chunks: DataFrame, extractors: Sequence[Extractor], max_rounds: int = MAX_SPLIT_DEPTH,
+    attempts: int = MAX_ATTEMPTS,
 ) -> DataFrame:
     """Run the extractors over (deck, chunk, pages, refs); one result row per chunk.
 
@@ -145,7 +150,7 @@ def apply_isolated(items: DataFrame, fn: Callable[[dict], str], item_col: str =
                 try:
                     rows.append((row[item_col], "converted", fn(row), None))
                 except Exception as exc:  # the failure is the result of this item
-                    rows.append((row[item_col], "failed", None, str(exc)[: V.ERROR_CHARS]))
+                    rows.append((row[item_col], "failed", None, str(exc)[: ERROR_CHARS]))
             yield pd.DataFrame(rows, columns=["item", "status", "output", "error"])
 
     return items.mapInPandas(run, f"item {item_type}, status string, output string, error string")

@@ -15,7 +15,7 @@ LINES_PER_BLOCK = 4096
 def guide_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, pos, line) of one or many guide files."""
     return (
-        spark.read.option("wholetext", True).text(path)
+        spark.read.text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("pos", "line"))
     )
 
