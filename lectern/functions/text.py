@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Sequence
 
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 
 from lectern import fixed_values as V
 
-WORD_BREAK = "[^a-z]+"
 LETTER_BREAK = "[^A-Za-z]+"
 
 
@@ -61,6 +61,22 @@ def is_rate_limited(message: Column, markers: Sequence[str] = V.RATE_LIMIT_MARKE
     return contains_any(F.lower(message), markers)
 
 
-def words(col: Column) -> Column:
-    """Lower-case words, split at anything but a-z (the same in every regex dialect)."""
-    return F.split(F.lower(col), WORD_BREAK)
+def _word_pattern(terms: Sequence[str]) -> str:
+    """Any of the terms as a whole run of a-z. A plain word boundary would treat accents differently
+    from one regex dialect to the next."""
+    return "[^a-z](" + "|".join(re.escape(t) for t in terms) + ")(?=[^a-z])"
+
+
+def scannable(col: Column) -> Column:
+    """Lower-case text with a blank at both ends, which the word tests below expect."""
+    return F.concat(F.lit(" "), F.lower(col), F.lit(" "))
+
+
+def has_word(scanned: Column, terms: Sequence[str]) -> Column:
+    """Whether any of the lower-case terms is a word of the text; one scan, no word list is built."""
+    return scanned.rlike(_word_pattern(terms)) if terms else F.lit(False)
+
+
+def words_found(scanned: Column, terms: Sequence[str]) -> Column:
+    """The terms that are words of the text, each once."""
+    return F.array_distinct(F.regexp_extract_all(scanned, F.lit(_word_pattern(terms)), F.lit(1)))

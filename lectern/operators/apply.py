@@ -139,7 +139,8 @@ def apply_with_fallback(
 def apply_isolated(items: DataFrame, fn: Callable[[dict], str], item_col: str = "item") -> DataFrame:
     """Run ``fn`` on each row; an exception becomes a failed row and the others go on.
 
-    Write the result out before using it twice, or Spark may run ``fn`` again.
+    The items are spread over the cluster first, as ``fn`` is taken to be slow. Write the result out
+    before using it twice, or Spark may run ``fn`` again.
     """
     item_type = items.schema[item_col].dataType.simpleString()
 
@@ -153,4 +154,5 @@ def apply_isolated(items: DataFrame, fn: Callable[[dict], str], item_col: str =
                     rows.append((row[item_col], "failed", None, str(exc)[: ERROR_CHARS]))
             yield pd.DataFrame(rows, columns=["item", "status", "output", "error"])
 
-    return items.mapInPandas(run, f"item {item_type}, status string, output string, error string")
+    spread = items.repartition(shuffle_width(items.sparkSession), item_col)
+    return spread.mapInPandas(run, f"item {item_type}, status string, output string, error string")

@@ -47,10 +47,22 @@ def top_topics(syllabus: DataFrame, k: int = V.TOP_TOPICS) -> DataFrame:
     return in_first(syllabus, ["subject"], [F.col("weight_pct").desc(), F.col("topic").asc()], k)
 
 
-def study_order(syllabus: DataFrame) -> DataFrame:
-    """Place of each topic within its subject: tier, then weight, then name."""
+def named_order(order: DataFrame, aliases: DataFrame) -> DataFrame:
+    """A guide's phase lists (phase, subject, pos, label) as topics. Labels are short names, so they are
+    looked up in ``aliases`` (subject, label, topic); a label may stand for several topics."""
+    return order.join(aliases, ["subject", "label"]).select("subject", "topic", "phase", F.col("pos").alias("phase_pos"))
+
+
+def study_order(syllabus: DataFrame, explicit: DataFrame | None = None) -> DataFrame:
+    """Place of each topic within its subject: tier, then weight, then name. Topics of an explicit order
+    (see ``named_order``) come first, as listed."""
     order = [tier_rank(F.col("tier")).asc(), F.col("weight_pct").desc(), F.col("topic").asc()]
-    return positions(syllabus, ["subject"], order)
+    if explicit is None:
+        return positions(syllabus, ["subject"], order)
+    first = explicit.groupBy("subject", "topic").agg(F.min(F.struct("phase", "phase_pos")).alias("_listed"))
+    listed = syllabus.join(first, ["subject", "topic"], "left")
+    ranked = positions(listed, ["subject"], [F.col("_listed").asc_nulls_last(), *order])
+    return ranked.withColumn("phase", F.col("_listed.phase")).drop("_listed")
 
 
 def _block(weeks: int) -> Column:
@@ -95,15 +107,16 @@ def best_source(content: DataFrame, source_rank: Column | DataFrame | None = Non
     ``source_rank`` is a table (host, rank), a column over ``host``, or the fixed order.
     """
     hosted = content.withColumn("host", url_host(F.col("url")))
+    newest = [F.col("fetched_at").desc(), F.col("entry_id").desc()]
     if isinstance(source_rank, DataFrame):
-        last = F.lit(2**31 - 1)
+        # One entry per (topic, host) can win, so a busy host is cut down before the join.
+        candidates = in_first(hosted, ["topic", "host"], newest, 1, "_place").drop("_place")
         ranks = source_rank.select("host", F.col("rank").cast("int").alias("source_rank"))
-        ranked = hosted.join(ranks, "host", "left").withColumn(
-            "source_rank", F.coalesce(F.col("source_rank"), last))
+        ranked = candidates.join(ranks, "host", "left").withColumn(
+            "source_rank", F.coalesce(F.col("source_rank"), F.lit(2**31 - 1)))
     else:
         ranked = hosted.withColumn("source_rank", ranked_sources() if source_rank is None else source_rank)
-    order = [F.col("source_rank").asc(), F.col("fetched_at").desc(), F.col("entry_id").desc()]
-    return in_first(ranked, ["topic"], order, 1, "_place").drop("_place")
+    return in_first(ranked, ["topic"], [F.col("source_rank").asc(), *newest], 1, "_place").drop("_place")
 
 
 def search_queries(topics: DataFrame, templates: Sequence[str] = V.SEARCH_TEMPLATES) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from lectern import fixed_values as V
 from lectern.functions import extraction as X
@@ -48,18 +49,52 @@ def remaining_pages(requested: DataFrame, existing: DataFrame) -> DataFrame:
 def plan_chunks(
     pages: DataFrame, min_chunks: int = V.MIN_CHUNKS, max_pages: int = V.MAX_PAGES_PER_CHUNK,
 ) -> DataFrame:
-    """Cut each deck's pages into consecutive chunks; arrays hold at most ``max_pages`` entries."""
-    numbered = positions_by_block(pages.select("deck", "page"), ["deck"], "page", total="_pages")
-    size = X.chunk_size(F.col("_pages"), min_chunks, max_pages)
+    """Cut each deck's pages into consecutive chunks of at most ``max_pages``.
+
+    Pages are gathered per (deck, page block), so a row never holds more than one block; the blocks of
+    a deck are linked by their sizes alone. Only chunks that cross a block border are put together in
+    another shuffle.
+    """
+    blocks = (
+        pages.select("deck", F.col("page").cast("int").alias("page"), F.expr(f"page div {PAGES_PER_BLOCK}").alias("_block"))
+        .filter("deck IS NOT NULL AND page IS NOT NULL AND _block IS NOT NULL")
+        .groupBy("deck", "_block").agg(F.sort_array(F.collect_set("page")).alias("_held"))
+    )
+    earlier = Window.partitionBy("deck").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    all_pages = F.sum("_n").over(Window.partitionBy("deck"))
+    links = (
+        blocks.select("deck", "_block", F.size("_held").alias("_n"))
+        .withColumns({"_from": F.coalesce(F.sum("_n").over(earlier), F.lit(0)), "_all": all_pages})
+        .select("deck", "_block", "_from", (F.col("_from") + F.col("_n")).alias("_to"), "_all",
+                X.chunk_size(F.col("_all"), min_chunks, max_pages).alias("_size"))
+    )
+    linked = blocks.join(links, ["deck", "_block"])
+    whole = _chunk_pieces(linked).filter("size(pages) = expected")
+    border = linked.filter("_from % _size <> 0 OR (_to % _size <> 0 AND _to < _all)")
+    joined = (
+        _chunk_pieces(border).filter("size(pages) < expected")
+        .groupBy("deck", "chunk").agg(F.flatten(F.sort_array(F.collect_list("pages"))).alias("pages"))
+    )
     return (
-        numbered.withColumn("chunk", (F.floor((F.col("pos") - 1) / size) + 1).cast("int"))
-        .groupBy("deck", "chunk")
-        .agg(F.sort_array(F.collect_list("page")).alias("pages"))
+        whole.select("deck", "chunk", "pages").unionByName(joined)
         .withColumn("n_pages", F.size("pages"))
         .withColumn("budget_seconds", X.time_budget(F.col("n_pages")))
     )
 
 
+def _chunk_pieces(linked: DataFrame) -> DataFrame:
+    """The part of each chunk that lies in a block. Chunk c holds the pages from c * size on, counted
+    over the deck from 0; a block holds those from ``_from`` up to ``_to``."""
+    pieces = F.expr("""
+        transform(sequence(_from div _size, (_to - 1) div _size), c -> struct(
+            CAST(c + 1 AS INT) AS chunk,
+            slice(_held, CAST(greatest(c * _size - _from, 0) + 1 AS INT),
+                  CAST(least((c + 1) * _size, _to) - greatest(c * _size, _from) AS INT)) AS pages,
+            CAST(least((c + 1) * _size, _all) - c * _size AS INT) AS expected))
+    """)
+    return linked.select("deck", F.inline(pieces))
+
+
 def with_prompts(chunks: DataFrame, ref_prefix: str = "slide_", ref_suffix: str = ".png") -> DataFrame:
     """Add both prompt texts; page images are named by zero-padded page number."""
     refs = F.transform(

@@ -46,7 +46,7 @@ def lookup_many(content: DataFrame, queries: DataFrame, as_of: Instant, k: int =
     """
     newest = [F.col("fetched_at").desc(), F.col("entry_id").desc()]
     heads = in_first(live(content, as_of), ["topic"], newest, k, "_place").drop("_place")
-    topics = heads.select("topic").distinct().withColumn("_folded", fold(F.col("topic")))
+    topics = live(content, as_of).select("topic").distinct().withColumn("_folded", fold(F.col("topic")))
     topic_grams = topics.select(
         "topic", "_folded",
         F.explode(F.expr(_all_grams("_folded"))).alias("_gram"),

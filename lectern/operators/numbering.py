@@ -29,11 +29,15 @@ def positions_by_block(
     """Number the rows of each group by an integer column that is unique in the group.
 
     Rows are ranked inside (group, block of the integer range), so no task ever holds more than one
-    block; the running totals that link the blocks are taken over one small row per block.
+    block; the running totals that link the blocks are taken over one small row per block. Keys and
+    order are required columns: they hold no NULL.
     """
     group, block_of = list(keys), [*keys, "_block"]
     inside = Window.partitionBy(*block_of)
-    ranked = df.withColumn("_block", F.floor(F.col(order_col) / block)).withColumns({
+    blocked = df.withColumn("_block", F.expr(f"`{order_col}` div {block}"))
+    # The filter drops nothing; it keeps the join below from adding one to a single side only, which
+    # would make the two shuffles differ.
+    ranked = blocked.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in block_of)).withColumns({
         "_rank": F.row_number().over(inside.orderBy(order_col)),
         "_rows": F.count("*").over(inside),
     })

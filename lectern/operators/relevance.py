@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern import fixed_values as V
-from lectern.functions.text import LETTER_BREAK, strip, words
+from lectern.functions.text import LETTER_BREAK, has_word, scannable, strip, words_found
 from lectern.operators.numbering import in_first, positions
 from lectern.session import stage
 
@@ -18,22 +18,17 @@ def tag_relevance(
 ) -> DataFrame:
     """Add ``verdict`` and ``reason``. An include term wins over a skip term; a page that only repeats
     the title of its module (column ``module_title``, if there) is skipped; the rest is included."""
-    include, skip = F.array(*map(F.lit, include_terms)), F.array(*map(F.lit, skip_terms))
-    tagged = slides.withColumn("_words", words(F.col("text")))
-    include_hit, skip_hit = F.arrays_overlap("_words", include), F.arrays_overlap("_words", skip)
     if "module_title" in slides.columns:
         title_only = F.coalesce(strip(F.col("text")) == strip(F.col("module_title")), F.lit(False))
     else:
         title_only = F.lit(False)
     reason = (
-        F.when(title_only, "title only").when(include_hit, "include term").when(skip_hit, "skip term")
-        .otherwise("default")
-    )
-    return (
-        tagged.withColumn("reason", reason)
-        .withColumn("verdict", F.when(F.col("reason").isin("title only", "skip term"), "skip").otherwise("include"))
-        .drop("_words")
+        F.when(title_only, "title only").when(has_word(F.col("_scanned"), include_terms), "include term")
+        .when(has_word(F.col("_scanned"), skip_terms), "skip term").otherwise("default")
     )
+    scanned = slides.withColumn("_scanned", scannable(F.col("text"))).withColumn("reason", reason).drop("_scanned")
+    return scanned.withColumn(
+        "verdict", F.when(F.col("reason").isin("title only", "skip term"), "skip").otherwise("include"))
 
 
 def course_map(tagged: DataFrame) -> DataFrame:
@@ -66,9 +61,9 @@ def module_files(tagged: DataFrame) -> DataFrame:
 
 def module_key_topics(tagged: DataFrame, terms: Sequence[str] = V.INCLUDE_TERMS) -> DataFrame:
     """Terms found on the included pages of each module, with the pages they are on."""
-    found = F.array_intersect(words(F.col("text")), F.array(*map(F.lit, terms)))
     return (
-        tagged.filter(F.col("verdict") == "include").select("module", F.explode(found).alias("key_topic"))
+        tagged.filter(F.col("verdict") == "include")
+        .select("module", F.explode(words_found(scannable(F.col("text")), terms)).alias("key_topic"))
         .groupBy("module", "key_topic").agg(F.count("*").alias("pages"))
     )
 
@@ -85,9 +80,9 @@ def head_per_deck(slides: DataFrame, k: int = V.SAMPLE_PAGES) -> DataFrame:
 
 def first_uses(slides: DataFrame, known: Sequence[str] = V.COMMON_ABBREVIATIONS) -> DataFrame:
     """Where each all-capitals word of a course comes first: (course, token, deck, slide_no, position)."""
-    tokens = slides.select(
+    tokens = slides.filter(F.col("text").rlike("[A-Z]{2}")).select(
         "course", "deck", "slide_no",
         F.posexplode(F.split("text", LETTER_BREAK)).alias("position", "token"),
-    ).filter(F.col("token").rlike("^[A-Z]{2,}$") & ~F.col("token").isin(list(known)))
+    ).filter((F.length("token") >= 2) & (F.col("token") == F.upper("token")) & ~F.col("token").isin(list(known)))
     first = F.min(F.struct("deck", "slide_no", "position")).alias("first")
     return tokens.groupBy("course", "token").agg(first).select("course", "token", "first.*")

@@ -69,16 +69,16 @@ SELECT CAST(n_nationkey % 4 + 1 AS INTEGER) AS phase, c_mktsegment AS subject, i
        [c_name, 'Part (' || n_name || ' → ' || c_custkey || ')', n_name][i] AS label
 FROM customer JOIN nation ON n_nationkey = c_nationkey, (SELECT unnest([1, 2, 3]) AS i)""")
 def load_guide_order(t):
-    """Three lines per customer: phase heading, subject line with a sub-list, blank."""
+    """One file per market segment with four lines per customer, one of them a list with a sub-list."""
     rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     key = F.col("c_custkey").cast("string")
     listed = F.concat(
         F.lit("**"), "c_mktsegment", F.lit(":** "), "c_name", F.lit(" → Part ("), "n_name", F.lit(" → "), key,
         F.lit(") → "), "n_name")
     phase = F.concat(F.lit("### Phase "), (F.col("n_nationkey") % 4 + 1).cast("string"), F.lit(" — part"))
-    lines = rows.select("c_custkey", F.posexplode(F.array(F.lit("## Order"), phase, listed, F.lit(""))).alias("i", "line"))
+    lines = rows.select("c_mktsegment", "c_custkey", F.posexplode(F.array(F.lit("## Order"), phase, listed, F.lit(""))).alias("i", "line"))
     return guide.parse_study_order(lines.select(
-        F.lit("guide").alias("file"), (F.col("c_custkey") * 4 + F.col("i")).alias("pos"), "line")).drop("file")
+        F.col("c_mktsegment").alias("file"), (F.col("c_custkey") * 4 + F.col("i")).alias("pos"), "line")).drop("file")
 
 
 @query("arrow_lists", """

@@ -95,6 +95,14 @@ def test_roadmap_and_orders(spark):
         U.roadmap(topics, "other")
 
 
+def test_explicit_order(spark):
+    topics = syllabus(spark, [("alpha", 3, "Low", "CRITICAL"), ("beta", 5, "Low", "LOW"), ("gamma", 1, "Low", "LOW")])
+    lists = spark.createDataFrame([(2, "S", 1, "A"), (1, "S", 2, "G"), (1, "S", 1, "?")], schemas.STUDY_ORDER)
+    aliases = spark.createDataFrame([("S", "A", "alpha"), ("S", "G", "gamma")], "subject string, label string, topic string")
+    ordered = U.study_order(topics, U.named_order(lists, aliases))
+    assert tuples(ordered.select("pos", "topic", "phase")) == [(1, "gamma", 1), (2, "alpha", 2), (3, "beta", None)]
+
+
 def test_importance(spark):
     topics = syllabus(spark, [("a", 3, "Low", "LOW")])
     asked = spark.createDataFrame([("a",), ("z",)], "topic string")
