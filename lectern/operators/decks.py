@@ -207,7 +207,7 @@ def index_lines(slides: DataFrame, index: DataFrame) -> DataFrame:
 def drop_decks(slides: DataFrame, decks: Sequence | DataFrame | None = None) -> DataFrame:
     """Slides left after clearing the named decks, or all of them."""
     if decks is None:
-        return slides.limit(0)
+        return slides.filter(F.lit(False))
     if isinstance(decks, DataFrame):
         return slides.join(decks.select("deck").distinct(), "deck", "left_anti")
     return slides.filter(~F.col("deck").isin(list(decks)))
@@ -251,5 +251,6 @@ def run_listing(results: DataFrame) -> DataFrame:
     good = F.col("status") == "converted"
     return results.select(
         F.when(good, "converted").otherwise("failed").alias("section"),
-        F.when(good, F.col("output")).otherwise(F.concat_ws(": ", F.col("item").cast("string"), F.col("error"))).alias("line"),
+        F.when(good, F.col("output"))
+        .otherwise(F.concat_ws(": ", F.col("item").cast("string"), F.col("error"))).alias("line"),
     ).orderBy("section", "line")

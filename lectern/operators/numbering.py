@@ -15,13 +15,6 @@ ROWS_PER_TASK = 500_000
 _SLOT_BITS = 33  # monotonically_increasing_id keeps the row count of a partition in its low 33 bits
 
 
-def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    match = F.lit(True)
-    for c in columns:
-        match = match & left[c].eqNullSafe(right[c])
-    return match
-
-
 def positions_by_block(
     df: DataFrame, keys: Sequence[str], order_col: str, out: str = "pos", total: str | None = None,
     block: int = BLOCK,

@@ -369,28 +369,29 @@ def uncovered_counts(t):
 
 @query("prerequisite_levels", """
 WITH RECURSIVE levels(topic, level) AS (
-  SELECT p_partkey, 0 FROM part WHERE p_partkey = 1 UNION ALL
-  SELECT p_partkey, level + 1 FROM levels JOIN part ON p_partkey // 2 = topic AND p_partkey > 1)
+  SELECT p_partkey, 0 FROM part WHERE p_partkey = 0 UNION ALL
+  SELECT p_partkey, level + 1 FROM levels JOIN part ON p_partkey // 2 = topic AND p_partkey > 0)
 SELECT topic, CAST(level AS INTEGER) AS level, 'ordered' AS status FROM levels""")
 def prerequisite_levels_of_parts(t):
-    """Part n needs part n // 2."""
-    key = F.col("p_partkey")
-    return prerequisite_levels(t.part.filter(key > 1).select(
-        F.floor(key / 2).alias("prerequisite"), key.alias("topic")))
+    """Part n needs part n // 2; part 0 needs none."""
+    return prerequisite_levels(_halving(t))
+
+
+def _halving(t):
+    return t.part.filter("p_partkey > 0").selectExpr("p_partkey div 2 AS prerequisite", "p_partkey AS topic")
 
 
 @query("prerequisite_cycles", """
 WITH RECURSIVE below(topic) AS (
   SELECT CAST(2 AS BIGINT) UNION
-  SELECT p_partkey FROM below JOIN part ON p_partkey // 2 = topic AND p_partkey > 1)
+  SELECT p_partkey FROM below JOIN part ON p_partkey // 2 = topic AND p_partkey > 0)
 SELECT p_partkey AS topic,
-       CASE WHEN p_partkey IN (SELECT topic FROM below) THEN NULL ELSE CAST(floor(log2(p_partkey)) AS INTEGER) END AS level,
+       CASE WHEN p_partkey IN (SELECT topic FROM below) THEN NULL WHEN p_partkey = 0 THEN 0
+            ELSE CAST(floor(log2(greatest(p_partkey, 1))) AS INTEGER) + 1 END AS level,
        CASE WHEN p_partkey IN (2, 4, 9) THEN 'cycle' WHEN p_partkey IN (SELECT topic FROM below) THEN 'blocked'
             ELSE 'ordered' END AS status
-FROM part WHERE p_partkey > 0""")
+FROM part""")
 def prerequisite_cycles(t):
     """The same with part 2 also needing part 9, which closes the loop 2, 4, 9."""
-    key = F.col("p_partkey")
-    pairs = t.part.filter(key > 1).select(F.floor(key / 2).alias("prerequisite"), key.alias("topic"))
-    back = t.part.filter(key == 2).select(F.lit(9).cast("long").alias("prerequisite"), key.alias("topic"))
-    return prerequisite_levels(pairs.unionByName(back))
+    back = t.part.filter("p_partkey = 2").selectExpr("CAST(9 AS BIGINT) AS prerequisite", "p_partkey AS topic")
+    return prerequisite_levels(_halving(t).unionByName(back))

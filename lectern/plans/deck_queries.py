@@ -83,7 +83,7 @@ def pending_conversions(t):
 
 @query("existing_slides", """
 WITH named AS (
-  SELECT conv_id AS deck, CASE role WHEN 'user' THEN 'slide_' || lpad(CAST(turn + 1 AS VARCHAR), 4, '0') || '.md'
+  SELECT conv_id AS deck, CASE role WHEN 'user' THEN 'slide_' || lpad(CAST(turn + 1 AS VARCHAR), CAST(greatest(4, length(CAST(turn + 1 AS VARCHAR))) AS INTEGER), '0') || '.md'
          WHEN 'assistant' THEN 'slide_' || (turn + 1) || '.md' ELSE 'slide_' || role || '.md' END AS name FROM conversations)
 SELECT DISTINCT deck, CAST(regexp_extract(name, '^slide_(\\d+)\\.md$', 1) AS INTEGER) AS page
 FROM named WHERE regexp_matches(name, '^slide_(\\d+)\\.md$')""")
@@ -98,7 +98,7 @@ def existing_slides(t):
 
 
 @query("write_slides", with_sql(SLIDES, body="""
-SELECT deck, slide_no, 'slide_' || lpad(CAST(slide_no AS VARCHAR), 4, '0') || '.md' AS file_name,
+SELECT deck, slide_no, 'slide_' || lpad(CAST(slide_no AS VARCHAR), CAST(greatest(4, length(CAST(slide_no AS VARCHAR))) AS INTEGER), '0') || '.md' AS file_name,
        '## Slide ' || slide_no || chr(10) || chr(10) || text AS markdown FROM slides"""))
 def write_slides(t):
     spark = t.conversations.sparkSession
@@ -256,7 +256,7 @@ SELECT deck, i AS line_no, ['# Extracted: ' || deck, '- Total pages: ' || total_
        '- Slides extracted: ' || n_extracted, '', '## Slide Index'][i] AS line
 FROM index_rows, (SELECT unnest(generate_series(1, 7)) AS i) UNION ALL
 SELECT deck, 7 + row_number() OVER (PARTITION BY deck ORDER BY slide_no),
-       '- slide_' || lpad(CAST(slide_no AS VARCHAR), 4, '0') || '.md — Slide ' || slide_no FROM done"""))
+       '- slide_' || lpad(CAST(slide_no AS VARCHAR), CAST(greatest(4, length(CAST(slide_no AS VARCHAR))) AS INTEGER), '0') || '.md — Slide ' || slide_no FROM done"""))
 def deck_index_lines(t):
     return D.index_lines(_written(t), D.build_index(_written(t), _meta(t)))
 

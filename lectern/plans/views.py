@@ -16,10 +16,12 @@ class Tables:
     """``Tables(spark, folder).documents`` and so on, each read from its Parquet file."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder = spark, folder
+        self._spark, self._folder, self._read = spark, folder, {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._read[name]
 
 
 def _dates(id_col: str) -> list[str]:

@@ -23,7 +23,6 @@ def build_session(app: str = "lectern", cores: str = "*", shuffle_partitions: in
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Call-site capture costs several gateway calls per column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.driver.memory", os.environ.get("LECTERN_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )

@@ -39,9 +39,9 @@ def existing_slides(files: DataFrame) -> DataFrame:
 
 
 def render_slides(slides: DataFrame) -> DataFrame:
-    """File name and Markdown text of each slide."""
+    """File name, text and Markdown of each slide."""
     return slides.select(
-        "deck", "slide_no", P.slide_file(F.col("slide_no")).alias("file_name"),
+        "deck", "slide_no", P.slide_file(F.col("slide_no")).alias("file_name"), "text",
         P.slide_markdown(F.col("slide_no"), F.col("text")).alias("markdown"),
     )
 
@@ -60,6 +60,12 @@ def read_slides(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("bucket")
 
 
+def has_slides(spark: SparkSession, path: str) -> bool:
+    """Whether anything was ever written to ``path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
+
+
 def written_pages(spark: SparkSession, path: str) -> DataFrame:
     """(deck, page) of written slides; reads the two key columns only."""
     return read_slides(spark, path).select("deck", F.col("slide_no").alias("page")).distinct()

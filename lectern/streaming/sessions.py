@@ -8,6 +8,8 @@ from pyspark.sql import Window
 
 from lectern.streaming.ingest import event_time
 
+MERGE_LOCALLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
 
 def session_rollup(events: DataFrame, gap_minutes: int, user: str = "user_id", time: str = "started_at") -> DataFrame:
     """(user, session_start, session_end, entries) for a whole log.
@@ -38,16 +40,25 @@ def session_rollup(events: DataFrame, gap_minutes: int, user: str = "user_id", t
 
 def session_stream(events: DataFrame, out: str, checkpoint: str, gap_minutes: int, delay: str = "10 minutes",
                    user: str = "user_id", time: str = "started_at") -> None:
-    """The same over a stream; a session is written once the watermark has passed its end."""
+    """The same over a stream; a session is written once the watermark has passed its end.
+
+    Entries are merged before the shuffle, so a busy user sends sessions and not entries.
+    """
     timed = event_time(events, time).withWatermark(time, delay)
     sessions = timed.groupBy(
         F.col(user), F.session_window(F.col(time), f"{gap_minutes} minutes").alias("w"),
     ).agg(F.count("*").alias("entries"))
-    query = (
-        sessions.select(
-            user, F.col("w.start").cast("timestamp_ntz").alias("session_start"),
-            F.col("w.end").cast("timestamp_ntz").alias("session_end"), "entries")
-        .writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    conf = events.sparkSession.conf
+    before = conf.get(MERGE_LOCALLY)
+    conf.set(MERGE_LOCALLY, "true")
+    try:
+        query = (
+            sessions.select(
+                user, F.col("w.start").cast("timestamp_ntz").alias("session_start"),
+                F.col("w.end").cast("timestamp_ntz").alias("session_end"), "entries")
+            .writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    finally:
+        conf.set(MERGE_LOCALLY, before)

@@ -40,6 +40,8 @@ def test_query_matches_sql(spark, data, duck, name):
     expected = [tuple(_plain(r[names.index(c)]) for c in columns) for r in cursor.fetchall()]
     assert sorted(names) == columns
     assert sorted(rows, key=repr) == sorted(expected, key=repr)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     assert {c: SAME_TYPE[t] for c, t in df.dtypes} == types
 
 
