@@ -27,7 +27,7 @@ def extract_decks(
     spark = decks.sparkSession
     wanted = D.select_pages(decks, start, end)
     todo = D.remaining_pages(wanted, S.written_pages(spark, out)) if S.has_slides(spark, out) else wanted
-    chunks = stage(D.plan_chunks(todo), "chunks").withColumn(
+    chunks = stage(D.plan_chunks(todo), "plan").withColumn(
         "refs", F.transform("pages", lambda p: F.concat(F.col("deck").cast("string"), F.lit("#"), p.cast("string"))))
     tried = A.apply_with_fallback(chunks, extractors)
     outcome = stage(chunks.select("deck", "chunk", "pages").join(tried, ["deck", "chunk"]), "responses")

@@ -93,8 +93,8 @@ def apply_with_fallback(
     Each round is written before it is used, so no callable runs twice for a finished round. A
     timeout ends the try and the piece is halved for the next round, up to ``max_rounds`` times.
     """
-    spark = chunks.sparkSession
-    shape = chunks.select("deck", "chunk", "pages", "refs", F.lit("").alias("path"))
+    width = shuffle_width(chunks.sparkSession)
+    shape = stage(chunks.select("deck", "chunk", "pages", "refs", F.lit("").alias("path")), "chunks")
     names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in shape.schema)
     result_schema = f"{names}, status string, text string, extractor string, error string"
     tried = list(extractors)
@@ -109,15 +109,16 @@ def apply_with_fallback(
                 batch[name] = pd.Series([r[i] for r in results], index=batch.index, dtype=object)
             yield batch
 
-    pending, settled = shape, None
+    pending, n_pending, settled = shape, shape.count(), None
     for depth in range(max_rounds + 1):
-        spread = pending.repartition(shuffle_width(spark), "deck", "chunk", "path")
+        spread = pending.repartition(max(1, min(width, n_pending)), "deck", "chunk", "path")
         outcome = stage(spread.mapInPandas(run, result_schema), "extracted")
         splittable = (F.col("status") == "timeout") & (F.size("pages") > 1) & F.lit(depth < max_rounds)
         final = outcome.filter(~splittable).drop("pages", "refs")
         settled = final if settled is None else settled.unionByName(final)
-        pending = _halves(outcome.filter(splittable).select(*shape.columns))
-        if pending.isEmpty():
+        timed_out = outcome.filter(splittable).select(*shape.columns)
+        pending, n_pending = _halves(timed_out), 2 * timed_out.count()
+        if not n_pending:
             break
 
     by_path = F.sort_array(F.collect_list(F.struct("path", "text", "extractor")))

@@ -193,9 +193,11 @@ def best_source(t):
     return U.best_source(entries, ranks).select("topic", "host", "source_rank", "entry_id")
 
 
-@query("search_queries", with_sql(PROBLEMS, body="""
-SELECT topic, i - 1 AS template_no, topic || [' JEE Mains explained site:ncert.nic.in OR site:khanacademy.org',
-       ' IIT JEE concepts and solved problems', ' JEE Advanced previous year questions'][i] AS search_text
+_SEARCHES = ", ".join("'" + text + "'" for text in K.SEARCH_TEMPLATES)
+
+
+@query("search_queries", with_sql(PROBLEMS, body=f"""
+SELECT topic, i - 1 AS template_no, replace([{_SEARCHES}][i], '{{topic}}', topic) AS search_text
 FROM (SELECT DISTINCT topic FROM problems), (SELECT unnest([1, 2, 3]) AS i)"""))
 def search_queries(t):
     return U.search_queries(V.problems(t).select("topic").distinct())

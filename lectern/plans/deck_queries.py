@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from lectern import fixed_values as K
@@ -150,12 +152,22 @@ def chunk_plan(t):
 
 _REF = "'slide_' || CASE WHEN x < 10000 THEN lpad(CAST(x AS VARCHAR), 4, '0') ELSE CAST(x AS VARCHAR) END || '.png'"
 _NUMBERS = "array_to_string(pages, ', ')"
-_RULES = "replace('" + K.EXTRACTION_RULES.replace("'", "''") + f"', '{{numbers}}', {_NUMBERS})"
-_INLINE = f"""'These are ' || n_pages || ' lecture slides (slides ' || {_NUMBERS} || '): ' ||
-  array_to_string([('@' || {_REF}) FOR x IN pages], ' ') || ' ' || {_RULES}"""
-_LISTED = f"""'Read the following image files in order — they are academic lecture slides:' || chr(10) ||
-  array_to_string([('- ' || {_REF} || '  (this is Slide ' || x || ')') FOR x IN pages], chr(10)) || chr(10) || chr(10) ||
-  {_RULES}"""
+
+
+def _filled_sql(template: str, **values: str) -> str:
+    """SQL for a template with each ``{name}`` replaced by an expression."""
+    parts = re.split(r"\{(\w+)\}", template)
+    quoted = ["'" + part.replace("'", "''") + "'" if i % 2 == 0 else f"({values[part]})" for i, part in enumerate(parts)]
+    return " || ".join(quoted)
+
+
+_RULES = _filled_sql(K.EXTRACTION_RULES, numbers=_NUMBERS)
+_INLINE = _filled_sql(
+    K.INLINE_PROMPT + "{rules}", count="n_pages", numbers=_NUMBERS,
+    files=f"array_to_string([('@' || {_REF}) FOR x IN pages], ' ')", rules=_RULES)
+_LISTED = _filled_sql(
+    K.LISTED_PROMPT + "{rules}", rules=_RULES,
+    files=f"array_to_string([('- ' || {_REF} || '  (this is Slide ' || x || ')') FOR x IN pages], chr(10))")
 
 
 @query("prompts", with_sql(REMAINING_LARGE, chunks_sql("todo"), body=f"""
@@ -203,8 +215,7 @@ filled AS (
   SELECT deck, slide_no,
          CASE WHEN kept AND role <> 'system' THEN trim(text, {SQL_STRIP})
               WHEN slide_no = first_no THEN trim(raw_text, {SQL_STRIP})
-              ELSE '[Extracted as part of batch with slides ' || first_no || '-' || last_no || '. See slide ' ||
-                   first_no || ' for full batch text if parsing failed.]' END AS text,
+              ELSE {_filled_sql(K.PLACEHOLDER, first="first_no", last="last_no")} END AS text,
          CASE WHEN kept AND role <> 'system' THEN 'section' WHEN slide_no = first_no THEN 'whole' ELSE 'placeholder' END
          AS origin, chunk
   FROM parts JOIN raw USING (deck, chunk))"""
