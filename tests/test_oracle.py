@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lectern.plans.registry import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
@@ -27,7 +28,7 @@ def _plain(value):
     return value.isoformat() if isinstance(value, dt.datetime) else value
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, data, duck, name):
     df = entry.queries()[name](spark, data)
     columns = sorted(df.columns)
