@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import (
-    attention_quality, merge_dropout, simhash_golay, winnow_decontaminate,
+    attention_quality, consensus_extract, merge_dropout, simhash_golay, warc_segments, winnow_decontaminate,
 )
+from lectern.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -69,6 +70,32 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+_BASE32 = " || ".join(
+    f"lpad(to_base(CAST('0x' || substr(h, {10 * i + 1}, 10) AS BIGINT), 32), 8, '0')" for i in range(4))
+
+
+@query("op5_warc_segments", f"""
+WITH page AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+keyed AS (
+  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+         translate({_BASE32}, '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+         max(page_id) OVER (PARTITION BY html) AS last
+  FROM page)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM keyed""")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    pages, archives = table(spark, folder, "pages"), scratch_path(spark, "warc")
+    warc_segments.write_archives(pages, archives)
+    records = warc_segments.read_records(spark, archives, payloads=False)
+    return warc_segments.page_records(records, pages.schema["page_id"].dataType.simpleString())
+
+
+@query("op7_consensus_extract")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return consensus_extract.extract_pages(table(spark, folder, "pages"))
+
+
 @query("op9_merge_dropout")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return merge_dropout.encoding_digests(table(spark, folder, "documents"))
