@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import attention_quality, merge_dropout, simhash_golay, winnow_decontaminate
+from lectern.llm import attention_quality, line_dedup, merge_dropout, simhash_golay, winnow_decontaminate
 from lectern.llm.common import stored
 
 
@@ -13,6 +13,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return attention_quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier one matches; ``n_chars`` follows the text."""
+    return line_dedup.remove_later_lines(docs, length_col="n_chars")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest document of each group of linked fingerprints."""
     return simhash_golay.keep_one_per_group(docs)
@@ -30,6 +35,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", quality),
+    ("line dedup", lines),
     ("SimHash near-dedup", near_duplicates),
     ("benchmark decontamination", decontaminate),
     ("SentencePiece encoding", tokens),

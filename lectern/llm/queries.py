@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import (
-    attention_quality, consensus_extract, merge_dropout, simhash_golay, warc_segments, winnow_decontaminate,
+    attention_quality, consensus_extract, itq_neardup, line_dedup, merge_dropout, simhash_golay, warc_segments,
+    winnow_decontaminate,
 )
 from lectern.session import scratch_path
 
@@ -91,11 +92,27 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return warc_segments.page_records(records, pages.schema["page_id"].dataType.simpleString())
 
 
+@query("op6_line_dedup")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    return docs.select("doc_id", F.coalesce(lines, F.lit(0)).cast("long").alias("n_lines")).join(
+        line_dedup.removed_by_document(docs), "doc_id", "left").select(
+        "doc_id", "n_lines", F.coalesce("n_compared", F.lit(0)).cast("long").alias("n_compared"),
+        F.coalesce(F.size("removed_lines"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.array_join("removed_lines", ","), F.lit("")).alias("removed_lines"))
+
+
 @query("op7_consensus_extract")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return consensus_extract.extract_pages(table(spark, folder, "pages"))
 
 
+@query("op8_itq_neardup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return itq_neardup.link_vectors(table(spark, folder, "embeddings"))
+
+
 @query("op9_merge_dropout")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return merge_dropout.encoding_digests(table(spark, folder, "documents"))
