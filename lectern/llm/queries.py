@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import (
-    attention_quality, consensus_extract, itq_neardup, line_dedup, merge_dropout, simhash_golay, warc_segments,
+    attention_quality, consensus_extract, disclosure_sanitise, itq_neardup, license_scan, line_dedup, merge_dropout, simhash_golay, warc_segments,
     winnow_decontaminate,
 )
 from lectern.session import scratch_path
@@ -44,6 +44,18 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return attention_quality.score_documents(docs, attention_quality.fit_model(docs, labels))
 
 
+@query("op2_license_scan", license_scan.duckdb_twin())
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents")).drop("stands")
+
+
+@query("op3_disclosure_sanitise")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = disclosure_sanitise.find_personal_data(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_list", 256).alias("base_sha256"),
+                        F.col("span_list").alias("spans"))
+
+
 @query("op4_winnow_decontaminate", f"""
 WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS.format('text')} AS ws FROM benchmark),
 gram AS (
