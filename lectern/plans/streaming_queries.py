@@ -6,21 +6,21 @@ from pyspark.sql import functions as F
 
 from lectern.plans import views as V
 from lectern.plans.registry import query
-from lectern.plans.views import AS_OF, PROBLEMS, with_sql
-from lectern.plans.store_queries import LIVE
+from lectern.plans.views import PROBLEMS, with_sql
 from lectern.session import scratch_path
 from lectern.streaming import ingest, sessions, shortfall
 
 GAP_MINUTES = 240
 
 SESSIONS = f"""gaps AS (
-  SELECT user_id, ts, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL {GAP_MINUTES} MINUTES, true)
+  SELECT user_id, ts, event_type, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL {GAP_MINUTES} MINUTES, true)
          AS opens FROM events),
 runs AS (
-  SELECT user_id, ts, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run
+  SELECT user_id, ts, event_type, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run
   FROM gaps),
 sessions AS (
-  SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL {GAP_MINUTES} MINUTES AS session_end, count(*) AS entries
+  SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL {GAP_MINUTES} MINUTES AS session_end, count(*) AS entries,
+         first(event_type ORDER BY ts, event_type) AS topic, count(DISTINCT event_type) AS topics
   FROM runs GROUP BY user_id, run)"""
 
 
@@ -36,25 +36,58 @@ def session_rollup(t):
 
 
 @query("session_stream", with_sql(SESSIONS, body="""
-SELECT * FROM sessions WHERE session_end <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTES"""))
+SELECT * EXCLUDE (topics) FROM sessions WHERE session_end <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTES"""))
 def session_stream(t):
     out, checkpoint = scratch_path(t._spark, "sessions"), scratch_path(t._spark, "sessions-checkpoint")
-    log = _stream(t, "events").select("user_id", F.col("ts").alias("started_at"))
+    log = _stream(t, "events").select("user_id", F.col("ts").alias("started_at"), F.col("event_type").alias("topic"))
     sessions.session_stream(log, out, checkpoint, GAP_MINUTES)
     return t._spark.read.parquet(out)
 
 
+def _in_files(df, label: str, parts: dict[str, str]) -> str:
+    """The rows as one folder of files per part (SQL conditions), in the order given."""
+    folder = scratch_path(df.sparkSession, label)
+    for name, condition in parts.items():
+        df.filter(condition).coalesce(1).write.parquet(f"{folder}/{name}")
+    return folder
+
+
 @query("ingest_stream", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def ingest_stream(t):
-    out, checkpoint = scratch_path(t._spark, "ingested"), scratch_path(t._spark, "ingest-checkpoint")
-    ingest.ingest_stream(_stream(t, "events"), out, checkpoint, "event_id", "ts")
-    return t._spark.read.parquet(out)
+    """The later half first, then the earlier half and repeats, then a rerun that finds a last file."""
+    spark, events = t._spark, t.events
+    parts = {"1-late": "event_id % 3 = 0 AND event_id % 2 = 0", "2-early": "event_id % 3 = 0", "3-middle": "event_id % 3 = 1"}
+    folder = _in_files(events, "events-in", parts)
+    out, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-checkpoint")
+
+    def run():
+        rows = ingest.read_files(spark, f"{folder}/*", events.schema, files_per_batch=1)
+        ingest.ingest_stream(rows, out, checkpoint, "event_id", "ts")
+
+    run()
+    events.filter("event_id % 3 <> 0").coalesce(1).write.parquet(f"{folder}/4-last")
+    run()
+    return ingest.ingested(spark, out, events.schema)
+
+
+LATER = "2024-03-01 00:00:00"
 
 
 @query("shortfall_stream", with_sql(PROBLEMS, body=f"""
-SELECT topic, available, greatest(300 - available, 0) AS to_fetch
-FROM (SELECT topic, count(*) AS available FROM problems WHERE {LIVE} GROUP BY topic)"""))
+SELECT topic, CAST(available AS BIGINT) AS available, greatest(300 - available, 0)::BIGINT AS to_fetch
+FROM (SELECT topic, count(*) FILTER (expires_at IS NULL OR expires_at > TIMESTAMP '{LATER}') AS available
+      FROM problems GROUP BY topic)"""))
 def shortfall_stream(t):
-    out, checkpoint = scratch_path(t._spark, "shortfall"), scratch_path(t._spark, "shortfall-checkpoint")
-    shortfall.shortfall_stream(V.problems_from(_stream(t, "part")), out, checkpoint, AS_OF)
-    return shortfall.shortfalls(t._spark, out, want=300)
+    """Three files in two runs; asked at an instant at which much has expired since it was counted."""
+    spark = t._spark
+    out, checkpoint = scratch_path(spark, "shortfall"), scratch_path(spark, "shortfall-checkpoint")
+    folder = _in_files(t.part, "parts-in", {"1": "p_partkey % 3 = 0", "2": "p_partkey % 3 = 1"})
+
+    def run():
+        rows = ingest.read_files(spark, f"{folder}/*", t.part.schema, files_per_batch=1)
+        shortfall.shortfall_stream(V.problems_from(rows), out, checkpoint)
+
+    run()
+    t.part.filter("p_partkey % 3 = 2").coalesce(1).write.parquet(f"{folder}/3")
+    run()
+    return shortfall.shortfalls(spark, out, LATER, want=300)

@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own_scratch: str | None = None
-
 
 def build_session(app: str = "lectern", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Local session for tests and the benchmark; a cluster brings its own."""
@@ -23,22 +20,41 @@ def build_session(app: str = "lectern", cores: str = "*", shuffle_partitions: in
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Call-site capture costs several gateway calls per column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.checkpoint.dir", os.environ.get("LECTERN_CHECKPOINT_DIR", "/tmp/lectern-scratch"))
         .config("spark.driver.memory", os.environ.get("LECTERN_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    global _own_scratch
+    """Shared folder named by ``spark.checkpoint.dir``; without one, a folder below the warehouse, which is shared too."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _own_scratch is None:
-        _own_scratch = tempfile.mkdtemp(prefix="lectern-")
-    return _own_scratch
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder, fs = _folder(spark, path)
+    return fs.exists(folder)
+
+
+def folder_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the finished folders ``prefix``N below ``path``, ascending."""
+    folder, fs = _folder(spark, path)
+    if not fs.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    done = [n for n in names if n.startswith(prefix) and path_exists(spark, f"{path}/{n}/_SUCCESS")]
+    return sorted(int(n[len(prefix):]) for n in done)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder, fs = _folder(spark, path)
+    fs.delete(folder, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

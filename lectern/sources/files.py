@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern import fixed_values as V
 from lectern.functions import paths as P
+from lectern.session import path_exists
 
 SLIDE_BUCKETS = 64
 
@@ -62,8 +63,7 @@ def read_slides(spark: SparkSession, path: str) -> DataFrame:
 
 def has_slides(spark: SparkSession, path: str) -> bool:
     """Whether anything was ever written to ``path``."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
+    return path_exists(spark, path)
 
 
 def written_pages(spark: SparkSession, path: str) -> DataFrame:

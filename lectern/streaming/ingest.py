@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.session import path_exists
+
 
 def read_files(spark: SparkSession, folder: str, schema: T.StructType, name_glob: str = "*.parquet",
                files_per_batch: int | None = None) -> DataFrame:
@@ -20,15 +22,37 @@ def event_time(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, F.col(col).cast("timestamp"))
 
 
-def ingest_stream(
-    rows: DataFrame, out: str, checkpoint: str, id_col: str, time_col: str, delay: str = "1 hour",
-) -> None:
-    """Append what is new to ``out`` and stop when nothing is left. A repeated id within the delay is
-    dropped; started again with the same checkpoint it takes only files it has not seen."""
-    fresh = event_time(rows, time_col).withWatermark(time_col, delay).dropDuplicatesWithinWatermark([id_col])
-    query = (
-        fresh.withColumn(time_col, F.col(time_col).cast("timestamp_ntz"))
-        .writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+def ingest_stream(rows: DataFrame, out: str, checkpoint: str, id_col: str, time_col: str) -> None:
+    """Append what is new to ``out`` and stop when nothing is left.
+
+    The file source takes each file once, also after a restart with the same checkpoint, and no row is too
+    late. An id that ``out`` holds already is not taken again; of a repeated id in one batch the earliest row
+    is. Rows without an id are all kept. Each batch writes its own folder, so a batch that is run again after
+    a failure replaces what it wrote.
+    """
+    spark = rows.sparkSession
+    id_type = rows.schema[id_col].dataType.simpleString()
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        named = batch.filter(F.col(id_col).isNotNull())
+        first = named.groupBy(id_col).agg(F.min(time_col).alias("_first"), F.count("*").alias("_rows"))
+        once = named.join(first.filter("_rows = 1").select(id_col), id_col, "left_semi").select(*batch.columns)
+        again = named.join(first.filter("_rows > 1").select(id_col, "_first"), id_col).filter(
+            F.col(time_col).eqNullSafe(F.col("_first"))).dropDuplicates([id_col]).select(*batch.columns)
+        fresh = once.unionByName(again)
+        if path_exists(spark, out):
+            held = spark.read.schema(f"`{id_col}` {id_type}, _batch long").option("basePath", out).parquet(out).filter(
+                F.col("_batch") != batch_id)
+            fresh = fresh.join(held.select(id_col), id_col, "left_anti").select(*batch.columns)
+        kept = fresh.unionByName(batch.filter(F.col(id_col).isNull()))
+        kept.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
+
+    query = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(add).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def ingested(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """What ``ingest_stream`` has written; empty if it never ran."""
+    if not path_exists(spark, out):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(out)

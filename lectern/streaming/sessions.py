@@ -11,8 +11,12 @@ from lectern.streaming.ingest import event_time
 MERGE_LOCALLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
-def session_rollup(events: DataFrame, gap_minutes: int, user: str = "user_id", time: str = "started_at") -> DataFrame:
-    """(user, session_start, session_end, entries) for a whole log.
+def session_rollup(events: DataFrame, gap_minutes: int, user: str = "user_id", time: str = "started_at",
+                   topic: str = "topic") -> DataFrame:
+    """(user, session_start, session_end, entries, topic, topics) for a whole log.
+
+    ``topic`` is that of the session's first entry (the smallest of several at that moment), ``topics`` how many
+    different ones it has.
 
     Entries in one time slot of the length of the gap are always in one session, so they are first
     summed per (user, slot); sessions are then chained over slots, of which a user has at most as many
@@ -20,9 +24,13 @@ def session_rollup(events: DataFrame, gap_minutes: int, user: str = "user_id", t
     """
     gap = gap_minutes * 60 * 1_000_000
     at = F.unix_micros(F.col(time).cast("timestamp"))
-    slots = events.select(F.col(user).alias("user"), at.alias("at")).groupBy(
-        "user", F.floor(F.col("at") / gap).alias("slot"),
-    ).agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.count("*").alias("n"))
+    timed = events.select(F.col(user).alias("user"), at.alias("at"), F.col(topic).alias("topic")).withColumn(
+        "slot", F.floor(F.col("at") / gap))
+    # Numbers only are reduced here, so rows are summed by hash before the shuffle.
+    per_topic = timed.groupBy("user", "slot", "topic").agg(
+        F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.count("*").alias("n"))
+    slots = per_topic.groupBy("user", "slot").agg(
+        F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), F.sum("n").alias("n"))
     in_order = Window.partitionBy("user").orderBy("slot")
     opens = F.coalesce(F.col("first_at") - F.lag("last_at").over(in_order) > gap, F.lit(True))
     chained = slots.withColumn("opens", opens.cast("int")).withColumn(
@@ -31,23 +39,27 @@ def session_rollup(events: DataFrame, gap_minutes: int, user: str = "user_id", t
     def moment(micros):
         return F.timestamp_micros(micros).cast("timestamp_ntz")
 
-    return chained.groupBy("user", "session").agg(
-        moment(F.min("first_at")).alias("session_start"),
-        moment(F.max("last_at") + gap).alias("session_end"),
-        F.sum("n").alias("entries"),
-    ).drop("session").withColumnRenamed("user", user)
+    sessions = chained.groupBy("user", "session").agg(
+        F.min("first_at").alias("start_at"), F.max("last_at").alias("end_at"), F.sum("n").alias("entries"))
+    topics = per_topic.join(chained.select("user", "slot", "session"), ["user", "slot"]).groupBy(
+        "user", "session", "topic").agg(F.min("first_at").alias("topic_at"))
+    opening = topics.groupBy("user", "session").agg(
+        F.min(F.struct("topic_at", "topic")).alias("first"), F.count("topic").alias("topics"))
+    return sessions.join(opening, ["user", "session"]).select(
+        F.col("user").alias(user), moment(F.col("start_at")).alias("session_start"),
+        moment(F.col("end_at") + gap).alias("session_end"), "entries", F.col("first.topic").alias("topic"), "topics")
 
 
 def session_stream(events: DataFrame, out: str, checkpoint: str, gap_minutes: int, delay: str = "10 minutes",
-                   user: str = "user_id", time: str = "started_at") -> None:
-    """The same over a stream; a session is written once the watermark has passed its end.
+                   user: str = "user_id", time: str = "started_at", topic: str = "topic") -> None:
+    """The same over a stream, without ``topics``; a session is written once the watermark has passed its end.
 
     Entries are merged before the shuffle, so a busy user sends sessions and not entries.
     """
     timed = event_time(events, time).withWatermark(time, delay)
     sessions = timed.groupBy(
         F.col(user), F.session_window(F.col(time), f"{gap_minutes} minutes").alias("w"),
-    ).agg(F.count("*").alias("entries"))
+    ).agg(F.count("*").alias("entries"), F.min(F.struct(time, topic)).alias("first"))
     conf = events.sparkSession.conf
     before = conf.get(MERGE_LOCALLY)
     conf.set(MERGE_LOCALLY, "true")
@@ -55,7 +67,8 @@ def session_stream(events: DataFrame, out: str, checkpoint: str, gap_minutes: in
         query = (
             sessions.select(
                 user, F.col("w.start").cast("timestamp_ntz").alias("session_start"),
-                F.col("w.end").cast("timestamp_ntz").alias("session_end"), "entries")
+                F.col("w.end").cast("timestamp_ntz").alias("session_end"), "entries",
+                F.col(f"first.{topic}").alias("topic"))
             .writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
             .outputMode("append").trigger(availableNow=True).start()
         )

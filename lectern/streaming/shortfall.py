@@ -1,4 +1,4 @@
-"""Running count of live problems per topic."""
+"""Running count of problems per topic and expiry, and what is missing at an instant."""
 
 from __future__ import annotations
 
@@ -6,15 +6,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import fixed_values as V
-from lectern.operators.content import Instant, live
+from lectern.operators.content import Instant, is_live
+from lectern.session import folder_numbers, remove_folder
 
+_COUNTED = "topic string, expires_at {0}, available long"
 
-def shortfall_stream(problems: DataFrame, out: str, checkpoint: str, as_of: Instant) -> None:
-    """Write each batch's changed counts as (topic, available, batch); a repeated batch replaces itself."""
-    counts = live(problems, as_of).groupBy("topic").agg(F.count("*").alias("available"))
+
+def _newest(out: str, numbers: list[int]) -> str | None:
+    return f"{out}/state={numbers[-1]}" if numbers else None
+
+
+def shortfall_stream(problems: DataFrame, out: str, checkpoint: str) -> None:
+    """Keep one row per (topic, expiry) with its number of problems, whatever its expiry.
+
+    Which of them are live is a question of the instant at which ``shortfalls`` is asked. Each batch writes the
+    whole table anew from the one before and the changed counts; the one before is kept until the next batch.
+    """
+    spark = problems.sparkSession
+    shape = _COUNTED.format(problems.schema["expires_at"].dataType.simpleString())
+    counts = problems.groupBy("topic", "expires_at").agg(F.count("*").alias("available"))
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        older = [n for n in folder_numbers(spark, out, "state=") if n < batch_id]
+        changed = batch.select("topic", "expires_at", "available")
+        if before := _newest(out, older):
+            held, keys = spark.read.schema(shape).parquet(before), changed.select(
+                F.col("topic").alias("_topic"), F.col("expires_at").alias("_expires"))
+            same = F.col("topic").eqNullSafe(F.col("_topic")) & F.col("expires_at").eqNullSafe(F.col("_expires"))
+            changed = changed.unionByName(held.join(keys, same, "left_anti"))
+        changed.write.mode("overwrite").parquet(f"{out}/state={batch_id}")
+        for n in older[:-1]:
+            remove_folder(spark, f"{out}/state={n}")
 
     query = (
         counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
@@ -23,8 +45,9 @@ def shortfall_stream(problems: DataFrame, out: str, checkpoint: str, as_of: Inst
     query.awaitTermination()
 
 
-def shortfalls(spark: SparkSession, out: str, want: int = V.WANTED_PROBLEMS) -> DataFrame:
-    """Newest count of each topic, and how many problems are missing."""
-    written = spark.read.option("basePath", out).parquet(out)
-    newest = written.groupBy("topic").agg(F.max_by("available", "batch").alias("available"))
-    return newest.withColumn("to_fetch", F.greatest(F.lit(want) - F.col("available"), F.lit(0)))
+def shortfalls(spark: SparkSession, out: str, as_of: Instant, want: int = V.WANTED_PROBLEMS) -> DataFrame:
+    """Live problems of each topic ever seen at ``as_of``, and how many are missing."""
+    written = spark.read.parquet(_newest(out, folder_numbers(spark, out, "state=")))
+    live = F.when(is_live(written, as_of), F.col("available")).otherwise(F.lit(0))
+    counted = written.groupBy("topic").agg(F.sum(live).alias("available"))
+    return counted.withColumn("to_fetch", F.greatest(F.lit(want) - F.col("available"), F.lit(0)))

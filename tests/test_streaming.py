@@ -11,12 +11,12 @@ START = dt.datetime(2024, 1, 1)
 
 def log(spark, seed=0):
     rng = random.Random(seed)
-    rows = [(i, "hot" if i % 3 == 0 else f"u{i % 5}", START + dt.timedelta(minutes=rng.randrange(6000))) for i in range(600)]
+    rows = [(i, f"t{i % 4}", "hot" if i % 3 == 0 else f"u{i % 5}", START + dt.timedelta(minutes=rng.randrange(6000))) for i in range(600)]
     # Pauses of exactly the gap, and one microsecond more.
     edge = START + dt.timedelta(days=10, seconds=7)
     gap = dt.timedelta(minutes=30)
-    rows += [(1000, "edge", edge), (1001, "edge", edge + gap), (1002, "edge", edge + 2 * gap + dt.timedelta(microseconds=1))]
-    return spark.createDataFrame(rows, "id long, user_id string, started_at timestamp_ntz")
+    rows += [(1000, "t0", "edge", edge), (1001, "t1", "edge", edge + gap), (1002, "t2", "edge", edge + 2 * gap + dt.timedelta(microseconds=1))]
+    return spark.createDataFrame(rows, "id long, topic string, user_id string, started_at timestamp_ntz")
 
 
 def test_rollup_equals_session_window(spark):
@@ -24,7 +24,10 @@ def test_rollup_equals_session_window(spark):
     windowed = events.groupBy("user_id", F.session_window("started_at", "30 minutes").alias("w")).agg(
         F.count("*").alias("entries"))
     expected = windowed.select("user_id", F.col("w.start").cast("timestamp_ntz"), F.col("w.end").cast("timestamp_ntz"), "entries")
-    assert tuples(sessions.session_rollup(events, 30)) == tuples(expected)
+    found = sessions.session_rollup(events, 30)
+    assert tuples(found.drop("topic", "topics")) == tuples(expected)
+    edge = [r for r in found.collect() if r["user_id"] == "edge"]
+    assert sorted((r["topic"], r["topics"], r["entries"]) for r in edge) == [("t0", 2, 2), ("t2", 1, 1)]
 
 
 def test_stream_gives_closed_sessions(spark, tmp_path):
@@ -32,7 +35,7 @@ def test_stream_gives_closed_sessions(spark, tmp_path):
     events.write.parquet(str(tmp_path / "in"))
     rows = ingest.read_files(spark, str(tmp_path / "in"), events.schema)
     sessions.session_stream(rows, str(tmp_path / "out"), str(tmp_path / "cp"), 30)
-    closed = [r for r in tuples(sessions.session_rollup(events, 30)) if r[0] != "edge"]
+    closed = [r for r in tuples(sessions.session_rollup(events, 30).drop("topics")) if r[0] != "edge"]
     assert [r for r in tuples(spark.read.parquet(str(tmp_path / "out"))) if r[0] != "edge"] == closed
 
 
@@ -41,14 +44,13 @@ def test_ingest_resumes(spark, tmp_path):
     events = log(spark)
 
     def run():
-        ingest.ingest_stream(ingest.read_files(spark, source, events.schema, files_per_batch=1), out, checkpoint, "id",
-                             "started_at", "30 days")
-        return spark.read.parquet(out).count()
+        ingest.ingest_stream(ingest.read_files(spark, source, events.schema, files_per_batch=1), out, checkpoint, "id", "started_at")
+        return ingest.ingested(spark, out, events.schema).count()
 
     events.unionByName(events).write.parquet(source)
     assert run() == 603
     assert run() == 603
-    more = spark.createDataFrame([(9999, "x", START + dt.timedelta(days=11)), (1000, "x", START)], events.schema)
+    more = spark.createDataFrame([(9999, "t", "x", START + dt.timedelta(days=11)), (1000, "t", "x", START)], events.schema)
     more.write.mode("append").parquet(source)
     assert run() == 604
 
@@ -59,5 +61,18 @@ def test_shortfall_counts_across_batches(spark, tmp_path):
     for rows in ([("a", None)] * 3 + [("b", START)], [("a", None)] * 4 + [("b", START + dt.timedelta(days=60))]):
         spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
         stream = ingest.read_files(spark, source, spark.createDataFrame([], schema).schema)
-        shortfall.shortfall_stream(stream, out, checkpoint, "2024-02-01 00:00:00")
-    assert tuples(shortfall.shortfalls(spark, out)) == [("a", 7, 0), ("b", 1, 4)]
+        shortfall.shortfall_stream(stream, out, checkpoint)
+    assert tuples(shortfall.shortfalls(spark, out, "2024-02-01 00:00:00")) == [("a", 7, 0), ("b", 1, 4)]
+    assert tuples(shortfall.shortfalls(spark, out, "2024-04-01 00:00:00")) == [("a", 7, 0), ("b", 0, 5)]
+
+
+def test_ingest_keeps_late_rows_and_rows_without_id(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    schema = "id long, started_at timestamp_ntz"
+    for day, ids in ((10, [1, 2, None]), (5, [3, 4, 2, None]), (1, [5])):
+        rows = [(i, START + dt.timedelta(days=day)) for i in ids]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = ingest.read_files(spark, source, spark.createDataFrame([], schema).schema, files_per_batch=1)
+        ingest.ingest_stream(stream, out, checkpoint, "id", "started_at")
+    held = ingest.ingested(spark, out, spark.createDataFrame([], schema).schema)
+    assert sorted(str(r["id"]) for r in held.collect()) == ["1", "2", "3", "4", "5", "None", "None"]
