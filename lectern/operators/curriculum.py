@@ -15,13 +15,17 @@ from lectern.operators.numbering import in_first, positions
 YIELD_ORDER = ("weight_pct", "topic")
 
 
-def with_importance(topics: DataFrame, syllabus: DataFrame) -> DataFrame:
+def with_importance(topics: DataFrame, syllabus: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Add subject, weight, advanced level, tier and a low-yield flag; unknown topics keep NULLs.
 
+    Topics are looked up by (subject, topic) if they come with a subject, else by topic; then a topic of several
+    subjects takes its place in the one where it weighs most (of equals the first by name), so no row multiplies.
     Left to Catalyst to broadcast: it does so only if the syllabus is known to be small.
     """
-    looked_up = syllabus.select("topic", "subject", "weight_pct", "advanced", "tier")
-    return topics.join(looked_up, "topic", "left").withColumn("low_yield", F.col("tier").eqNullSafe(F.lit("LOW")))
+    keys = list(keys) if keys else (["subject", "topic"] if "subject" in topics.columns else ["topic"])
+    best = [F.col("weight_pct").desc_nulls_last(), F.col("subject").asc(), F.col("advanced").asc(), F.col("tier").asc()]
+    looked_up = in_first(syllabus.select("topic", "subject", "weight_pct", "advanced", "tier"), keys, best, 1, "_place").drop("_place")
+    return topics.join(looked_up, keys, "left").withColumn("low_yield", F.col("tier").eqNullSafe(F.lit("LOW")))
 
 
 def check_sections(syllabus: DataFrame, totals: DataFrame) -> DataFrame:

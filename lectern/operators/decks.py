@@ -12,7 +12,7 @@ from lectern import fixed_values as V
 from lectern.functions import extraction as X
 from lectern.functions import paths as P
 from lectern.functions.text import strip
-from lectern.operators.numbering import positions_by_block
+from lectern.operators.numbering import positions
 from lectern.session import shuffle_width
 
 PAGES_PER_BLOCK = 4096
@@ -53,11 +53,11 @@ def plan_chunks(
 
     Pages are gathered per (deck, page block), so a row never holds more than one block; the blocks of
     a deck are linked by their sizes alone. Only chunks that cross a block border are put together in
-    another shuffle.
+    another shuffle. A deck without a name is a deck; a page without a number is an error.
     """
     blocks = (
-        pages.select("deck", F.col("page").cast("int").alias("page"), F.expr(f"page div {PAGES_PER_BLOCK}").alias("_block"))
-        .filter("deck IS NOT NULL AND page IS NOT NULL AND _block IS NOT NULL")
+        pages.select("deck", F.coalesce(F.col("page").cast("int"), F.raise_error(F.lit("a page has no number")).cast("int")).alias("page"))
+        .withColumn("_block", F.expr(f"page div {PAGES_PER_BLOCK}"))
         .groupBy("deck", "_block").agg(F.sort_array(F.collect_set("page")).alias("_held"))
     )
     earlier = Window.partitionBy("deck").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -65,10 +65,10 @@ def plan_chunks(
     links = (
         blocks.select("deck", "_block", F.size("_held").alias("_n"))
         .withColumns({"_from": F.coalesce(F.sum("_n").over(earlier), F.lit(0)), "_all": all_pages})
-        .select("deck", "_block", "_from", (F.col("_from") + F.col("_n")).alias("_to"), "_all",
+        .select(F.col("deck").alias("_deck"), F.col("_block").alias("_of"), "_from", (F.col("_from") + F.col("_n")).alias("_to"), "_all",
                 X.chunk_size(F.col("_all"), min_chunks, max_pages).alias("_size"))
     )
-    linked = blocks.join(links, ["deck", "_block"])
+    linked = blocks.join(links, F.col("deck").eqNullSafe(F.col("_deck")) & (F.col("_block") == F.col("_of"))).drop("_deck", "_of")
     whole = _chunk_pieces(linked).filter("size(pages) = expected")
     border = linked.filter("_from % _size <> 0 OR (_to % _size <> 0 AND _to < _all)")
     joined = (
@@ -195,7 +195,7 @@ def index_lines(slides: DataFrame, index: DataFrame) -> DataFrame:
     top = index.select("deck", F.posexplode(head).alias("i", "line")).select(
         "deck", (F.col("i") + 1).cast("long").alias("line_no"), "line")
     pages = slides.select("deck", "slide_no").distinct()
-    numbered = positions_by_block(pages, ["deck"], "slide_no")
+    numbered = positions(pages, ["deck"], ["slide_no"])
     listed = numbered.select(
         "deck", (F.col("pos") + 7).cast("long").alias("line_no"),
         F.concat(F.lit("- "), P.slide_file(F.col("slide_no")), F.lit(" — Slide "),

@@ -10,80 +10,39 @@ from pyspark.sql import Window
 
 from lectern.session import stage
 
-BLOCK = 4096
-ROWS_PER_TASK = 500_000
 _SLOT_BITS = 33  # monotonically_increasing_id keeps the row count of a partition in its low 33 bits
 
 
-def positions_by_block(
-    df: DataFrame, keys: Sequence[str], order_col: str, out: str = "pos", total: str | None = None,
-    block: int = BLOCK,
-) -> DataFrame:
-    """Number the rows of each group by an integer column that is unique in the group.
-
-    Rows are ranked inside (group, block of the integer range), so no task ever holds more than one
-    block; the running totals that link the blocks are taken over one small row per block. Keys and
-    order are required columns: they hold no NULL.
-    """
-    group, block_of = list(keys), [*keys, "_block"]
-    inside = Window.partitionBy(*block_of)
-    blocked = df.withColumn("_block", F.expr(f"`{order_col}` div {block}"))
-    # The filter drops nothing; it keeps the join below from adding one to a single side only, which
-    # would make the two shuffles differ.
-    ranked = blocked.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in block_of)).withColumns({
-        "_rank": F.row_number().over(inside.orderBy(order_col)),
-        "_rows": F.count("*").over(inside),
-    })
-    # The links come from the first row of each block, so both sides read the same shuffle.
-    earlier = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    links = ranked.filter(F.col("_rank") == 1).select(
-        *block_of,
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(Window.partitionBy(*group)).alias("_all"),
-    )
-    joined = ranked.drop("_rows").join(links, block_of).withColumn(out, F.col("_before") + F.col("_rank"))
-    if total:
-        joined = joined.withColumn(total, F.col("_all"))
-    return joined.drop("_block", "_rank", "_before", "_all")
-
-
 def positions(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "pos",
-    rows_per_task: int = ROWS_PER_TASK,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str = "pos", total: str | None = None,
 ) -> DataFrame:
-    """Number the rows of each group by any order.
+    """Number the rows of each group (from 1) by any order; ``total`` adds the size of the group.
 
-    The largest group is counted first. Up to ``rows_per_task`` a plain window is used; beyond that
-    the rows are range-partitioned on (group, order), written, and numbered from per-partition counts.
+    The rows are range-partitioned on (group, order) and written once, so partitions are cut by row count and a
+    large group spreads over many. A group's numbers start at the smallest global number in it; the pieces that a
+    group has in the partitions are counted, one small row each. NULL keys form a group; NULL order values come first.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n")) if keys else df.agg(F.count("*").alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= rows_per_task:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
-    return _positions_by_range(df, list(keys), list(order), out)
-
-
-def _positions_by_range(df: DataFrame, keys: list[str], order: list[Column], out: str) -> DataFrame:
-    placed = numbered_globally(df, [*[F.col(k) for k in keys], *order], "_at")
-    if not keys:
-        return placed.withColumn(out, F.col("_at") + 1).drop("_at", "_part")
-    pieces = placed.groupBy(*keys, "_part").agg(F.min("_at").alias("_piece"))
-    starts = pieces.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_part").alias("_of"),
-        F.min("_piece").over(Window.partitionBy(*keys)).alias("_start"),
-    )
-    match = F.col("_part") == F.col("_of")
-    for i, k in enumerate(keys):
+    group = list(keys)
+    ordered = [F.col(c) if isinstance(c, str) else c for c in order]
+    placed = numbered_globally(df, [*[F.col(k) for k in group], *ordered], "_at")
+    if not group:
+        numbered = placed.withColumn(out, F.col("_at") + 1)
+        return (numbered.withColumn(total, F.lit(placed.count()).cast("long")) if total else numbered).drop("_at", "_part")
+    # Integers only, so the pieces are counted by hash before the shuffle.
+    starts = placed.groupBy(*group).agg(F.min("_at").alias("_start"), F.count("*").alias("_all")).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(group)], "_start", "_all")
+    match = F.lit(True)
+    for i, k in enumerate(group):
         match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return placed.join(starts, match).select(*df.columns, (F.col("_at") - F.col("_start") + 1).alias(out))
+    columns = [*df.columns, (F.col("_at") - F.col("_start") + 1).alias(out)]
+    return placed.join(starts, match).select(*columns, *([F.col("_all").alias(total)] if total else []))
 
 
 def numbered_globally(df: DataFrame, order: Sequence[Column] | None, out: str) -> DataFrame:
     """0-based dense number over the whole table, plus ``_part``; in ``order`` if one is given.
 
     The rows are written once with their slot (partition and row in it); the offsets of the
-    partitions are then one row per written partition, which is safe to broadcast.
+    partitions are then one row per written partition.
     """
     if order:
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -99,7 +58,7 @@ def numbered_globally(df: DataFrame, order: Sequence[Column] | None, out: str) -
         .select("_of", F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_before"))
     )
     return (
-        split.join(F.broadcast(offsets), F.col("_part") == F.col("_of"))
+        split.join(offsets, F.col("_part") == F.col("_of"))
         .withColumn(out, F.col("_before") + F.col("_row"))
         .drop("_row", "_of", "_before")
     )

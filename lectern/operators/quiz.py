@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern import fixed_values as V
 from lectern.operators.content import Instant, draw_order, live
-from lectern.operators.numbering import in_first, positions, positions_by_block
+from lectern.operators.numbering import in_first, positions
 
 HEX = "0123456789abcdef"
 
@@ -18,7 +18,7 @@ HEX = "0123456789abcdef"
 def checkpoints(concepts: DataFrame, m: int = V.CONCEPTS_PER_CHECKPOINT, key: str = "deck",
                 order_col: str = "slide_no") -> DataFrame:
     """Checkpoint number of each concept: every ``m`` concepts, a single left-over joins the one before."""
-    numbered = positions_by_block(concepts, [key], order_col, "_pos", total="_total")
+    numbered = positions(concepts, [key], [order_col], "_pos", total="_total")
     bucket = F.floor((F.col("_pos") - 1) / m)
     last_alone = (F.col("_total") % m == 1) & (F.col("_total") > 1) & (F.col("_pos") == F.col("_total")) & F.lit(m > 1)
     return numbered.withColumn(
@@ -28,8 +28,9 @@ def checkpoints(concepts: DataFrame, m: int = V.CONCEPTS_PER_CHECKPOINT, key: st
 def assign_slots(questions: DataFrame, quiz: str = "quiz", order_col: str = "question") -> DataFrame:
     """Slot of the right answer: it starts at a place set by the quiz and moves on by one per question,
     so neighbours differ and the slots are used evenly."""
-    numbered = positions_by_block(questions, [quiz], order_col, "question_no")
-    start = F.instr(F.lit(HEX), F.substring(F.md5(F.col(quiz).cast("string")), 1, 1)) - 1
+    numbered = positions(questions, [quiz], [order_col], "question_no")
+    name = F.coalesce(F.col(quiz).cast("string"), F.lit(""))
+    start = F.instr(F.lit(HEX), F.substring(F.md5(name), 1, 1)) - 1
     slot = ((start + F.col("question_no") - 1) % 4).cast("int")
     return numbered.withColumn("answer_slot", F.element_at(F.array(*map(F.lit, "ABCD")), slot + 1))
 
@@ -61,9 +62,12 @@ def assemble_quiz(
 def grade(responses: DataFrame, key: DataFrame) -> DataFrame:
     """Verdict per question of the key; an unanswered question is incorrect.
 
-    ``key`` holds quiz, question, answer; ``responses`` quiz, question, given.
+    ``key`` holds quiz, question, answer; ``responses`` quiz, question, given and, if answers can be changed, the
+    column ``given_at``. Of several answers to a question the last counts (NULL times first, then the largest text).
     """
-    answered = responses.select("quiz", "question", "given")
+    when = F.col("given_at") if "given_at" in responses.columns else F.lit(0)
+    last = F.max_by("given", F.struct(when.alias("at"), F.col("given")))
+    answered = responses.groupBy("quiz", "question").agg(last.alias("given"))
     return key.join(answered, ["quiz", "question"], "left").withColumn(
         "correct", F.coalesce(F.col("answer") == F.col("given"), F.lit(False)))
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from lectern import fixed_values as V
 from lectern.functions.text import LETTER_BREAK, has_word, scannable, strip, words_found
 from lectern.operators.numbering import in_first, positions
-from lectern.session import stage
 
 
 def tag_relevance(
@@ -39,18 +38,16 @@ def course_map(tagged: DataFrame) -> DataFrame:
         F.count_if(F.col("verdict") == "include").alias("_in"), F.count_if(F.col("verdict") == "skip").alias("_out"))
     modules = per_deck.groupBy("module").agg(
         F.count("*").alias("files"), F.sum("_in").alias("included"), F.sum("_out").alias("skipped"))
-    modules = stage(modules, "modules")
-    total = modules.count()
-    ranked = positions(modules, [], [F.col("included").desc(), F.col("module").asc()], "place")
-    third = F.element_at(F.array(F.lit("deep"), F.lit("medium"), F.lit("light")), _tercile(F.col("place"), total))
-    return ranked.withColumn("depth", third)
+    ranked = positions(modules, [], [F.col("included").desc(), F.col("module").asc()], "place", total="_modules")
+    third = F.element_at(F.array(F.lit("deep"), F.lit("medium"), F.lit("light")), _tercile(F.col("place"), F.col("_modules")))
+    return ranked.withColumn("depth", third).drop("_modules")
 
 
-def _tercile(rank: Column, total: int) -> Column:
+def _tercile(rank: Column, total: Column) -> Column:
     """Third of the ranks a rank falls in; as with ntile, the first thirds take the remainder."""
-    base, extra = divmod(total, 3)
-    first = base + (extra > 0)
-    second = first + base + (extra > 1)
+    base, extra = F.floor(total / 3), total % 3
+    first = base + (extra > 0).cast("int")
+    second = first + base + (extra > 1).cast("int")
     return F.when(rank <= first, 1).when(rank <= second, 2).otherwise(3)
 
 

@@ -21,25 +21,30 @@ def rows(spark):
 def test_positions_by_range(rows):
     order = [F.col("s").desc(), F.col("n").asc()]
     plain = rows.withColumn("pos", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
-    assert tuples(N.positions(rows, ["k"], order, rows_per_task=0)) == tuples(plain)
     assert tuples(N.positions(rows, ["k"], order)) == tuples(plain)
 
 
 def test_positions_without_group(rows):
     order = [F.col("s"), F.col("n")]
     plain = rows.withColumn("pos", F.row_number().over(Window.orderBy(*order)))
-    assert tuples(N.positions(rows, [], order, rows_per_task=0)) == tuples(plain)
+    assert tuples(N.positions(rows, [], order)) == tuples(plain)
 
 
-@pytest.mark.parametrize("block", [7, 1000, 10**6])
-def test_positions_by_block(rows, block):
-    known = rows.filter("k IS NOT NULL")
+def test_positions_with_totals_null_keys_and_sparse_ids(rows):
+    sparse = rows.withColumn("n", F.col("n").cast("long") * 1_000_003)
     w = Window.partitionBy("k")
-    plain = known.withColumn("pos", F.row_number().over(w.orderBy("n"))).withColumn("all", F.count("*").over(w))
-    got = N.positions_by_block(known, ["k"], "n", total="all", block=block)
+    plain = sparse.withColumn("pos", F.row_number().over(w.orderBy("n"))).withColumn("all", F.count("*").over(w))
+    got = N.positions(sparse, ["k"], ["n"], total="all")
+    assert got.filter("k IS NULL").count() == rows.filter("k IS NULL").count() > 0
     assert tuples(got.select(plain.columns)) == tuples(plain)
 
 
+def test_positions_spread_a_large_group(rows):
+    plan = N.positions(rows, ["k"], ["n"])._jdf.queryExecution().optimizedPlan().toString()
+    # The only windows are over the per-partition counts (both sides of the join number the same written rows).
+    assert plan.count("Window") == 2 and "_before" in plan
+
+
 def test_ids_are_dense_and_ordered(rows):
     numbered = N.assign_ids(rows, "id", 11, ["n"])
     assert [r.id for r in numbered.orderBy("n").collect()] == list(range(11, 3011))
