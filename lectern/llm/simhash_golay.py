@@ -155,12 +155,13 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", **options) -> Da
 
 
 def _first_of_repeats(docs: DataFrame, id_col: str) -> DataFrame:
-    """One row of each repeated id, that with the smallest text columns; the others pass without a further shuffle."""
+    """One row of each repeated id, the first by its columns as JSON; the others pass without a further shuffle."""
     twice = docs.groupBy(id_col).agg(F.count("*").alias("n")).filter(f"n > 1 AND `{id_col}` IS NOT NULL").select(id_col)
     again = stored(twice, "repeated")
     if again.isEmpty():
         return docs
     rest = docs.join(again, id_col, "left_anti").select(*docs.columns)
-    place = F.row_number().over(Window.partitionBy(id_col).orderBy(*[F.col(f"`{c}`").cast("string") for c in docs.columns]))
-    firsts = docs.join(again, id_col, "left_semi").withColumn("_place", place).filter("_place = 1")
-    return rest.unionAll(firsts.select(*docs.columns))
+    packed = docs.join(again, id_col, "left_semi").select(F.col(id_col).alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy(F.to_json("row")))
+    firsts = packed.withColumn("place", place).filter("place = 1")
+    return rest.unionAll(firsts.select("row.*"))
