@@ -13,6 +13,7 @@ from chunked framing.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -148,18 +149,24 @@ def records_of(pages: DataFrame, id_col: str, url_col: str, html_col: str, small
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                    smallest: int = SMALLEST_REVISIT, segment_bytes: int = SEGMENT_BYTES,
-                   chunk_bytes: int = HTTP_CHUNK_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Writes the pages as WARC files below ``path``, each of about ``archive_bytes``.
+                   chunk_bytes: int = HTTP_CHUNK_BYTES, archive_bytes: int = ARCHIVE_BYTES,
+                   compression: str = "gzip") -> None:
+    """Writes the pages as WARC files below ``path``, each of about ``archive_bytes`` before compression.
 
     Rows with one id and one payload are records of their own, with ids of their own. A null payload is empty, a null
     url an empty one, a null page id an empty name. An empty table writes no record. White space in a url is left out.
     """
     records = records_of(pages, id_col, url_col, html_col, smallest, segment_bytes, chunk_bytes)
     per_file = max(1, archive_bytes // (segment_bytes + 1024))
-    (records.write.option("lineSep", END_OF_RECORD).option("compression", "none")
+    (records.write.option("lineSep", END_OF_RECORD).option("compression", compression)
      .option("maxRecordsPerFile", max(per_file, 2_000)).text(path))
 
 
+def unpacked(content: bytes) -> bytes:
+    """An archive's bytes, decompressed if it is gzip (of one member or many)."""
+    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+
+
 def parse_archive(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (names in lower case) and block of every record of an archive, by its Content-Length."""
     at = 0
@@ -214,7 +221,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
             for content in batch.column(0):
                 found: list[tuple] = []
                 size = 0
-                for headers, block in parse_archive(content.as_py()):
+                for headers, block in parse_archive(unpacked(content.as_py())):
                     kind = headers.get("warc-type", "")
                     number = int(headers.get("warc-segment-number", 0))
                     name = headers.get("warc-record-id")
