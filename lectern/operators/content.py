@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern import fixed_values as V
 from lectern.functions.text import or_default, strip, topic_matches
+from lectern.operators.numbering import assign_ids
 
 Instant = str | datetime
 
@@ -61,9 +63,12 @@ def new_content(content: DataFrame, incoming: DataFrame, as_of: Instant, ttl_day
     return _stamped(rows, content, as_of, ttl_days)
 
 
-def append_content(content: DataFrame, incoming: DataFrame, as_of: Instant, ttl_days: int = V.TTL_DAYS) -> DataFrame:
-    """Pure append; duplicates are allowed."""
-    return content.unionByName(new_content(content, incoming, as_of, ttl_days))
+def append_content(content: DataFrame, incoming: DataFrame, as_of: Instant, start_id: int,
+                   order_cols: Sequence[str | Column] | None = None, ttl_days: int = V.TTL_DAYS) -> DataFrame:
+    """Pure append; duplicates are allowed. New rows are numbered from ``start_id`` on, which must lie above every
+    id ever issued (the largest one present is not enough after a purge)."""
+    new = new_content(content, incoming, as_of, ttl_days)
+    return content.unionByName(assign_ids(new, "entry_id", start_id, order_cols))
 
 
 def new_problems(problems: DataFrame, incoming: DataFrame, as_of: Instant, ttl_days: int = V.TTL_DAYS) -> DataFrame:
@@ -71,8 +76,11 @@ def new_problems(problems: DataFrame, incoming: DataFrame, as_of: Instant, ttl_d
     return _stamped(incoming, problems, as_of, ttl_days)
 
 
-def append_problems(problems: DataFrame, incoming: DataFrame, as_of: Instant, ttl_days: int = V.TTL_DAYS) -> DataFrame:
-    return problems.unionByName(new_problems(problems, incoming, as_of, ttl_days))
+def append_problems(problems: DataFrame, incoming: DataFrame, as_of: Instant, start_id: int,
+                    order_cols: Sequence[str | Column] | None = None, ttl_days: int = V.TTL_DAYS) -> DataFrame:
+    """As ``append_content``, for problems."""
+    new = new_problems(problems, incoming, as_of, ttl_days)
+    return problems.unionByName(assign_ids(new, "problem_id", start_id, order_cols))
 
 
 # --- look up ----------------------------------------------------------------------------------
@@ -123,14 +131,21 @@ def present_problems(df: DataFrame) -> DataFrame:
 # --- list and count ---------------------------------------------------------------------------
 
 def list_topics(content: DataFrame, as_of: Instant) -> DataFrame:
-    """Per live topic: entries, last update, and the subject of the newest entry (even if NULL)."""
-    newest = F.struct("fetched_at", "entry_id")
+    """Per live topic: entries, last update, and the subject of the newest entry (even if NULL).
+
+    Entries are first counted per (topic, subject) with their newest (date, id) as one number, all by hash; only
+    those few rows are then compared as structs.
+    """
+    at = F.unix_micros(F.col("fetched_at").cast("timestamp")).cast("decimal(18,0)") * F.expr(f"{2**63}BD")
+    newest = F.coalesce((at + F.col("entry_id")).cast("decimal(38,0)"), F.expr(f"-{10**37}BD").cast("decimal(38,0)"))
+    per_subject = live(content, as_of).groupBy("topic", "subject").agg(
+        F.count("*").alias("n"), F.max("fetched_at").alias("last"), F.max(newest).alias("newest"))
     return (
-        live(content, as_of).groupBy("topic")
+        per_subject.groupBy("topic")
         .agg(
-            F.max_by("subject", newest).alias("subject"),
-            F.count("*").alias("entries"),
-            F.max("fetched_at").alias("last_updated"),
+            F.max_by("subject", F.struct("newest")).alias("subject"),
+            F.sum("n").alias("entries"),
+            F.max("last").alias("last_updated"),
         )
         .select("topic", "subject", "entries", "last_updated")
         .orderBy(F.col("subject").asc_nulls_first(), "topic")
@@ -138,13 +153,19 @@ def list_topics(content: DataFrame, as_of: Instant) -> DataFrame:
 
 
 def list_problem_topics(problems: DataFrame, as_of: Instant) -> DataFrame:
+    per_subject = live(problems, as_of).groupBy("topic", "subject").agg(F.count("*").alias("n"))
     return (
-        live(problems, as_of).groupBy("topic")
-        .agg(F.min("subject").alias("subject"), F.count("*").alias("problems"))
+        per_subject.groupBy("topic")
+        .agg(F.min("subject").alias("subject"), F.sum("n").alias("problems"))
         .orderBy("topic")
     )
 
 
+def present_topics(topics: DataFrame) -> DataFrame:
+    """A topic list as shown to a reader; a topic without a subject has a question mark."""
+    return topics.withColumn("subject", or_default(F.col("subject"), V.UNKNOWN_SUBJECT))
+
+
 def store_stats(content: DataFrame, problems: DataFrame, as_of: Instant) -> DataFrame:
     """All entries, live entries, live problems: one row, one pass over each expiry column."""
     entries = content.select(F.lit(1).alias("entry"), is_live(content, as_of).alias("live"))

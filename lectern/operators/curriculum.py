@@ -51,9 +51,14 @@ def top_topics(syllabus: DataFrame, k: int = V.TOP_TOPICS) -> DataFrame:
     return in_first(syllabus, ["subject"], [F.col("weight_pct").desc(), F.col("topic").asc()], k)
 
 
-def named_order(order: DataFrame, aliases: DataFrame) -> DataFrame:
+def named_order(order: DataFrame, aliases: DataFrame, subjects: DataFrame | None = None) -> DataFrame:
     """A guide's phase lists (phase, subject, pos, label) as topics. Labels are short names, so they are
-    looked up in ``aliases`` (subject, label, topic); a label may stand for several topics."""
+    looked up in ``aliases`` (subject, label, topic); a label may stand for several topics. Where the lists
+    shorten subject names, ``subjects`` (listed, subject) tells what they stand for; others stay as they are."""
+    if subjects is not None:
+        named = subjects.select(F.col("listed").alias("_listed"), F.col("subject").alias("_subject"))
+        order = order.join(named, F.col("subject") == F.col("_listed"), "left").withColumn(
+            "subject", F.coalesce("_subject", "subject")).drop("_listed", "_subject")
     return order.join(aliases, ["subject", "label"]).select("subject", "topic", "phase", F.col("pos").alias("phase_pos"))
 
 
@@ -93,6 +98,15 @@ def roadmap(syllabus: DataFrame, exam: str = "mains", months: float = 3.5) -> Da
         "block_no", "block", "subject", "pos", "topic", "tier", "weight_pct", "advanced")
 
 
+def revision_block(syllabus: DataFrame, months: float = 3.5) -> DataFrame:
+    """The last weeks of a roadmap, one row per subject: revision of what the subject's critical and high topics are."""
+    weeks = int(months * V.WEEKS_PER_MONTH)
+    first = max(1, weeks - V.REVISION_WEEKS + 1)
+    important = F.count_if(F.col("tier").isin(V.TIER_ORDER[:2]))
+    return syllabus.groupBy("subject").agg(important.alias("topics")).select(
+        F.lit(len(V.TIER_ORDER) + 1).alias("block_no"), F.lit(f"Week {first}-{max(first, weeks)}").alias("block"), "subject", "topics")
+
+
 def ranked_sources(hosts: Sequence[str] = V.SOURCE_ORDER) -> Column:
     """Rank of a ``host`` column in the fixed order; subdomains count, other hosts come last."""
     rank = F.lit(len(hosts) + 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -18,8 +20,9 @@ def _observed_write(df: DataFrame, path: str, amount) -> int:
 class _Peeling:
     """Rounds that free the nodes whose last open predecessor was freed in the round before.
 
-    ``levels`` is a written table (node, level), one folder per round, so plans stay flat and a lost
-    executor costs one round. Rounds scan the open edges; these are rewritten whenever half are gone.
+    Edges are (before, after, weight); a node's level is the largest of its predecessors' levels plus weights.
+    Levels are a written table (node, level), one folder per round, so plans stay flat and a lost executor costs one
+    round. Rounds scan the open edges; these are rewritten whenever half are gone.
     """
 
     def __init__(self, edges: DataFrame, n_edges: int):
@@ -27,66 +30,131 @@ class _Peeling:
         self.open, self.n_open, self.n_stored = edges, n_edges, n_edges
         self.root = scratch_path(self.spark, "levels")
         self.node_type = edges.schema["before"].dataType.simpleString()
-        self.level = self.compacted_at = 0
+        self.round = 0
 
     def levels(self) -> DataFrame:
-        return self.spark.read.schema(f"node {self.node_type}, level int").option("basePath", self.root).parquet(self.root)
+        return self.spark.read.schema(f"node {self.node_type}, level int, round int").option("basePath", self.root).parquet(self.root)
 
     def _marked(self) -> DataFrame:
-        """Open edges with the level of their predecessor, if it was freed since the last rewrite."""
-        freed = self.levels().filter(F.col("level") >= self.compacted_at)
-        return self.open.join(freed, F.col("before") == F.col("node"), "left")
+        """Open edges with the level of their predecessor, if it was freed."""
+        return self.open.join(self.levels(), F.col("before") == F.col("node"), "left")
 
     def run(self) -> None:
         starts = self.open.select("before").distinct().join(
             self.open.select(F.col("after").alias("before")).distinct(), "before", "left_anti")
-        found = _observed_write(starts.select(F.col("before").alias("node")), f"{self.root}/level=0", F.lit(1))
+        found = _observed_write(starts.select(F.col("before").alias("node"), F.lit(0).alias("level")), f"{self.root}/round=0", F.lit(1))
         while found and self.n_open:
             nodes = self._marked().groupBy(F.col("after").alias("node")).agg(
-                F.count("*").alias("_edges"), F.count("level").alias("_met"), F.max("level").alias("_last"))
-            freed = nodes.filter((F.col("_edges") == F.col("_met")) & (F.col("_last") == self.level))
-            self.level += 1
-            found = _observed_write(freed.drop("_met", "_last"), f"{self.root}/level={self.level}", F.col("_edges"))
+                F.count("*").alias("_edges"), F.count("level").alias("_met"), F.max("round").alias("_last"),
+                F.max(F.col("level") + F.col("weight")).cast("int").alias("level"))
+            freed = nodes.filter((F.col("_edges") == F.col("_met")) & (F.col("_last") == self.round))
+            self.round += 1
+            found = _observed_write(freed.select("node", "level", "_edges"), f"{self.root}/round={self.round}", F.col("_edges"))
             self.n_open -= found
             if self.n_open and 2 * self.n_open < self.n_stored:
                 self._compact()
 
     def _compact(self) -> None:
-        """Keep the edges of nodes not freed yet, less those an older round has met."""
-        unmet = self._marked().filter(F.col("level").isNull() | (F.col("level") >= self.level))
+        """Keep the edges of nodes not freed yet."""
         done = self.levels().select(F.col("node").alias("after"))
-        kept = unmet.select("before", "after").join(done, "after", "left_anti")
+        kept = self.open.join(done, "after", "left_anti").select("before", "after", "weight")
         path = scratch_path(self.spark, "open-edges")
         self.n_open = self.n_stored = _observed_write(kept, path, F.lit(1))
-        self.open, self.compacted_at = self.spark.read.schema(kept.schema).parquet(path), self.level
+        self.open = self.spark.read.schema(kept.schema).parquet(path)
 
     def stuck(self) -> DataFrame:
         """Edges between two nodes that no round freed."""
-        return self._marked().filter(F.col("level").isNull()).select("before", "after")
+        return self._marked().filter(F.col("level").isNull()).select("before", "after", "weight")
 
 
-def prerequisite_levels(edges: DataFrame) -> DataFrame:
-    """(topic, level, status) for pairs (prerequisite, topic).
+def _runs(pairs: DataFrame) -> DataFrame | None:
+    """Inner nodes of runs (one prerequisite, needed by one topic) with where their run starts and ends.
 
-    The level is the longest chain of prerequisites. Topics of a cycle, or between two cycles, have
-    status ``cycle`` and no level; topics behind one have status ``blocked``.
+    Columns node, first, above (steps from ``first``), last. ``first`` and ``last`` are not inner, but for a ring of
+    inner nodes only. Pointers are doubled, so the number of rounds is the logarithm of the longest run.
+    """
+    into = pairs.groupBy(F.col("after").alias("node")).agg(F.count("*").alias("n"), F.min("before").alias("first")).filter("n = 1")
+    out = pairs.groupBy(F.col("before").alias("node")).agg(F.count("*").alias("n"), F.min("after").alias("last")).filter("n = 1")
+    runs = stage(into.drop("n").join(out.drop("n"), "node").withColumn("above", F.lit(1)), "runs")
+    count = runs.count()
+    if not count:
+        return None
+    for _ in range(math.ceil(math.log2(count)) + 1):
+        ends = runs.select(F.col("node").alias("_up"), F.col("first").alias("_first"), F.col("above").alias("_above"))
+        feet = runs.select(F.col("node").alias("_down"), F.col("last").alias("_last"))
+        moved = runs.join(ends, F.col("first") == F.col("_up"), "left").join(feet, F.col("last") == F.col("_down"), "left")
+        seen = Observation()
+        doubled = moved.observe(seen, F.count("_up").alias("open")).select(
+            "node", F.coalesce("_first", "first").alias("first"), F.coalesce("_last", "last").alias("last"),
+            (F.col("above") + F.coalesce("_above", F.lit(0))).alias("above"))
+        runs = stage(doubled, "runs")
+        if not (seen.get.get("open") or 0):
+            break
+    return runs
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("before").alias("topic")).unionByName(pairs.select(F.col("after").alias("topic"))).distinct()
+
+
+def prerequisite_levels(edges: DataFrame, topics: DataFrame | None = None) -> DataFrame:
+    """(topic, level, status) for pairs (prerequisite, topic), and for the topics of ``topics`` (topic) if given.
+
+    The level is the longest chain of prerequisites; a topic without one, also if that is said by a NULL, has level
+    0. Topics of a cycle, or between two cycles, have status ``cycle`` and no level; topics behind one have status
+    ``blocked``. Runs of topics with one prerequisite each are contracted first, so a long chain is no long job.
     """
-    pairs = stage(edges.select(F.col("prerequisite").alias("before"), F.col("topic").alias("after")).distinct(), "pairs")
-    forward = _Peeling(pairs, pairs.count())
+    named = edges.filter("topic IS NOT NULL")
+    pairs = stage(named.filter("prerequisite IS NOT NULL").select(
+        F.col("prerequisite").alias("before"), F.col("topic").alias("after")).distinct(), "pairs")
+    result = _levels_of(pairs)
+    alone = named.select("topic")
+    if topics is not None:
+        alone = alone.unionByName(topics.select("topic").filter("topic IS NOT NULL"))
+    rest = alone.distinct().join(_ends(pairs), "topic", "left_anti").select("topic", F.lit(0).alias("level"), F.lit("ordered").alias("status"))
+    return result.unionByName(rest)
+
+
+def _levels_of(pairs: DataFrame) -> DataFrame:
+    runs = _runs(pairs)
+    weighted = pairs.withColumn("weight", F.lit(1))
+    if runs is not None:
+        inner = runs.select(F.col("node").alias("_node"))
+        outer = pairs.join(inner, F.col("after") == F.col("_node"), "left_anti")
+        heads = runs.select(F.col("node").alias("_node"), F.col("first").alias("_first"), F.col("above").alias("_above"))
+        weighted = stage(outer.join(heads, F.col("before") == F.col("_node"), "left").groupBy(
+            F.coalesce("_first", "before").alias("before"), "after").agg(
+            F.max(F.coalesce(F.col("_above") + 1, F.lit(1))).cast("int").alias("weight")), "contracted")
+    forward = _Peeling(weighted, weighted.count())
     forward.run()
-    ordered = forward.levels().select(F.col("node").alias("topic"), "level", F.lit("ordered").alias("status"))
-    if not forward.n_open:
-        return ordered
-    stuck = stage(forward.stuck(), "stuck")
-    backward = _Peeling(stuck.select(F.col("after").alias("before"), F.col("before").alias("after")), stuck.count())
-    backward.run()
-
-    def ends(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.col("before").alias("topic")).unionByName(
-            pairs.select(F.col("after").alias("topic"))).distinct()
-
-    in_cycle = ends(backward.stuck()).withColumn("_cycle", F.lit(True))
-    return ordered.unionByName(ends(stuck).join(in_cycle, "topic", "left").select(
-        "topic", F.lit(None).cast("int").alias("level"),
-        F.when(F.col("_cycle"), "cycle").otherwise("blocked").alias("status"),
-    ))
+    freed = forward.levels().select("node", "level")
+    stuck_edges = stage(forward.stuck(), "stuck") if forward.n_open else None
+    core = None
+    if stuck_edges is not None:
+        backward = _Peeling(stuck_edges.select(F.col("after").alias("before"), F.col("before").alias("after"), "weight"), stuck_edges.count())
+        backward.run()
+        core = _ends(backward.stuck()).withColumn("_cycle", F.lit(True))
+    ordered = freed.select(F.col("node").alias("topic"), "level", F.lit("ordered").alias("status"))
+    parts = [ordered]
+    unordered = F.lit(None).cast("int").alias("level")
+    if core is not None:
+        parts.append(_ends(stuck_edges).join(core, "topic", "left").select(
+            "topic", unordered, F.when(F.col("_cycle"), "cycle").otherwise("blocked").alias("status")))
+    if runs is not None:
+        placed = runs.join(freed.select(F.col("node").alias("_at"), "level"), F.col("first") == F.col("_at"), "left")
+        ring = runs.select(F.col("node").alias("_ring")).distinct()
+        placed = placed.join(ring, F.col("first") == F.col("_ring"), "left")
+        if core is not None:
+            placed = placed.join(core.select(F.col("topic").alias("_a"), F.lit(True).alias("_ca")), F.col("first") == F.col("_a"), "left").join(
+                core.select(F.col("topic").alias("_b"), F.lit(True).alias("_cb")), F.col("last") == F.col("_b"), "left")
+        else:
+            placed = placed.withColumn("_ca", F.lit(None).cast("boolean")).withColumn("_cb", F.lit(None).cast("boolean"))
+        circular = F.col("_ring").isNotNull() | F.coalesce(F.col("_ca") & F.col("_cb"), F.lit(False))
+        level = F.when(F.col("level").isNotNull(), (F.col("level") + F.col("above")).cast("int"))
+        parts.append(placed.select(
+            F.col("node").alias("topic"), level.alias("level"),
+            F.when(level.isNotNull(), "ordered").when(circular, "cycle").otherwise("blocked").alias("status")))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result

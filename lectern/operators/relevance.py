@@ -71,15 +71,18 @@ def skipped_pages(tagged: DataFrame) -> DataFrame:
 
 
 def head_per_deck(slides: DataFrame, k: int = V.SAMPLE_PAGES) -> DataFrame:
-    """First ``k`` pages of each deck."""
-    return in_first(slides, ["deck"], [F.col("slide_no").asc()], k, "place").drop("place")
+    """First ``k`` pages of each deck. Only deck and number are sorted; the texts are fetched for the chosen pages."""
+    chosen = in_first(slides.select("deck", "slide_no"), ["deck"], [F.col("slide_no").asc()], k, "place").drop("place").distinct()
+    return slides.join(chosen, ["deck", "slide_no"], "left_semi").select(*slides.columns)
 
 
 def first_uses(slides: DataFrame, known: Sequence[str] = V.COMMON_ABBREVIATIONS) -> DataFrame:
     """Where each all-capitals word of a course comes first: (course, token, deck, slide_no, position)."""
-    tokens = slides.filter(F.col("text").rlike("[A-Z]{2}")).select(
-        "course", "deck", "slide_no",
-        F.posexplode(F.split("text", LETTER_BREAK)).alias("position", "token"),
-    ).filter((F.length("token") >= 2) & (F.col("token") == F.upper("token")) & ~F.col("token").isin(list(known)))
+    # Words are told apart inside the row, so only capitals leave it.
+    words = F.filter(
+        F.transform(F.split("text", LETTER_BREAK), lambda w, i: F.struct(w.alias("token"), i.alias("position"))),
+        lambda w: (F.length(w["token"]) >= 2) & (w["token"] == F.upper(w["token"])) & ~w["token"].isin(list(known)))
+    tokens = slides.filter(F.col("text").rlike("[A-Z]{2}")).select("course", "deck", "slide_no", F.explode(words).alias("w")).select(
+        "course", "deck", "slide_no", "w.token", "w.position")
     first = F.min(F.struct("deck", "slide_no", "position")).alias("first")
     return tokens.groupBy("course", "token").agg(first).select("course", "token", "first.*")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from lectern import fixed_values as K
 from lectern.functions import curriculum as G
@@ -148,6 +149,35 @@ def study_order(t):
     return U.study_order(V.syllabus(t)).select("subject", "topic", "tier", "pos")
 
 
+LISTED = """listed AS (
+  SELECT subject, topic, topic AS label, tier, weight_pct,
+         CASE WHEN CAST(substr(topic, 7) AS BIGINT) % 5 = 0 THEN CAST(substr(topic, 7) AS BIGINT) % 3 + 1 END AS phase,
+         CASE WHEN CAST(substr(topic, 7) AS BIGINT) % 5 = 0 THEN -CAST(substr(topic, 7) AS BIGINT) END AS phase_pos
+  FROM syllabus)"""
+
+
+@query("study_order_listed", with_sql(SYLLABUS, LISTED, body=f"""
+SELECT subject, topic, tier, phase, row_number() OVER (
+         PARTITION BY subject ORDER BY phase NULLS LAST, phase_pos, {TIER_RANK}, weight_pct DESC, topic) AS pos
+FROM listed"""))
+def study_order_listed(t):
+    """Every fifth topic stands in a phase list, under a short subject name and a short label."""
+    topics = V.syllabus(t)
+    number = F.expr("CAST(substr(topic, 7) AS BIGINT)")
+    lists = topics.filter(number % 5 == 0).select(
+        (number % 3 + 1).alias("phase"), F.md5("subject").alias("subject"), (-number).alias("pos"), F.md5("topic").alias("label"))
+    aliases = topics.select("subject", F.md5("topic").alias("label"), "topic")
+    subjects = topics.select(F.md5("subject").alias("listed"), "subject").distinct()
+    return U.study_order(topics, U.named_order(lists, aliases, subjects)).select("subject", "topic", "tier", "phase", "pos")
+
+
+@query("revision_block", with_sql(SYLLABUS, body="""
+SELECT 5 AS block_no, 'Week 13-14' AS block, subject, count(*) FILTER (tier IN ('CRITICAL', 'HIGH')) AS topics
+FROM syllabus GROUP BY subject"""))
+def revision_block(t):
+    return U.revision_block(V.syllabus(t))
+
+
 def _roadmap_sql(order: str, blocks: list[str]) -> str:
     return with_sql(SYLLABUS, body=f"""
 SELECT CAST({TIER_RANK} AS INTEGER) AS block_no, {blocks}[{TIER_RANK}] AS block, subject,
@@ -397,3 +427,18 @@ def prerequisite_cycles(t):
     """The same with part 2 also needing part 9, which closes the loop 2, 4, 9."""
     back = t.part.filter("p_partkey = 2").selectExpr("CAST(9 AS BIGINT) AS prerequisite", "p_partkey AS topic")
     return prerequisite_levels(_halving(t).unionByName(back))
+
+
+@query("prerequisite_chain", """
+SELECT s_suppkey AS topic, CAST(CASE WHEN s_suppkey % 10 = 7 THEN 0 ELSE place END AS INTEGER) AS level, 'ordered' AS status
+FROM (SELECT s_suppkey, row_number() OVER (PARTITION BY s_suppkey % 10 = 7 ORDER BY s_suppkey) - 1 AS place FROM supplier)
+UNION ALL
+SELECT 1000000000 + c_custkey, CAST(row_number() OVER (ORDER BY c_custkey) - 1 AS INTEGER), 'ordered' FROM customer""")
+def prerequisite_chain(t):
+    """Two chains, as long as the tables, of suppliers and of customers; every tenth supplier needs nothing."""
+    suppliers = t.supplier.select(F.col("s_suppkey").alias("topic"))
+    linked = suppliers.filter("topic % 10 <> 7")
+    customers = t.customer.select((F.col("c_custkey") + 1_000_000_000).alias("topic"))
+    chains = linked.unionByName(customers).withColumn("chain", F.col("topic") >= 1_000_000_000)
+    before = F.lag("topic").over(Window.partitionBy("chain").orderBy("topic"))
+    return prerequisite_levels(chains.select(before.alias("prerequisite"), "topic"), suppliers)

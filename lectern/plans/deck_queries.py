@@ -10,6 +10,7 @@ from lectern import fixed_values as K
 from lectern.functions import paths as P
 from lectern.functions import text as X
 from lectern.operators import apply as A
+from lectern.operators import content as C
 from lectern.operators import decks as D
 from lectern.plans import views as V
 from lectern.plans.registry import query
@@ -396,3 +397,24 @@ SELECT doc_id AS item, CASE WHEN contains(text, 'O') THEN 'converted' ELSE 'fail
        CASE WHEN NOT contains(text, 'O') THEN 'substring not found' END AS error FROM documents""")
 def apply_isolated(t):
     return A.apply_isolated(t.documents.select(F.col("doc_id").alias("item"), "lang", "text"), _check_word)
+
+
+# --- files ------------------------------------------------------------------------------------
+
+@query("discover_files", """
+SELECT DISTINCT source || '/' || lang AS folder, CAST(1 AS BIGINT) AS files FROM documents""")
+def discover_files(t):
+    """Files that the query writes, one per source and language, found by a suffix in another case."""
+    root = scratch_path(t._spark, "found-files")
+    t.documents.select("source", "lang", "text").coalesce(1).write.partitionBy("source", "lang").parquet(root)
+    found = S.discover_files(t._spark, root, [".PARQUET"])
+    folder = F.regexp_replace(F.regexp_extract("path", "/(source=[^/]*/lang=[^/]*)/[^/]*$", 1), "source=|lang=", "")
+    return found.groupBy(folder.alias("folder")).agg(F.count("*").alias("files"))
+
+
+@query("size_kb", """
+SELECT round(sum(strlen(text) + 1) / 1024, 1) AS size_kb FROM documents""")
+def size_kb(t):
+    root = scratch_path(t._spark, "sized-files")
+    t.documents.select("text").write.text(root)
+    return C.size_kb(S.discover_files(t._spark, root, [".txt"]))

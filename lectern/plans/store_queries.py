@@ -30,44 +30,44 @@ def _problem(df):
 
 # --- append -----------------------------------------------------------------------------------
 
+#: Above every id that the store has issued.
+HIGH_WATER = 10**12
+
+
 def _incoming_content(t):
-    """Advert blocks of the raw pages with blanks around them; a page without one has an empty body.
-    The page id goes along as tag, to number the rows by."""
+    """Whole raw pages with blanks around them; of every fifth page only the blanks."""
+    html = F.when(F.expr("page_id % 5 = 0"), F.lit("")).otherwise(F.col("html"))
     return t.pages.select(
         F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1).alias("topic"), "url",
-        F.concat(F.lit(" \n\t"), F.regexp_extract("html", '<div class="ad">([^<]*)</div>', 1),
-                 F.lit("\xa0\n\u3000")).alias("body"),
-        F.col("page_id").cast("string").alias("tags"),
+        F.concat(F.lit(" \n\t"), html, F.lit("\xa0\n\u3000")).alias("body"),
+        F.lpad(F.col("page_id").cast("string"), 20, "0").alias("tags"),
     )
 
 
-INCOMING = r"""incoming AS (
-  SELECT page_id, regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) AS topic, url,
-         trim(regexp_extract(html, '<div class="ad">([^<]*)</div>', 1), E' \t\n\r') AS body FROM pages),
-accepted AS (
-  SELECT row_number() OVER (ORDER BY page_id) AS n, * FROM incoming WHERE body <> '')"""
+INCOMING = r"""accepted AS (
+  SELECT row_number() OVER (ORDER BY page_id) AS n, regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) AS topic, url,
+         trim(html, E' \t\n\r') AS body
+  FROM pages WHERE page_id % 5 <> 0 AND trim(html, E' \t\n\r') <> '')"""
 
 
 @query("append_content", with_sql(CONTENT, INCOMING, body=f"""
 SELECT {ENTRY} FROM content UNION ALL
-SELECT n + (SELECT max(entry_id) FROM content), topic, NULL, url, md5(body), 'web', TIMESTAMP '{AS_OF}',
+SELECT n + {HIGH_WATER}, topic, NULL, url, md5(body), 'web', TIMESTAMP '{AS_OF}',
        TIMESTAMP '{AS_OF}' + to_days(30) FROM accepted"""))
 def append_content(t):
-    stored = V.content(t)
-    issued = stored.agg(F.max("entry_id")).first()[0]
-    new = C.new_content(stored, _incoming_content(t), AS_OF)
-    return _entry(stored.unionByName(assign_ids(new, "entry_id", issued + 1, [F.col("tags").cast("long")])))
+    return _entry(C.append_content(V.content(t), _incoming_content(t), AS_OF, HIGH_WATER + 1, ["tags"]))
 
 
 @query("append_problems", with_sql(PROBLEMS, body=f"""
 SELECT {PROBLEM} FROM problems UNION ALL
-SELECT NULL, 'benchmark', NULL, NULL, 'benchmark ' || item_id, '  ' || text || ' ', TIMESTAMP '{AS_OF}',
-       TIMESTAMP '{AS_OF}' + to_days(30) FROM benchmark"""))
+SELECT {HIGH_WATER} + row_number() OVER (ORDER BY item_id), 'benchmark', NULL, NULL, 'benchmark ' || item_id, '  ' || text || ' ',
+       TIMESTAMP '{AS_OF}', TIMESTAMP '{AS_OF}' + to_days(30) FROM benchmark"""))
 def append_problems(t):
     incoming = t.benchmark.select(
         F.lit("benchmark").alias("topic"), F.concat(F.lit("benchmark "), F.col("item_id").cast("string")).alias("source"),
-        F.concat(F.lit("  "), F.col("text"), F.lit(" ")).alias("problem"))
-    return _problem(C.append_problems(V.problems(t), incoming, AS_OF))
+        F.concat(F.lit("  "), F.col("text"), F.lit(" ")).alias("problem"),
+        F.lpad(F.col("item_id").cast("string"), 20, "0").alias("solution"))
+    return _problem(C.append_problems(V.problems(t), incoming, AS_OF, HIGH_WATER + 1, ["solution"]))
 
 
 @query("assign_ids", """
@@ -183,6 +183,14 @@ def list_topics(t):
     return C.list_topics(V.content(t), AS_OF)
 
 
+@query("present_topics", with_sql(CONTENT, body=f"""
+SELECT topic, coalesce(nullif(arg_max_null(subject, fetched_at::VARCHAR || lpad(entry_id::VARCHAR, 20, '0')), ''), '?') AS subject,
+       count(*) AS entries, max(fetched_at) AS last_updated
+FROM content WHERE {LIVE} GROUP BY topic"""))
+def present_topics(t):
+    return C.present_topics(C.list_topics(V.content(t), AS_OF))
+
+
 @query("list_problem_topics", with_sql(PROBLEMS, body=f"""
 SELECT topic, min(subject) AS subject, count(*) AS problems FROM problems WHERE {LIVE} GROUP BY topic"""))
 def list_problem_topics(t):

@@ -216,3 +216,31 @@ def test_prerequisites(spark, seed, back):
         edges.add((a, b))
     df = spark.createDataFrame(sorted(edges) * 2, "prerequisite long, topic long")
     assert tuples(prerequisite_levels(df)) == brute_levels(edges)
+
+
+def test_prerequisites_without_pairs_and_long_runs(spark):
+    topics = spark.createDataFrame([(i,) for i in range(100, 105)], "topic long")
+    edges = [(i, i + 1) for i in range(60)] + [(10, 61), (61, 60), (None, 100), (None, 30), (5, None)]
+    edges += [(200, 201), (201, 202), (202, 200), (202, 203), (203, 204)]
+    edges += [(300, 301), (301, 302), (302, 303), (303, 300), (301, 310), (310, 311), (311, 303)]
+    got = {r["topic"]: (r["level"], r["status"]) for r in prerequisite_levels(
+        spark.createDataFrame(edges, "prerequisite long, topic long"), topics).collect()}
+    assert all(got[i] == (i, "ordered") for i in range(61)) and got[61] == (11, "ordered")
+    assert all(got[i] == (0, "ordered") for i in range(100, 105)) and None not in got
+    assert {got[i] for i in (200, 201, 202, 300, 301, 302, 303, 310, 311)} == {(None, "cycle")}
+    assert got[203] == got[204] == (None, "blocked")
+
+
+def test_last_answer_counts_once(spark):
+    key = spark.createDataFrame([("q", 1, "A"), ("q", 2, "B")], "quiz string, question int, answer string")
+    given = spark.createDataFrame([("q", 1, "C", 1), ("q", 1, "A", 2), ("q", 2, "B", 3), ("q", 2, "D", 4)],
+                                  "quiz string, question int, given string, given_at int")
+    assert tuples(Q.quiz_scores(Q.grade(given, key))) == [("q", 2, 2, 1)]
+
+
+def test_a_topic_of_two_subjects_gives_one_row(spark):
+    syllabus = spark.createDataFrame([("S", "a", 3, "Low", "LOW"), ("T", "a", 5, "High", "HIGH")],
+                                     "subject string, topic string, weight_pct int, advanced string, tier string")
+    assert tuples(U.with_importance(spark.createDataFrame([("a",)], "topic string"), syllabus)) == [("a", "T", 5, "High", "HIGH", False)]
+    both = spark.createDataFrame([("S", "a"), ("X", "a")], "subject string, topic string")
+    assert tuples(U.with_importance(both, syllabus)) == [("S", "a", 3, "Low", "LOW", True), ("X", "a", None, None, None, False)]
