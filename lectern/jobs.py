@@ -10,18 +10,19 @@ from pyspark.sql import functions as F
 from lectern import fixed_values as V
 from lectern.operators import apply as A
 from lectern.operators import decks as D
-from lectern.session import stage
+from lectern.session import small_batches, stage
 from lectern.sources import files as S
 
 
 def extract_decks(
     decks: DataFrame, extractors: Sequence[A.Extractor], out: str, start: int = 1, end: int | None = None,
-    mode: str = "compat",
+    mode: str = "compat", parallelism: int | None = None,
 ) -> DataFrame:
     """Extract the pages of (deck, total_pages) that ``out`` does not hold yet, and append them to it.
 
     Returns one row per chunk tried: deck, chunk, pages, status, extractor, error, pieces. A failed chunk
-    writes nothing and does not stop the others; the next call tries it again. To extract a deck anew,
+    writes nothing and does not stop the others; the next call tries it again. What a round has finished is in
+    ``out`` before the next round starts, so a broken run repeats no finished chunk. To extract a deck anew,
     clear it from ``out`` first.
     """
     spark = decks.sparkSession
@@ -29,9 +30,13 @@ def extract_decks(
     todo = D.remaining_pages(wanted, S.written_pages(spark, out)) if S.has_slides(spark, out) else wanted
     chunks = stage(D.plan_chunks(todo), "plan").withColumn(
         "refs", F.transform("pages", lambda p: F.concat(F.col("deck").cast("string"), F.lit("#"), p.cast("string"))))
-    tried = A.apply_with_fallback(chunks, extractors)
+
+    def keep(results: DataFrame) -> None:
+        done = chunks.select("deck", "chunk", "pages").join(results.filter(F.col("status") == "ok"), ["deck", "chunk"])
+        S.write_slides(D.fill_gaps(done, mode), out)
+
+    tried = A.apply_with_fallback(chunks, extractors, parallelism=parallelism, finished=keep)
     outcome = stage(chunks.select("deck", "chunk", "pages").join(tried, ["deck", "chunk"]), "responses")
-    S.write_slides(D.fill_gaps(outcome.filter(F.col("status") == "ok"), mode), out)
     return outcome.drop("raw_text")
 
 
@@ -56,7 +61,8 @@ def convert_files(
     accepted = checked.filter(F.col("status") == "accepted").select("path")
     done = outputs if outputs is not None else files.sparkSession.createDataFrame([], "path string")
     pending = D.pending_conversions(accepted, done, out_dir)
-    converted = stage(A.apply_isolated(pending.withColumnRenamed("path", "item"), convert), "converted")
+    with small_batches(files.sparkSession, 1):
+        converted = stage(A.apply_isolated(pending.withColumnRenamed("path", "item"), convert), "converted")
     skipped = checked.filter(F.col("status") == "skipped").select(
         F.col("path").alias("item"), "status", F.lit(None).cast("string").alias("output"), F.col("reason").alias("error"))
     return converted.unionByName(skipped)

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 import lectern
 from lectern.fixed_values import ERROR_CHARS, MAX_ATTEMPTS, MAX_SPLIT_DEPTH, RATE_LIMIT_MARKERS
-from lectern.session import shuffle_width, stage
+from lectern.functions import extraction as X
+from lectern.session import shuffle_width, small_batches, stage
 
 # Executors need not have this package: what runs there travels with the task.
 cloudpickle.register_pickle_by_value(lectern)
@@ -20,15 +21,18 @@ cloudpickle.register_pickle_by_value(lectern)
 
 @dataclass(frozen=True)
 class Extractor:
-    """``call(pages, refs)`` returns text, raises ``TimeoutError`` to ask for smaller chunks, or fails.
+    """``call(pages, refs, prompt, budget_seconds)`` returns text, raises ``TimeoutError`` to ask for smaller
+    chunks, or fails.
 
-    ``retry`` is ``"rate_limit"`` (only such errors are tried again) or ``"any"``. Waiting between
-    attempts is up to the callable.
+    The prompt names the files ``inline`` or ``listed`` one a line; prompt and budget are those of the piece that
+    is tried, so halves get their own. ``retry`` is ``"rate_limit"`` (only such errors are tried again) or
+    ``"any"``. Waiting between attempts is up to the callable.
     """
 
     name: str
-    call: Callable[[list[int], list[str]], str]
+    call: Callable[[list[int], list[str], str, int], str]
     retry: str = "rate_limit"
+    prompt: str = "inline"
 
 
 def _worth_retrying(extractor: Extractor, message: str) -> bool:
@@ -38,13 +42,14 @@ def _worth_retrying(extractor: Extractor, message: str) -> bool:
     return any(marker in lowered for marker in RATE_LIMIT_MARKERS)
 
 
-def _first_success(extractors: Sequence[Extractor], pages: list[int], refs: list[str], attempts: int):
+def _first_success(extractors: Sequence[Extractor], pages: list[int], refs: list[str], prompts: dict[str, str],
+                   budget: int, attempts: int):
     """(status, text, extractor, error) after trying the extractors in order."""
     error = "no extractor given"
     for extractor in extractors:
         for attempt in range(attempts):
             try:
-                text = (extractor.call(pages, refs) or "").strip()
+                text = (extractor.call(pages, refs, prompts[extractor.prompt], budget) or "").strip()
                 if not text:
                     raise RuntimeError(f"Empty response from {extractor.name}")
                 return "ok", text, extractor.name, None
@@ -86,14 +91,18 @@ def split_plan(chunks: DataFrame, depth: int = MAX_SPLIT_DEPTH) -> DataFrame:
 
 def apply_with_fallback(
     chunks: DataFrame, extractors: Sequence[Extractor], max_rounds: int = MAX_SPLIT_DEPTH,
-    attempts: int = MAX_ATTEMPTS,
+    attempts: int = MAX_ATTEMPTS, parallelism: int | None = None, rows_per_batch: int = 1,
+    finished: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """Run the extractors over (deck, chunk, pages, refs); one result row per chunk.
 
     Each round is written before it is used, so no callable runs twice for a finished round. A
     timeout ends the try and the piece is halved for the next round, up to ``max_rounds`` times.
+    After each round ``finished`` gets the result rows of the chunks that have no piece left to try.
+    ``parallelism`` tasks (the shuffle partitions, if not given) make the calls.
     """
-    width = shuffle_width(chunks.sparkSession)
+    spark = chunks.sparkSession
+    width = parallelism or shuffle_width(spark)
     shape = stage(chunks.select("deck", "chunk", "pages", "refs", F.lit("").alias("path")), "chunks")
     names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in shape.schema)
     result_schema = f"{names}, status string, text string, extractor string, error string"
@@ -103,24 +112,36 @@ def apply_with_fallback(
         for batch in batches:
             pages = [[int(p) for p in row] for row in batch["pages"]]
             refs = [list(row) for row in batch["refs"]]
-            results = [_first_success(tried, p, r, attempts) for p, r in zip(pages, refs)]
-            batch = batch.assign(pages=pages, refs=refs)
+            prompts = [{"inline": a, "listed": b} for a, b in zip(batch["_inline"], batch["_listed"])]
+            results = [_first_success(tried, *row, attempts) for row in zip(pages, refs, prompts, batch["_budget"].map(int))]
+            batch = batch.drop(columns=["_inline", "_listed", "_budget"]).assign(pages=pages, refs=refs)
             for i, name in enumerate(("status", "text", "extractor", "error")):
                 batch[name] = pd.Series([r[i] for r in results], index=batch.index, dtype=object)
             yield batch
 
     pending, n_pending, settled = shape, shape.count(), None
     for depth in range(max_rounds + 1):
-        spread = pending.repartition(max(1, min(width, n_pending)), "deck", "chunk", "path")
-        outcome = stage(spread.mapInPandas(run, result_schema), "extracted")
+        spread = pending.repartition(max(1, min(width, n_pending)), "deck", "chunk", "path").withColumns({
+            "_inline": X.inline_prompt(F.col("pages"), F.col("refs")), "_listed": X.listed_prompt(F.col("pages"), F.col("refs")),
+            "_budget": X.time_budget(F.size("pages"))})
+        with small_batches(spark, rows_per_batch):
+            outcome = stage(spread.mapInPandas(run, result_schema), "extracted")
         splittable = (F.col("status") == "timeout") & (F.size("pages") > 1) & F.lit(depth < max_rounds)
         final = outcome.filter(~splittable).drop("pages", "refs")
         settled = final if settled is None else settled.unionByName(final)
         timed_out = outcome.filter(splittable).select(*shape.columns)
         pending, n_pending = _halves(timed_out), 2 * timed_out.count()
+        if finished:
+            # A chunk that ends in this round had a piece in it.
+            ended = outcome.select("deck", "chunk").distinct().join(timed_out.select("deck", "chunk"), ["deck", "chunk"], "left_anti")
+            finished(_assembled(settled.join(ended, ["deck", "chunk"], "left_semi")))
         if not n_pending:
             break
+    return _assembled(settled)
 
+
+def _assembled(settled: DataFrame) -> DataFrame:
+    """One row per chunk out of its pieces."""
     by_path = F.sort_array(F.collect_list(F.struct("path", "text", "extractor")))
     failed = F.count_if(F.col("status") != "ok") > 0
     return settled.groupBy("deck", "chunk").agg(
@@ -137,7 +158,8 @@ def apply_with_fallback(
     )
 
 
-def apply_isolated(items: DataFrame, fn: Callable[[dict], str], item_col: str = "item") -> DataFrame:
+def apply_isolated(items: DataFrame, fn: Callable[[dict], str], item_col: str = "item",
+                   parallelism: int | None = None) -> DataFrame:
     """Run ``fn`` on each row; an exception becomes a failed row and the others go on.
 
     The items are spread over the cluster first, as ``fn`` is taken to be slow. Write the result out
@@ -155,5 +177,5 @@ def apply_isolated(items: DataFrame, fn: Callable[[dict], str], item_col: str =
                     rows.append((row[item_col], "failed", None, str(exc)[: ERROR_CHARS]))
             yield pd.DataFrame(rows, columns=["item", "status", "output", "error"])
 
-    spread = items.repartition(shuffle_width(items.sparkSession), item_col)
+    spread = items.repartition(parallelism or shuffle_width(items.sparkSession), item_col)
     return spread.mapInPandas(run, f"item {item_type}, status string, output string, error string")

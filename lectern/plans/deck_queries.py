@@ -346,7 +346,7 @@ def strip_texts(t):
 
 # Stand-ins for real extractors: fixed rules on the page numbers decide what fails and how.
 
-def _first_extractor(pages, refs):
+def _first_extractor(pages, refs, prompt, budget):
     if len(pages) > 8:
         raise TimeoutError
     if pages[0] % 3 == 0:
@@ -354,7 +354,7 @@ def _first_extractor(pages, refs):
     return "\n\n".join(f"## Slide {p}\n\n{r}" for p, r in zip(pages, refs))
 
 
-def _second_extractor(pages, refs):
+def _second_extractor(pages, refs, prompt, budget):
     if pages[0] % 5 == 0:
         raise ValueError("unreadable page " + str(pages[0]))
     return "second\n" + "\n".join(refs)
@@ -386,6 +386,27 @@ def apply_with_fallback(t):
         chunks, [A.Extractor("first", _first_extractor), A.Extractor("second", _second_extractor, retry="any")])
 
 
+def _budget_extractor(pages, refs, prompt, budget):
+    """Stand-in that says what it was given: the time, and the pages that the prompt asks for."""
+    if len(pages) > 8:
+        raise TimeoutError
+    return f"{budget}: " + re.search(r"sections for slides: ([0-9, ]*)\.", prompt).group(1)
+
+
+@query("extraction_budgets", with_sql(REMAINING_LARGE, chunks_sql("todo"), """pieces(deck, chunk, path, pages, depth) AS (
+  SELECT deck, chunk, '', pages, 0 FROM chunks UNION ALL
+  SELECT deck, chunk, path || side, CASE WHEN side = 'L' THEN pages[1:len(pages) // 2] ELSE pages[len(pages) // 2 + 1:] END,
+         depth + 1
+  FROM pieces, (VALUES ('L'), ('R')) s(side) WHERE depth < 3 AND len(pages) > 8)""", body="""
+SELECT deck, chunk, string_agg(greatest(180, least(900, 30 * len(pages))) || ': ' || array_to_string(pages, ', '),
+                               chr(10) || chr(10) ORDER BY path) AS raw_text
+FROM pieces WHERE len(pages) <= 8 GROUP BY deck, chunk"""))
+def extraction_budgets(t):
+    chunks = V.large_chunks(t).withColumn("refs", F.transform("pages", lambda p: F.concat(F.lit("image "), p.cast("string"))))
+    tried = A.apply_with_fallback(chunks, [A.Extractor("only", _budget_extractor, prompt="listed")])
+    return tried.select("deck", "chunk", "raw_text")
+
+
 def _check_word(row):
     """Fails on a text without a capital O, otherwise says where the first one is."""
     return f"{row['lang']}:{row['text'].index('O')}"

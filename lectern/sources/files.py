@@ -40,7 +40,7 @@ def existing_slides(files: DataFrame) -> DataFrame:
 
 
 def render_slides(slides: DataFrame) -> DataFrame:
-    """File name, text and Markdown of each slide."""
+    """File name, text and Markdown of each slide, made when slides are read; only the texts are stored."""
     return slides.select(
         "deck", "slide_no", P.slide_file(F.col("slide_no")).alias("file_name"), "text",
         P.slide_markdown(F.col("slide_no"), F.col("text")).alias("markdown"),
@@ -48,9 +48,9 @@ def render_slides(slides: DataFrame) -> DataFrame:
 
 
 def write_slides(slides: DataFrame, path: str, mode: str = "append") -> None:
-    """Write rendered slides in deck buckets. Rebalancing splits a bucket that holds a very long deck."""
+    """Write slides (deck, slide_no, text) in deck buckets. Rebalancing splits a bucket that holds a very long deck."""
     (
-        render_slides(slides)
+        slides.select("deck", "slide_no", "text")
         .withColumn("bucket", F.pmod(F.hash("deck"), F.lit(SLIDE_BUCKETS)))
         .hint("rebalance", "bucket")
         .write.mode(mode).partitionBy("bucket").parquet(path)
@@ -58,7 +58,7 @@ def write_slides(slides: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def read_slides(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("bucket")
+    return render_slides(spark.read.parquet(path))
 
 
 def has_slides(spark: SparkSession, path: str) -> bool:
@@ -68,4 +68,4 @@ def has_slides(spark: SparkSession, path: str) -> bool:
 
 def written_pages(spark: SparkSession, path: str) -> DataFrame:
     """(deck, page) of written slides; reads the two key columns only."""
-    return read_slides(spark, path).select("deck", F.col("slide_no").alias("page")).distinct()
+    return spark.read.parquet(path).select("deck", F.col("slide_no").alias("page")).distinct()

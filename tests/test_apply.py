@@ -17,12 +17,12 @@ def chunk(spark, *page_lists):
     return spark.createDataFrame(rows, "deck string, chunk int, pages array<int>, refs array<string>")
 
 
-def echo(pages, refs):
+def echo(pages, refs, *_):
     return "\n\n".join(f"## Slide {p}\n\n{r}" for p, r in zip(pages, refs))
 
 
 def times_out_above(n):
-    def call(pages, refs):
+    def call(pages, refs, *_):
         if len(pages) > n:
             raise TimeoutError
         return echo(pages, refs)
@@ -30,7 +30,7 @@ def times_out_above(n):
 
 
 def fails(message):
-    def call(pages, refs):
+    def call(pages, refs, *_):
         raise RuntimeError(message)
     return call
 
@@ -43,7 +43,7 @@ def test_order_and_retry(spark, tmp_path):
     log = str(tmp_path / "calls")
 
     def flaky(name, message, good_on):
-        def call(pages, refs):
+        def call(pages, refs, *_):
             with open(f"{log}-{name}", "a") as f:
                 f.write("x")
             with open(f"{log}-{name}") as f:
@@ -67,7 +67,7 @@ def test_order_and_retry(spark, tmp_path):
 def test_all_fail(spark):
     got = result(spark, [1, 2], A.Extractor("a", fails("first")), A.Extractor("b", fails("x" * 999)))
     assert (got.status, got.raw_text, got.error) == ("error", None, "x" * 400)
-    assert result(spark, [1], A.Extractor("a", lambda p, r: "  ")).error == "Empty response from a"
+    assert result(spark, [1], A.Extractor("a", lambda p, r, *_: "  ")).error == "Empty response from a"
 
 
 @pytest.mark.parametrize("n", [1, 2, 7, 20])
@@ -117,3 +117,21 @@ def test_isolated(spark):
     assert tuples(D.run_counts(results)) == [(3, 1)]
     assert [tuple(r) for r in D.run_listing(results).collect()] == [
         ("converted", "out0"), ("converted", "out1"), ("converted", "out3"), ("failed", "i2: bad two")]
+
+
+def test_pieces_get_their_own_prompt_and_budget(spark):
+    def call(pages, refs, prompt, budget):
+        if len(pages) > 10:
+            raise TimeoutError
+        return f"{budget} {prompt.count('- ')} {prompt.count('@')}"
+
+    got = result(spark, list(range(1, 21)), A.Extractor("a", call, prompt="listed"))
+    assert got.raw_text == "300 10 0\n\n300 10 0"
+    assert result(spark, [1, 2], A.Extractor("a", call)).raw_text == "180 0 2"
+
+
+def test_finished_chunks_are_handed_over_each_round(spark):
+    seen = []
+    out = A.apply_with_fallback(chunk(spark, list(range(8)), [9]), [A.Extractor("a", times_out_above(4))],
+                                finished=lambda df: seen.append(sorted(r["chunk"] for r in df.collect())))
+    assert seen == [[2], [1]] and out.count() == 2

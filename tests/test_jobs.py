@@ -1,6 +1,7 @@
 import os
 import sys
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def reader(bad=()):
-    def call(pages, refs):
+    def call(pages, refs, *_):
         if set(pages) & set(bad):
             raise ValueError("bad page")
         return "\n\n".join(f"## Slide {p}\n\ntext of {r}" for p, r in zip(pages, refs))
@@ -37,6 +38,31 @@ def test_extraction_resumes(spark, tmp_path):
     assert slides.filter(F.col("text") != F.concat(F.lit("text of "), "deck", F.lit("#"), "slide_no")).isEmpty()
 
 
+def test_a_broken_run_keeps_what_its_rounds_finished(spark, tmp_path):
+    out, log = str(tmp_path / "slides"), str(tmp_path / "calls")
+
+    def breaking(pages, refs, *_):
+        if len(pages) > 10:
+            raise TimeoutError
+        if len(pages) > 5:
+            raise SystemExit("the machine is gone")
+        return "\n\n".join(f"## Slide {p}\n\nx" for p in pages)
+
+    def logged(pages, refs, *_):
+        with open(log, "a") as f:
+            f.write(" ".join(refs) + " ")
+        return "\n\n".join(f"## Slide {p}\n\nx" for p in pages)
+
+    decks = spark.createDataFrame([("a", 4), ("b", 80)], "deck string, total_pages long")
+    with pytest.raises(Exception):
+        jobs.extract_decks(decks, [A.Extractor("breaking", breaking)], out)
+    assert {r["deck"] for r in S.written_pages(spark, out).collect()} == {"a"}
+    jobs.extract_decks(decks, [A.Extractor("logged", logged)], out)
+    with open(log) as f:
+        assert {ref.split("#")[0] for ref in f.read().split()} == {"b"}
+    assert jobs.unfinished(jobs.index_decks(decks, out)).isEmpty()
+
+
 def test_tree_conversion(spark, tmp_path):
     for name in ("a.ppt", "sub/b.PPTX", "sub/c.odp", "sub/c.pdf", "bad.pps", "notes.txt"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
