@@ -236,7 +236,7 @@ SELECT n AS entry_id, source AS topic, md5(text) AS body_md5, TIMESTAMP '{AS_OF}
 FROM docs WHERE NOT source LIKE '%src1%' UNION ALL
 SELECT total + row_number() OVER (ORDER BY doc_id), 'again ' || source, md5(text), TIMESTAMP '{AS_OF}' FROM docs""")
 def store_commands(t):
-    """Store all documents, purge one topic, store them again: ids go on from the high-water mark."""
+    """Store all documents, purge one topic, store them again: ids go on above all that were issued."""
     spark = t.documents.sparkSession
     store = StudyStore(spark, scratch_path(spark, "store"))
 
@@ -245,9 +245,9 @@ def store_commands(t):
             F.concat(F.lit(prefix), "source").alias("topic"), F.col("text").alias("body"),
             F.lpad(F.col("doc_id").cast("string"), 20, "0").alias("tags"))
 
-    store.store_content(incoming(""), AS_OF, order_cols=["tags"])
+    issued = store.store_content(incoming(""), AS_OF, 1, order_cols=["tags"])
     store.purge("src1")
-    store.store_content(incoming("again "), AS_OF, order_cols=["tags"])
+    store.store_content(incoming("again "), AS_OF, issued + 1, order_cols=["tags"])
     return store.read("content").select("entry_id", "topic", F.md5("body").alias("body_md5"), "fetched_at")
 
 
@@ -258,7 +258,7 @@ def clear_all_keeps_counting(t):
     spark = t.part.sparkSession
     store = StudyStore(spark, scratch_path(spark, "store"))
     bank = V.problems(t).withColumn("solution", F.lpad(F.col("problem_id").cast("string"), 20, "0"))
-    store.store_problems(bank, AS_OF, order_cols=["solution"])
+    issued = store.store_problems(bank, AS_OF, 1, order_cols=["solution"])
     store.clear_all()
-    store.store_problems(bank, AS_OF, order_cols=["solution"])
+    store.store_problems(bank, AS_OF, issued + 1, order_cols=["solution"])
     return store.read("problems").select("problem_id", "topic", "source")

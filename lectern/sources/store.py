@@ -1,21 +1,25 @@
-"""A versioned Parquet store for content, problems and sessions.
+"""Content, problems and sessions as plain Parquet tables, partitioned by the day of expiry.
 
-Each table is a folder of version folders; the newest finished one counts. Appends add files to it.
-Removals write the survivors as the next version, because a Parquet path cannot be overwritten while it
-is read. One writer at a time.
+The operators are those of ``lectern.operators.content``; here they meet tables on disk. Removals touch only the
+partitions that hold a row to remove: a partition that expires as a whole is dropped, others are rewritten from their
+survivors. One writer at a time. The caller knows which ids were issued and says where new ones start.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import fixed_values as V
+from lectern.functions.text import topic_matches
 from lectern.operators import content as C
 from lectern.operators.numbering import assign_ids
 from lectern.schemas import STORE_TABLES
+from lectern.session import path_exists, remove_folder, stage
+
+DAY = "expires_on"
 
 
 class StudyStore:
@@ -23,85 +27,46 @@ class StudyStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # --- versions -----------------------------------------------------------------------------
-
-    def _versions(self, table: str) -> list[tuple[int, bool]]:
-        """(number, finished) of the version folders."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
-        fs = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        if not fs.exists(folder):
-            return []
-        found = []
-        for status in fs.listStatus(folder):
-            name = status.getPath().getName()
-            if name.startswith("v="):
-                done = fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-                found.append((int(name[2:]), done))
-        return sorted(found)
-
-    def _current(self, table: str) -> str | None:
-        finished = [n for n, done in self._versions(table) if done]
-        return f"{self.root}/{table}/v={finished[-1]}" if finished else None
-
-    def _next(self, table: str) -> str:
-        versions = self._versions(table)
-        return f"{self.root}/{table}/v={versions[-1][0] + 1 if versions else 1}"
+    def _path(self, table: str) -> str:
+        return f"{self.root}/{table}"
 
-    def read(self, table: str) -> DataFrame:
+    def _with_day(self, table: str) -> DataFrame:
         schema, _ = STORE_TABLES[table]
-        path = self._current(table)
-        return self.spark.read.schema(schema).parquet(path) if path else self.spark.createDataFrame([], schema)
-
-    def replace(self, table: str, rows: DataFrame) -> None:
-        """Write ``rows`` as the next version; the one being read stays untouched."""
-        rows.write.parquet(self._next(table))
+        if not path_exists(self.spark, self._path(table)):
+            return self.spark.createDataFrame([], schema).withColumn(DAY, F.lit(None).cast("string"))
+        return self.spark.read.schema(f"{schema.toDDL()}, {DAY} string").parquet(self._path(table))
 
-    # --- ids ----------------------------------------------------------------------------------
-
-    def high_water(self, table: str) -> int:
-        """Largest id ever issued, whatever was removed since."""
-        if not self._versions("ids"):
-            return 0
-        issued = self.spark.read.parquet(f"{self.root}/ids/v=1").filter(F.col("table_name") == table)
-        return issued.agg(F.max("last_id")).first()[0] or 0
-
-    def _issue(self, table: str, last_id: int) -> None:
-        row = self.spark.createDataFrame([(table, last_id)], "table_name string, last_id long")
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/ids/v=1")
+    def read(self, table: str) -> DataFrame:
+        return self._with_day(table).drop(DAY)
 
-    def _append(self, table: str, rows: DataFrame, order_cols: Sequence[str] | None) -> int:
-        """Number the rows above the high-water mark, record the new mark, then add the rows."""
+    def _append(self, table: str, rows: DataFrame, start_id: int, order_cols: Sequence[str] | None) -> int:
         schema, id_col = STORE_TABLES[table]
-        first = self.high_water(table) + 1
-        numbered = assign_ids(rows, id_col, first, order_cols).select(*schema.fieldNames())
-        last = numbered.agg(F.max(id_col)).first()[0]
-        if last is None:
-            return 0
-        self._issue(table, last)
-        numbered.write.mode("append").parquet(self._current(table) or self._next(table))
-        return last - first + 1
+        day = F.coalesce(F.date_format("expires_at", "yyyy-MM-dd"), F.lit(V.NEVER)) if "expires_at" in schema.fieldNames() else F.lit(V.NEVER)
+        numbered = assign_ids(rows, id_col, start_id, order_cols).select(*schema.fieldNames(), day.alias(DAY))
+        seen = Observation()
+        numbered.observe(seen, F.count("*").alias("rows")).write.mode("append").partitionBy(DAY).parquet(self._path(table))
+        return seen.get.get("rows") or 0
 
     # --- commands -----------------------------------------------------------------------------
 
-    def store_content(self, incoming: DataFrame, as_of: C.Instant, ttl_days: int = V.TTL_DAYS,
+    def store_content(self, incoming: DataFrame, as_of: C.Instant, start_id: int, ttl_days: int = V.TTL_DAYS,
                       order_cols: Sequence[str] | None = None) -> int:
         """Returns the number of rows stored; rows with an empty body are not."""
         rows = C.new_content(self.read("content"), incoming, as_of, ttl_days)
-        return self._append("content", rows, order_cols)
+        return self._append("content", rows, start_id, order_cols)
 
-    def store_problems(self, incoming: DataFrame, as_of: C.Instant, ttl_days: int = V.TTL_DAYS,
+    def store_problems(self, incoming: DataFrame, as_of: C.Instant, start_id: int, ttl_days: int = V.TTL_DAYS,
                        order_cols: Sequence[str] | None = None) -> int:
         rows = C.new_problems(self.read("problems"), incoming, as_of, ttl_days)
-        return self._append("problems", rows, order_cols)
+        return self._append("problems", rows, start_id, order_cols)
 
-    def log_sessions(self, sessions: DataFrame, order_cols: Sequence[str] | None = None) -> int:
+    def log_sessions(self, sessions: DataFrame, start_id: int, order_cols: Sequence[str] | None = None) -> int:
         schema, _ = STORE_TABLES["sessions"]
         filled = sessions.select(*[
             (F.col(f.name) if f.name in sessions.columns else F.lit(0 if f.name == "checkpoint" else None))
             .cast(f.dataType).alias(f.name) for f in schema
         ])
-        return self._append("sessions", filled, order_cols)
+        return self._append("sessions", filled, start_id, order_cols)
 
     def get(self, text: str, as_of: C.Instant, k: int = V.LATEST_ENTRIES) -> DataFrame:
         return C.latest(self.read("content"), text, as_of, k)
@@ -119,23 +84,34 @@ class StudyStore:
     def stats(self, as_of: C.Instant) -> DataFrame:
         return C.store_stats(self.read("content"), self.read("problems"), as_of)
 
-    def _keep(self, kept: dict[str, DataFrame], counts: DataFrame) -> dict[str, int]:
-        removed = {r["table_name"]: r["removed"] for r in counts.collect()}  # one row per table
-        for table, rows in kept.items():
-            if removed.get(table):
-                self.replace(table, rows)
-        return {table: removed.get(table, 0) for table in kept}
+    # --- removals -----------------------------------------------------------------------------
+
+    def _remove(self, table: str, gone: Column) -> int:
+        """Remove the rows for which ``gone`` holds, partition by partition; returns how many there were."""
+        rows = self._with_day(table).withColumn("_gone", F.coalesce(gone, F.lit(False)))
+        # One row per day with something to remove.
+        days = rows.groupBy(DAY).agg(F.count_if("_gone").alias("gone"), F.count("*").alias("rows")).filter("gone > 0").collect()
+        partly = [d[DAY] for d in days if d["gone"] < d["rows"]]
+        if partly:
+            kept = stage(rows.filter(F.col(DAY).isin(partly) & ~F.col("_gone")).drop("_gone"), "survivors")
+            kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(self._path(table))
+        for d in days:
+            if d["gone"] == d["rows"]:
+                remove_folder(self.spark, f"{self._path(table)}/{DAY}={d[DAY]}")
+        return sum(d["gone"] for d in days)
 
     def purge(self, text: str) -> dict[str, int]:
-        content, problems, counts = C.purge(self.read("content"), self.read("problems"), text)
-        return self._keep({"content": content, "problems": problems}, counts)
+        return {t: self._remove(t, topic_matches(F.col("topic"), text)) for t in ("content", "problems")}
 
     def clear_expired(self, as_of: C.Instant) -> dict[str, int]:
-        content, problems, counts = C.clear_expired(self.read("content"), self.read("problems"), as_of)
-        return self._keep({"content": content, "problems": problems}, counts)
+        """Whole days before ``as_of`` are counted from the files' footers and dropped."""
+        removed = {}
+        for table in ("content", "problems"):
+            rows = self._with_day(table)
+            removed[table] = self._remove(table, (F.col(DAY) < str(as_of)[:10]) | ((F.col(DAY) == str(as_of)[:10]) & ~C.is_live(rows, as_of)))
+        return removed
 
     def clear_all(self) -> None:
-        """Empty all three tables; ids go on from where they were."""
-        for table, (schema, _) in STORE_TABLES.items():
-            if self._current(table):
-                self.replace(table, self.spark.createDataFrame([], schema))
+        """Empty all three tables."""
+        for table in STORE_TABLES:
+            remove_folder(self.spark, self._path(table))

@@ -98,15 +98,15 @@ def test_store_life(spark, tmp_path):
     store = StudyStore(spark, str(tmp_path / "store"))
     texts = spark.createDataFrame([("Optics", "a"), ("optics 2", "b"), ("Atoms", " ")], "topic string, body string")
     assert store.read("content").count() == 0
-    assert store.store_content(texts, AS_OF) == 2
+    assert store.store_content(texts, AS_OF, 1) == 2
     assert store.purge("OPTICS") == {"content": 2, "problems": 0}
     assert store.read("content").count() == 0
-    assert store.store_content(texts, AS_OF) == 2
+    assert store.store_content(texts, AS_OF, 3) == 2
     assert sorted(r.entry_id for r in store.read("content").collect()) == [3, 4]
     problems = spark.createDataFrame([("Optics", "  p ")], "topic string, problem string")
-    assert store.store_problems(problems, AS_OF) == 1
+    assert store.store_problems(problems, AS_OF, 1) == 1
     assert store.read("problems").first().problem == "  p "
-    assert store.log_sessions(spark.createDataFrame([("Optics",)], "topic string")) == 1
+    assert store.log_sessions(spark.createDataFrame([("Optics",)], "topic string"), 1) == 1
     assert store.read("sessions").first().checkpoint == 0
     assert tuple(store.stats(AS_OF).first()) == (2, 2, 1)
     assert store.purge("Optics 2") == {"content": 1, "problems": 0}
@@ -117,21 +117,34 @@ def test_store_life(spark, tmp_path):
     assert store.get_problems("opt", AS_OF).count() == 1
     assert store.list_problem_topics(AS_OF).count() == 1
     assert store.clear_expired(later) == {"content": 1, "problems": 1}
-    store.store_content(texts, AS_OF)
+    store.store_content(texts, AS_OF, 5)
     store.clear_all()
     assert [store.read(t).count() for t in ("content", "problems", "sessions")] == [0, 0, 0]
-    store.store_content(texts, AS_OF)
+    store.store_content(texts, AS_OF, 7)
     assert sorted(r.entry_id for r in store.read("content").collect()) == [7, 8]
 
 
-def test_unfinished_version_is_ignored(spark, tmp_path):
+def test_removals_leave_other_files_alone(spark, tmp_path):
     store = StudyStore(spark, str(tmp_path / "s"))
-    store.store_content(spark.createDataFrame([("A", "x")], "topic string, body string"), AS_OF)
-    (tmp_path / "s" / "content" / "v=2").mkdir()
-    assert store.read("content").count() == 1
-    store.purge("A")
-    assert (tmp_path / "s" / "content" / "v=3" / "_SUCCESS").exists()
-    assert store.read("content").count() == 0
+    texts = spark.createDataFrame([("Optics", "a"), ("Atoms", "b")], "topic string, body string")
+    atoms = texts.filter("topic = 'Atoms'")
+    store.store_content(texts, AS_OF, 1, ttl_days=5)
+    store.store_content(atoms, AS_OF, 10, ttl_days=9)
+    store.store_content(atoms, AS_OF, 20, ttl_days=1)
+
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "s" / "content").rglob("*.parquet")}
+
+    def day(n):
+        return (NOW + dt.timedelta(days=n)).strftime("%Y-%m-%d")
+
+    before = files()
+    assert store.purge("optics")["content"] == 1
+    after = files()
+    assert {p for p in before if f"={day(9)}" in p or f"={day(1)}" in p} == {p for p in after if p in before and after[p] == before[p]}
+    assert store.clear_expired(NOW + dt.timedelta(days=3))["content"] == 1
+    assert {p: t for p, t in after.items() if f"={day(1)}" not in p} == files()
+    assert sorted(r.entry_id for r in store.read("content").collect()) == [2, 10]
 
 
 def test_purge_and_clear_split_the_rows(content):
