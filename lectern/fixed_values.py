@@ -28,8 +28,22 @@ RATE_LIMIT_MARKERS = [
     "too many requests",
 ]
 ERROR_CHARS = 400
-FAILURE_CHARS = 120
-RETRY_CHARS = 80
+
+# A section of a response: heading line with a bare number, then everything up to the next numbered heading. The lenient
+# form takes any white space around the heading, the strict one wants a line of its own.
+SECTION = {
+    "compat": r"(?Us)##\s+[Ss]lide\s+(\d+)\s*\n(.*?)(?=\n##\s+[Ss]lide\s+\d+|\z)",
+    "strict": (
+        r"(?s)(?:\A|(?<=\n))##[ \t]+[Ss]lide[ \t]+(\d+)[ \t]*(?:\n|\z)"
+        r"(.*?)(?=(?:(?<=\n)|\n)##[ \t]+[Ss]lide[ \t]+\d+[ \t]*(?:\n|\z)|\z)"
+    ),
+}
+
+# Texts of a deck's index; {…} are filled
+INDEX_HEAD = [
+    "# Extracted: {deck}", "- Total pages: {total}", "- Extracted range: {start} to {end}", "- DPI: {dpi}",
+    "- Slides extracted: {extracted}", "", "## Slide Index",
+]
 
 # Unicode white space (the characters a Unicode-aware strip removes)
 WHITESPACE = (

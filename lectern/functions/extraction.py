@@ -9,15 +9,6 @@ from lectern import fixed_values as V
 from lectern.functions.curriculum import filled
 from lectern.functions.text import forward_slashes, strip
 
-# A section: heading line with a bare number, then everything up to the next numbered heading.
-SECTION = {
-    "compat": r"(?U)##\s+[Ss]lide\s+(\d+)\s*\n([\s\S]*?)(?=\n##\s+[Ss]lide\s+\d+|\z)",
-    "strict": (
-        r"(?:\A|(?<=\n))##[ \t]+[Ss]lide[ \t]+(\d+)[ \t]*(?:\n|\z)"
-        r"([\s\S]*?)(?=(?:(?<=\n)|\n)##[ \t]+[Ss]lide[ \t]+\d+[ \t]*(?:\n|\z)|\z)"
-    ),
-}
-
 
 def time_budget(pages: Column) -> Column:
     """Seconds allowed for a chunk: 30 per page, between 180 and 900."""
@@ -57,7 +48,7 @@ def listed_prompt(pages: Column, refs: Column) -> Column:
 
 def sections(raw: Column, pages: Column, mode: str = "compat") -> Column:
     """Array of (page, text) for the sections whose number is among ``pages``, in order of appearance."""
-    pattern = F.lit(SECTION[mode])
+    pattern = F.lit(V.SECTION[mode])
     found = F.arrays_zip(
         F.regexp_extract_all(raw, pattern, F.lit(1)).alias("number"),
         F.regexp_extract_all(raw, pattern, F.lit(2)).alias("body"),

@@ -10,6 +10,7 @@ from pyspark.sql import Window
 
 from lectern import fixed_values as V
 from lectern.functions import extraction as X
+from lectern.functions.curriculum import filled
 from lectern.functions import paths as P
 from lectern.functions.text import strip
 from lectern.operators.numbering import positions
@@ -182,16 +183,8 @@ def index_blocks(slides: DataFrame, entries: int = ENTRIES_PER_BLOCK) -> DataFra
 
 def index_lines(slides: DataFrame, index: DataFrame) -> DataFrame:
     """The index as text lines (deck, line_no, line): heading, figures, then one line per page."""
-    head = F.array(
-        F.concat(F.lit("# Extracted: "), F.col("deck").cast("string")),
-        F.concat(F.lit("- Total pages: "), F.col("total_pages").cast("string")),
-        F.concat(F.lit("- Extracted range: "), F.col("start_page").cast("string"), F.lit(" to "),
-                 F.col("end_page").cast("string")),
-        F.concat(F.lit("- DPI: "), F.col("dpi").cast("string")),
-        F.concat(F.lit("- Slides extracted: "), F.col("n_extracted").cast("string")),
-        F.lit(""),
-        F.lit("## Slide Index"),
-    )
+    values = {"deck": "deck", "total": "total_pages", "start": "start_page", "end": "end_page", "dpi": "dpi", "extracted": "n_extracted"}
+    head = F.array(*[filled(line, **{k: F.col(c).cast("string") for k, c in values.items() if f"{{{k}}}" in line}) for line in V.INDEX_HEAD])
     top = index.select("deck", F.posexplode(head).alias("i", "line")).select(
         "deck", (F.col("i") + 1).cast("long").alias("line_no"), "line")
     pages = slides.select("deck", "slide_no").distinct()

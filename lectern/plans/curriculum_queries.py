@@ -233,6 +233,16 @@ def search_queries(t):
     return U.search_queries(V.problems(t).select("topic").distinct())
 
 
+_PROBLEM_SEARCHES = ", ".join("'" + s.replace("'", "''") + "'" for s in K.PROBLEM_SEARCH_TEMPLATES)
+
+
+@query("problem_search_queries", with_sql(PROBLEMS, body=f"""
+SELECT topic, i - 1 AS template_no, replace([{_PROBLEM_SEARCHES}][i], '{{topic}}', topic) AS search_text
+FROM (SELECT DISTINCT topic FROM problems), (SELECT unnest([1, 2]) AS i)"""))
+def problem_search_queries(t):
+    return U.search_queries(V.problems(t).select("topic").distinct(), K.PROBLEM_SEARCH_TEMPLATES)
+
+
 # --- quizzes ----------------------------------------------------------------------------------
 
 @query("checkpoints", """
