@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern import fixed_values as V
 from lectern.functions.text import fold, match_pattern
 from lectern.operators.content import Instant, live
 from lectern.operators.numbering import in_first
+from lectern.session import stage
 
 GRAM = 3
 
@@ -20,20 +21,20 @@ def _grams(text: str, width: int) -> str:
 
 
 def _all_grams(text: str) -> str:
-    """SQL for the empty gram and all grams of a text up to the widest."""
-    return f"array_distinct(concat(array(''), {', '.join(_grams(text, w) for w in range(1, GRAM + 1))}))"
+    """SQL for all grams of a text up to the widest."""
+    return f"array_distinct(concat({', '.join(_grams(text, w) for w in range(1, GRAM + 1))}))"
 
 
 def _pattern_grams(pattern: str) -> str:
-    """SQL for the grams that every match must hold: those of the widest width found in a literal run,
-    or the empty gram for a pattern of wildcards."""
+    """SQL for the grams that every match must hold: those of the widest width found in a literal run; none for a
+    pattern of wildcards."""
     runs = f"split({pattern}, '[%_]')"
     longest = f"array_max(transform({runs}, r -> length(r)))"
     cases = " ".join(
         f"WHEN {longest} >= {w} THEN array_distinct(flatten(transform({runs}, r -> {_grams('r', w)})))"
         for w in range(GRAM, 0, -1)
     )
-    return f"CASE {cases} ELSE array('') END"
+    return f"CASE {cases} END"
 
 
 def lookup_many(content: DataFrame, queries: DataFrame, as_of: Instant, k: int = V.LATEST_ENTRIES) -> DataFrame:
@@ -41,12 +42,14 @@ def lookup_many(content: DataFrame, queries: DataFrame, as_of: Instant, k: int =
     ``hit`` false.
 
     Only the newest ``k`` rows of a topic can be among a query's newest ``k``, so each topic is cut
-    down first. Distinct topics and distinct patterns then meet on the pattern's rarest n-gram, and
-    the LIKE test runs on those candidates alone.
+    down first, by its keys alone. Distinct topics and distinct patterns then meet on the pattern's rarest
+    n-gram, and the LIKE test runs on those candidates. A pattern of wildcards only asks for a least length,
+    and is answered from the newest ``k`` rows of each topic length. The other columns are fetched last.
     """
     newest = [F.col("fetched_at").desc(), F.col("entry_id").desc()]
-    heads = in_first(live(content, as_of), ["topic"], newest, k, "_place").drop("_place")
-    topics = live(content, as_of).select("topic").distinct().withColumn("_folded", fold(F.col("topic")))
+    keys = live(content, as_of).select("topic", "fetched_at", "entry_id")
+    heads = stage(in_first(keys, ["topic"], newest, k, "_place").drop("_place"), "topic-heads")
+    topics = heads.select("topic").distinct().withColumn("_folded", fold(F.col("topic")))
     topic_grams = topics.select(
         "topic", "_folded",
         F.explode(F.expr(_all_grams("_folded"))).alias("_gram"),
@@ -67,6 +70,19 @@ def lookup_many(content: DataFrame, queries: DataFrame, as_of: Instant, k: int =
         .filter(F.like(F.col("_folded"), match_pattern(F.col("_text"))))
         .select("_text", "topic")
     )
-    best = in_first(pairs.join(heads, "topic"), ["_text"], newest, k, "place")
-    answered = patterns.join(best, "_text", "left").drop("_text")
+    found = pairs.join(heads, "topic").select("_text", "fetched_at", "entry_id").unionByName(
+        _by_length(distinct, heads, newest, k))
+    best = in_first(found, ["_text"], newest, k, "place").select("_text", "place", "entry_id")
+    entries = content.join(best.select("entry_id").distinct(), "entry_id", "left_semi").select(*content.columns)
+    answered = patterns.join(best.join(entries, "entry_id"), "_text", "left").drop("_text")
     return queries.join(answered, "query", "left").withColumn("hit", F.col("entry_id").isNotNull())
+
+
+def _by_length(distinct: DataFrame, heads: DataFrame, newest: list[Column], k: int) -> DataFrame:
+    """Newest rows for the patterns of wildcards: (_text, fetched_at, entry_id)."""
+    wild = distinct.filter(F.regexp_replace("_text", "[%_]", "") == "").select(
+        "_text", F.length(F.regexp_replace("_text", "%", "")).alias("_least"))
+    per_length = in_first(heads.withColumn("_length", F.length("topic")), ["_length"], newest, k, "_place")
+    reached = per_length.select("fetched_at", "entry_id", F.explode(F.sequence(F.lit(0), F.col("_length"))).alias("_least"))
+    top = in_first(reached, ["_least"], newest, k, "_place").drop("_place")
+    return wild.join(top, "_least").select("_text", "fetched_at", "entry_id")
