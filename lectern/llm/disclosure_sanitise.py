@@ -175,3 +175,77 @@ def sanitised(text: Column, spans: Column) -> Column:
 
     rest = F.aggregate(spans, zero, add, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
     return F.when(F.size(spans) > 0, rest).otherwise(text)
+
+
+def duckdb_twin() -> str:
+    """Counts, digest of the base spans and all spans as SQL over ``documents``, by the plain patterns."""
+    plain = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+        "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+    word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    hits = " UNION ALL ".join(
+        f"SELECT doc_id, t, '{kind}' AS kind, {rank} AS rank, regexp_extract_all(t, '{plain[kind]}') AS ms, "
+        f"string_split_regex(t, '{plain[kind]}') AS gs FROM doc" for rank, kind in enumerate(KINDS))
+    digit = "CAST(substr(d, CAST(length(d) - i AS INTEGER), 1) AS INTEGER)"
+    counts = ", ".join(f"CAST(count(*) FILTER (kind = '{kind}') AS BIGINT) AS n_{kind}" for kind in KINDS)
+    return rf"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+hit AS ({hits}),
+listed AS (SELECT doc_id, t, kind, rank, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS g, unnest(range(len(ms))) AS i FROM hit),
+placed AS (
+  SELECT doc_id, t, kind, rank, m, regexp_replace(m, '[^0-9]', '', 'g') AS d,
+         CAST(sum(length(g) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS e
+  FROM listed),
+span AS (
+  SELECT doc_id, t, kind, rank, e - length(m) AS s, e,
+         kind || ':' || CASE kind WHEN 'email' THEN lower(m) WHEN 'ip' THEN m ELSE d END AS entity
+  FROM placed
+  WHERE CASE kind
+    WHEN 'email' THEN true
+    WHEN 'ip' THEN len(list_filter(string_split(m, '.'), lambda x: coalesce(try_cast(x AS BIGINT), 256) > 255)) = 0
+    WHEN 'card' THEN length(d) BETWEEN 14 AND 19 AND list_sum(list_transform(range(length(d)), lambda i:
+         CASE WHEN i % 2 = 0 THEN {digit} WHEN {digit} > 4 THEN 2 * {digit} - 9 ELSE 2 * {digit} END)) % 10 = 0
+    ELSE length(d) BETWEEN 10 AND 15 END),
+beside AS (
+  SELECT doc_id, t, entity, kind, s, 0 AS side, greatest(0, s - {CONTEXT}) AS off,
+         substr(t, greatest(0, s - {CONTEXT}) + 1, s - greatest(0, s - {CONTEXT})) AS x FROM span
+  UNION ALL SELECT doc_id, t, entity, kind, s, 1, e, substr(t, e + 1, {CONTEXT}) FROM span),
+cut AS (
+  SELECT doc_id, t, entity, kind, s, side,
+         off + CASE WHEN side = 0 AND off > 0 THEN length(regexp_extract(x, '^{word}')) ELSE 0 END AS off,
+         CASE WHEN side = 0 AND off > 0 THEN regexp_replace(x, '^{word}', '')
+              WHEN side = 1 AND length(x) >= {CONTEXT} THEN regexp_replace(x, '{word}$', '') ELSE x END AS x
+  FROM beside),
+worded AS (
+  SELECT * EXCLUDE (ws, gs), unnest(ws) AS w, unnest(gs[1:len(ws)]) AS g, unnest(range(len(ws))) AS i
+  FROM (SELECT *, regexp_extract_all(x, '{word}') AS ws, string_split_regex(x, '{word}') AS gs FROM cut)),
+ended AS (
+  SELECT doc_id, t, entity, lower(w) AS term, length(w) AS n,
+         off + CAST(sum(length(g) + length(w)) OVER (PARTITION BY doc_id, kind, s, side ORDER BY i) AS BIGINT) AS e
+  FROM worded),
+near AS (
+  SELECT doc_id, t, entity, term, e - n AS s, e FROM ended
+  WHERE NOT EXISTS (SELECT 1 FROM span WHERE span.doc_id = ended.doc_id AND ended.e - n < span.e AND span.s < ended.e)),
+together AS (
+  SELECT entity, term, sum(n) AS n_et FROM (
+    SELECT entity, term, t, count(DISTINCT doc_id) AS n FROM near GROUP BY entity, term, t)
+  GROUP BY entity, term HAVING count(*) >= {SUPPORT}),
+entities AS (SELECT entity, count(DISTINCT doc_id) AS n_e FROM span GROUP BY entity),
+terms AS (SELECT term, count(DISTINCT doc_id) AS n_t
+          FROM (SELECT doc_id, unnest(regexp_extract_all(lower(t), '{word}')) AS term FROM doc) GROUP BY term),
+total AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM doc),
+judged AS (
+  SELECT entity, term FROM together JOIN entities USING (entity) JOIN terms USING (term), total
+  WHERE n_e < n AND ln(n_et * n / (n_e * n_t)) / ln(n / n_e) >= {GENERALISE}),
+every AS (
+  SELECT doc_id, kind, rank, s, e FROM span
+  UNION ALL SELECT DISTINCT doc_id, '{TERM}', {len(KINDS)}, s, e FROM near JOIN judged USING (entity, term)),
+per_doc AS (
+  SELECT doc_id, {counts},
+         coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) FILTER (kind <> '{TERM}'), '') AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) AS spans
+  FROM every GROUP BY doc_id)
+SELECT doc_id, {', '.join(f'coalesce(n_{kind}, 0) AS n_{kind}' for kind in KINDS)}, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM doc LEFT JOIN per_doc USING (doc_id)"""

@@ -49,7 +49,7 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents")).drop("stands")
 
 
-@query("op3_disclosure_sanitise")
+@query("op3_disclosure_sanitise", disclosure_sanitise.duckdb_twin())
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = disclosure_sanitise.find_personal_data(table(spark, folder, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_list", 256).alias("base_sha256"),
