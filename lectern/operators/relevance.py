@@ -25,7 +25,9 @@ def tag_relevance(
         F.when(title_only, "title only").when(has_word(F.col("_scanned"), include_terms), "include term")
         .when(has_word(F.col("_scanned"), skip_terms), "skip term").otherwise("default")
     )
-    scanned = slides.withColumn("_scanned", scannable(F.col("text"))).withColumn("reason", reason).drop("_scanned")
+    # A generated column cannot be merged into a later filter, so the texts are searched once.
+    scanned = slides.withColumn("_scanned", scannable(F.col("text"))).select(
+        *slides.columns, F.explode(F.array(reason)).alias("reason"))
     return scanned.withColumn(
         "verdict", F.when(F.col("reason").isin("title only", "skip term"), "skip").otherwise("include"))
 
