@@ -15,7 +15,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier one matches; ``n_chars`` follows the text."""
-    return line_dedup.remove_later_lines(docs, length_col="n_chars")
+    return line_dedup.remove_later_lines(docs, length_col="n_chars", min_words=line_dedup.ALL_LINES)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

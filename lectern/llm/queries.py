@@ -109,7 +109,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     return docs.select("doc_id", F.coalesce(lines, F.lit(0)).cast("long").alias("n_lines")).join(
-        line_dedup.removed_by_document(docs), "doc_id", "left").select(
+        line_dedup.removed_by_document(docs, min_words=line_dedup.ALL_LINES), "doc_id", "left").select(
         "doc_id", "n_lines", F.coalesce("n_compared", F.lit(0)).cast("long").alias("n_compared"),
         F.coalesce(F.size("removed_lines"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(F.array_join("removed_lines", ","), F.lit("")).alias("removed_lines"))
