@@ -1,22 +1,20 @@
 """SentencePiece encoding and decoding with seeded merge-dropout.
 
 A merge-type (BPE) model joins the best-scored neighbouring pieces first. Here each candidate that reaches the top of
-the agenda is skipped with probability ``dropout``; whether it is, is a hash keyed by seed, epoch, the document's
-stream, the run (a word with the spaces before it) and the candidate's place in it, so a rerun gives the same pieces
-and another epoch others. Documents are dealt to ``streams`` streams by a keyed hash of their id; a word is cut alike
-within a stream. Spaces become ``▁``, characters outside the vocabulary become byte pieces, and decoding gives back
-every text byte for byte.
-
-A task looks runs up in one table per stream; the tables hold ``table_words`` runs together at most and are emptied
-when full. The agendas of all runs that a batch lacks advance together as arrays: in each round every run pops its best
-candidate, skips or merges it, and looks up the two new neighbours. Runs of over ``LONG_RUN`` characters take a heap.
+the agenda is skipped with probability ``dropout``; whether it is, is a hash keyed by seed, epoch, the document's id,
+the run's place in the document (a run is a word with the spaces before it) and the candidate's place in the run. So a
+rerun gives the same pieces, another epoch others, and each occurrence of a word draws for itself. Spaces become ``▁``,
+characters outside the vocabulary become byte pieces, and decoding gives back every text byte for byte.
+
+The agendas of the runs of a batch advance together as arrays, at most ``table_words`` at a time: in each round every
+run pops its best candidate, skips or merges it, and looks up the two new neighbours. Runs of over ``LONG_RUN``
+characters take a heap.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,20 +23,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import mixed, span_hashes
+from lectern.llm.common import mixed
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
+#: Fewest ways in which many documents must cut a text; each document draws for itself.
 STREAMS = 8
-TABLE_WORDS = 800_000
 LONG_RUN = 64
 CHUNK_CHARACTERS = 1 << 20
 GROUP_RUNS = 1 << 14
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 40, LONG_RUN)
 
 SPACE = "▁"
-#: No merge crosses the border of a run: pieces hold the space mark only in front, and never a line end.
-_RUNS = re.compile(" +[^ \n]*|[^ \n]+|\n")
 _GONE = np.int32(-1)
 _NEVER = np.int32(2**31 - 1)
 _MASK = (1 << 64) - 1
@@ -64,9 +60,8 @@ class Encoder:
     """Encodes and decodes batches of texts with one model; a task holds one."""
 
     def __init__(self, model: list[tuple[str, float, str]], dropout: float = DROPOUT, seed: int = 0, epoch: int = 0,
-                 streams: int = STREAMS, table_words: int = TABLE_WORDS):
-        self.tables: list[dict[str, bytes]] = [{} for _ in range(streams if dropout else 1)]
-        self.table_words = table_words // len(self.tables)
+                 table_words: int = GROUP_RUNS):
+        self.table_words = table_words
         self.limit = int(dropout * (1 << 32))
         self.key = xxhash.xxh64_intdigest(f"{seed}:{epoch}".encode())
         normal = {p: i for i, (p, _, kind) in enumerate(model) if kind == "n"}
@@ -216,50 +211,36 @@ class Encoder:
 
     def encode(self, texts: list[str], documents: list[str]) -> list[bytes]:
         """Ids of each text as little-endian int32 values; an empty text has none."""
-        runs = [_RUNS.findall(" " + t) if t else [] for t in texts]
-        stream = [xxhash.xxh64_intdigest(d.encode(), self.key) % len(self.tables) for d in documents]
-        needed: list[set[str]] = [set() for _ in self.tables]
-        for words, s in zip(runs, stream, strict=True):
-            needed[s].update(words)
-        lacking: list[tuple[dict[str, bytes], list[str]]] = []
-        for table, words in zip(self.tables, needed, strict=True):
-            missing = words - table.keys()
-            if len(table) + len(missing) > self.table_words:
-                table.clear()
-                missing = words
-            lacking.append((table, list(missing)))
-        self._fill(lacking)
-        return [b"".join(map(self.tables[s].__getitem__, words)) for words, s in zip(runs, stream, strict=True)]
-
-    def _fill(self, lacking: list[tuple[dict[str, bytes], list[str]]]) -> None:
-        """Segments the runs that the streams' tables lack, all agendas together."""
-        runs = [run for _, missing in lacking for run in missing]
-        key = mixed(np.uint64(self.key) + np.repeat(
-            np.arange(len(lacking), dtype=np.uint64), [len(missing) for _, missing in lacking]))
-        codes = np.frombuffer("".join(runs).encode("utf-32-le"), np.uint32)
-        sizes = np.fromiter(map(len, runs), np.int64, len(runs))
-        starts = np.cumsum(sizes) - sizes
-        keys = mixed(key ^ span_hashes(codes, starts, starts + sizes))
+        spaced = [" " + t if t else "" for t in texts]
+        lengths = np.fromiter(map(len, spaced), np.int64, len(spaced))
+        codes = np.frombuffer("".join(spaced).encode("utf-32-le"), np.uint32)
+        borders = np.cumsum(lengths)
+        starts = _run_starts(codes, (borders - lengths)[lengths > 0])
+        sizes = np.diff(starts, append=len(codes))
+        text_of = np.searchsorted(borders, starts, side="right")
+        place = np.arange(len(starts)) - np.searchsorted(starts, borders - lengths)[text_of]
+        names = np.fromiter((xxhash.xxh64_intdigest(d.encode(), self.key) for d in documents), np.uint64, len(documents))
+        keys = mixed(names[text_of] ^ mixed(place.astype(np.uint64) + np.uint64(1)))
+        symbols = self._segmented(codes, starts, sizes, keys)
+        kept = np.flatnonzero(symbols != _GONE)
+        ids, owners = self._with_bytes(symbols[kept], np.searchsorted(borders, kept, side="right"))
+        ends = np.cumsum(np.bincount(owners, minlength=len(texts)))
+        found = ids.astype("<i4").tobytes()
+        return [found[4 * a:4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False)][:len(texts)]
+
+    def _segmented(self, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Symbols of all characters after every run's own agenda; a character that a piece swallowed is ``_GONE``."""
         symbols = self.start_as[codes]
         lowest = 1
         for width in WIDTHS:
             group = np.flatnonzero((sizes > lowest) & (sizes <= width))
-            for at in range(0, len(group), GROUP_RUNS):
-                part = group[at:at + GROUP_RUNS]
+            for at in range(0, len(group), self.table_words):
+                part = group[at:at + self.table_words]
                 self._advance(symbols, starts[part], sizes[part], keys[part], width)
             lowest = width
         for n in np.flatnonzero(sizes > LONG_RUN):
             self._alone(symbols, int(starts[n]), int(sizes[n]), int(keys[n]))
-        kept = np.flatnonzero(symbols != _GONE)
-        ids, owners = self._with_bytes(symbols[kept], np.repeat(np.arange(len(runs)), sizes)[kept])
-        ends = np.cumsum(np.bincount(owners, minlength=len(runs))).tolist()
-        ids, begin = ids.astype("<i4").tobytes(), 0
-        at = 0
-        for table, missing in lacking:
-            for run, end in zip(missing, ends[at:at + len(missing)], strict=True):
-                table[run] = ids[4 * begin:4 * end]
-                begin = end
-            at += len(missing)
+        return symbols
 
     def _with_bytes(self, ids: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Characters outside the vocabulary (negative) as the byte pieces of their UTF-8 form."""
@@ -280,6 +261,18 @@ class Encoder:
         return b"".join(map(self.decoded.__getitem__, np.frombuffer(ids, "<i4").tolist()))[1:]
 
 
+def _run_starts(codes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Where runs start: spaces with the word behind them, a word at the start of a line, a line end.
+
+    No merge crosses the border of a run: pieces hold the space mark only in front, and never a line end.
+    """
+    line_end, space = codes == 10, codes == 32
+    start = line_end.copy()
+    start[1:] |= line_end[:-1] | (space[1:] & ~space[:-1])
+    start[firsts] = True
+    return np.flatnonzero(start)
+
+
 def _passes(docs: DataFrame, id_col: str, text_col: str, model: str, options: dict, digest: bool) -> DataFrame:
     slim = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
                        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_name"))
@@ -329,7 +322,7 @@ def encode_documents(docs: DataFrame, model: str = DEFAULT_MODEL, id_col: str =
                      **options) -> DataFrame:
     """``id_col``, ``n_pieces`` and ``pieces`` (ids) of every whole text.
 
-    ``options``: dropout, seed, epoch, streams, table_words. Null and empty texts have no pieces. Repeated rows come back repeated, with
+    ``options``: dropout, seed, epoch, table_words. Null and empty texts have no pieces. Repeated rows come back repeated, with
     equal pieces if ids and texts are equal; a null id counts as an empty name. Other columns are not read. An empty
     table gives an empty result.
     """

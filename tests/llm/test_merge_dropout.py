@@ -57,3 +57,12 @@ def test_frames(spark, odd_documents, no_documents):
     digests = M.encoding_digests(odd_documents).collect()
     assert len(digests) == odd_documents.count() and all(r["lossless"] for r in digests)
     assert M.encode_documents(no_documents).count() == 0 == M.encoding_digests(no_documents).count()
+
+
+def test_each_occurrence_of_a_word_draws_for_itself(model):
+    encoder = M.Encoder(model, seed=3)
+    pieces = ids(encoder.encode([" ".join(["extraordinary"] * 2000)], ["d"])[0])
+    words = "".join(model[i][0].replace(M.SPACE, "|") + "," for i in pieces).split("|")[1:]
+    assert len(words) == 2000 and len(set(words)) > M.STREAMS
+    assert len(set(encoder.encode(["extraordinary"] * 2000, [str(d) for d in range(2000)]))) > M.STREAMS
+    assert encoder.encode(["", "extraordinary", ""], ["a", "1", "b"])[1] == encoder.encode(["extraordinary"], ["1"])[0]
