@@ -1,7 +1,8 @@
 """Main text of web pages by consensus host paths.
 
-First every page scores its own containers: the deepest element that holds most of the page's text outside links and
-boilerplate is its candidate, written as a generalised path of tags and classes (digits replaced, ids left out). Spark
+First every page scores its own containers: from the deepest element that holds most of the page's text outside links
+and boilerplate it climbs to the article around it, or as far below the body as the further text is not boilerplate.
+That is its candidate, written as a generalised path of tags and classes (digits replaced, ids left out). Spark
 counts the votes of each host's pages for their paths. Then every page is read again with its host's winning path; a
 page without such an element, or with no text in it, uses its own candidate.
 """
@@ -200,20 +201,60 @@ def read_page(html: str) -> Page:
 
 
 def candidate(page: Page, share: float = SHARE) -> tuple[str, int]:
-    """Path and score of the page's own container: the deepest with ``share`` of the text outside links; '' if none."""
-    score = [0] * len(page.elements)
-    for at, _, size in page.blocks:
+    """Path and score of the page's own container; '' if none.
+
+    It is the container around the deepest one with ``share`` of the text outside links: see ``_around``.
+    """
+    score, length = [0] * len(page.elements), [0] * len(page.elements)
+    for at, text, size in page.blocks:
         while at >= 0:
             score[at] += size
+            length[at] += len(text)
             at = page.elements[at].above
     total = score[0]
     best = 0
     for n, element in enumerate(page.elements):
         if element.tag in CONTAINERS and total and score[n] >= share * total:
             best = n
+    best = _around(page, best, score, length)
     return page.elements[best].path, score[best]
 
 
+def _around(page: Page, best: int, score: list[int], length: list[int]) -> int:
+    """The outermost container around ``best`` and below the body whose further text is not boilerplate.
+
+    The nearest article around it always counts. Above that, text that is mostly links and other articles end the
+    climb, and so does the nearest main, or the article if there is no main.
+    """
+    chain, at = [], best
+    while at >= 0 and page.elements[at].tag not in ("", "html", "body"):
+        if page.elements[at].tag in CONTAINERS:
+            chain.append(at)
+        at = page.elements[at].above
+    tags = [page.elements[n].tag for n in chain]
+    if not chain:
+        return best
+    home = tags.index("article") if "article" in tags else 0
+    end = tags.index("main") if "main" in tags else home if "article" in tags else len(chain) - 1
+    articles = [n for n, element in enumerate(page.elements) if element.tag == "article" and length[n]]
+    found = chain[home]
+    for n in chain[home + 1:end + 1]:
+        if 2 * (score[n] - score[found]) < length[n] - length[found] or _other_article(page, n, found, articles):
+            break
+        found = n
+    return found
+
+
+def _other_article(page: Page, outer: int, inner: int, articles: list[int]) -> bool:
+    """Whether one of ``articles`` stands in ``outer`` and not in ``inner``; elements below one follow it."""
+    for at in articles:
+        while at > outer and at != inner:
+            at = page.elements[at].above
+            if at == outer:
+                return True
+    return False
+
+
 def text_below(page: Page, path: str) -> str:
     """Blocks of the elements at ``path``, in page order."""
     inside = [False] * len(page.elements)

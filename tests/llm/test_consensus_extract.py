@@ -52,3 +52,26 @@ def test_winner_has_most_votes_then_score_then_name(spark):
     votes = [("h", "a", 5), ("h", "b", 9), ("h", "b", 1), ("i", "x", 3), ("i", "y", 4), ("j", "n", 2), ("j", "m", 2)]
     got = {r["host"]: r["path"] for r in C.winning_paths(spark.createDataFrame(votes, "host string, path string, score long")).collect()}
     assert got == {"h": "b", "i": "y", "j": "m"}
+
+
+LEAD = "<h1>Title</h1><p>Lead words.</p><div class='body'><p>" + "Words of the article, many of them. " * 12 + "</p></div><p>Closing words.</p>"
+LINKS = "<div class='more'>" + "".join(f"<a href='/{i}'>Another page of this site</a> " for i in range(4)) + "</div>"
+
+
+@pytest.mark.parametrize(("html", "path"), [
+    (f"<article>{LEAD}</article>", "body/article"), (f"<div class=page>{LINKS}<div class=post>{LEAD}</div></div>", "body/div.page/div.post"),
+    (f"<main><h1>Top</h1><article>{LEAD}</article></main>", "body/main"), (f"<div id=page><article>{LEAD}</article>{LINKS}</div>", "body/div/article"),
+    (f"<main><article>{LEAD}</article><article class='teaser'><p>Another article.</p></article></main>", "body/main/article"),
+    (f"<div><main>{LEAD}</main><div>Other words.</div></div>", "body/div/main"), (LEAD, "body/div.body")])
+def test_heading_lead_and_closing_text_stay(html, path):
+    page = C.read_page(f"<body>{html}</body>")
+    assert C.candidate(page)[0] == path
+    text = C.text_below(page, path)
+    if html != LEAD:
+        assert "Title\nLead words.\nWords" in text and text.endswith("Closing words.") and "Another" not in text and "Other" not in text
+
+
+def test_host_votes_for_the_whole_article(spark):
+    rows = [(i, f"http://site.example/{i}", f"{HEAD}{MENU}<article>{LEAD}</article>{FOOT}") for i in range(5)]
+    got = C.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 5 and all(r["text"].startswith("Title\nLead words.\nWords") and r["text"].endswith("Closing words.") for r in got)
