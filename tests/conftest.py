@@ -21,7 +21,3 @@ def spark():
 @pytest.fixture(scope="session")
 def data():
     return DATA
-
-
-def tuples(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

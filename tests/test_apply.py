@@ -5,7 +5,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from lectern.operators import apply as A
 from lectern.operators import decks as D
 

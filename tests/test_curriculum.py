@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from lectern import schemas
 from lectern.operators import curriculum as U
 from lectern.operators import quiz as Q

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 import pytest
 
-from conftest import tuples
+from helpers import tuples
 from lectern.operators import decks as D
 from lectern.sources import files as S
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 import pytest
 
-from conftest import tuples
+from helpers import tuples
 from lectern.operators import numbering as N
 
 

@@ -4,7 +4,7 @@ import sqlite3
 from pyspark.sql import functions as F
 import pytest
 
-from conftest import tuples
+from helpers import tuples
 from lectern import schemas
 from lectern.operators import content as C
 from lectern.sources.store import StudyStore

@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from lectern.streaming import ingest, sessions, shortfall
 
 START = dt.datetime(2024, 1, 1)
