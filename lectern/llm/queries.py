@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import (
-    attention_quality, consensus_extract, disclosure_sanitise, itq_neardup, license_scan, line_dedup, merge_dropout, simhash_golay, warc_segments,
-    winnow_decontaminate,
+    attention_quality, consensus_extract, disclosure_sanitise, external_shuffle, itq_neardup, license_scan, line_dedup, merge_dropout,
+    periodic_runs, simhash_golay, toivonen_phrases, warc_segments, winnow_decontaminate,
 )
 from lectern.session import scratch_path
 
@@ -134,3 +134,67 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash_golay.group_documents(table(spark, folder, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op11_external_shuffle")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    records = external_shuffle.shuffle_into_shards(table(spark, folder, "documents"))
+    return records.select(
+        F.col("row.doc_id").alias("doc_id"), "size", F.crc32(F.coalesce("row.text", F.lit(""))).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``: a tenth of the texts, by the checksum of their id, repeat a stretch of theirs to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    planted = (h % 10 == 0) & (F.size("w") > 0)
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    cut = docs.select("doc_id", "text", F.coalesce(words, F.array().cast("array<string>")).alias("w")).withColumn(
+        "g", F.floor(h / 10)).withColumn("n", F.size("w").cast("long")).withColumn(
+        "a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))).withColumn(
+        "p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    repeated = F.expr("slice(concat(slice(w, 1, int(a)), flatten(array_repeat(slice(w, int(a) + 1, int(p)), int((n - a + p - 1) div p)))), 1, int(n))")
+    return cut.select("doc_id", F.when(planted, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_repeats(table(spark, folder, "documents")))
+    longest = F.expr("array_min(transform(runs, r -> struct(-r.length AS shortness, r.start AS start, r.period AS period)))")
+    listed = F.expr(r"array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.shortness")).alias("length"),
+        F.col("best.period").alias("period"), F.expr("1000 * -best.shortness div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op13_toivonen_phrases", r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+gram AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split CROSS JOIN (VALUES (1), (2), (3)) AS s(k) WHERE len(w) >= k)),
+total AS (SELECT lang, count(*) AS n FROM gram WHERE k = 1 GROUP BY lang),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM gram GROUP BY lang, k, phrase HAVING count(*) >= 10),
+cut AS (
+  SELECT lang, k, phrase, a, c, array_to_string(string_split(phrase, ' ')[1:c], ' ') AS x, array_to_string(string_split(phrase, ' ')[c + 1:k], ' ') AS y
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM f WHERE k > 1)),
+scored AS (
+  SELECT cut.lang, cut.k, cut.phrase, cut.a, c, fx.a AS l, fy.a AS r,
+         CAST((CAST(1000000 AS HUGEINT) * cut.a * cut.a) // (CAST(fx.a AS HUGEINT) * fy.a) AS BIGINT) AS score
+  FROM cut JOIN f AS fx ON fx.lang = cut.lang AND fx.phrase = cut.x JOIN f AS fy ON fy.lang = cut.lang AND fy.phrase = cut.y),
+low AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS place FROM scored),
+around AS (
+  SELECT lang, part, max(a) AS a
+  FROM (SELECT lang, a, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS part
+        FROM f WHERE k = 3) GROUP BY lang, part),
+kept AS (
+  SELECT low.* FROM low LEFT JOIN around ON around.lang = low.lang AND around.part = low.phrase
+  WHERE place = 1 AND (around.a IS NULL OR 100 * around.a < 50 * low.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return toivonen_phrases.collocations(table(spark, folder, "documents"))

@@ -57,7 +57,7 @@ def test_run_equals_the_stages(spark, stages):
 
 
 def test_entry_lists_every_query_and_survives_without_them(monkeypatch):
-    assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in Q.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {n.split("_")[0] + "_" for n in Q.QUERIES}
     assert set(Q.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(Q.SQL) <= set(entry.oracle_sql())
     monkeypatch.setattr(entry, "corpus_queries", None)
