@@ -16,17 +16,22 @@ from lectern.sources import files as S
 
 def extract_decks(
     decks: DataFrame, extractors: Sequence[A.Extractor], out: str, start: int = 1, end: int | None = None,
-    mode: str = "compat", parallelism: int | None = None,
+    mode: str = "compat", log: str | None = None, chunks_per_task: int = 1,
 ) -> DataFrame:
     """Extract the pages of (deck, total_pages) that ``out`` does not hold yet, and append them to it.
 
     Returns one row per chunk tried: deck, chunk, pages, status, extractor, error, pieces. A failed chunk
-    writes nothing and does not stop the others; the next call tries it again. What a round has finished is in
-    ``out`` before the next round starts, so a broken run repeats no finished chunk. To extract a deck anew,
-    clear it from ``out`` first.
+    writes nothing and does not stop the others; the next call tries it again. Each answer is published in ``log`` (by
+    default beside ``out``) when its task of ``chunks_per_task`` chunks ends, and the log goes when the run is
+    through. A run that finds the log of a broken one writes its finished chunks first and repeats no answer. One run
+    at a time. To extract a deck anew, clear it from ``out`` first.
     """
     spark = decks.sparkSession
     wanted = D.select_pages(decks, start, end)
+    log = log or out.rstrip("/") + "-log"
+    shape = wanted.groupBy("deck").agg(F.collect_list("page").alias("pages"))
+    answers = A.result_log(shape, log)
+    _recover(spark, answers, out, mode)
     todo = D.remaining_pages(wanted, S.written_pages(spark, out)) if S.has_slides(spark, out) else wanted
     chunks = stage(D.plan_chunks(todo), "plan").withColumn(
         "refs", F.transform("pages", lambda p: F.concat(F.col("deck").cast("string"), F.lit("#"), p.cast("string"))))
@@ -35,11 +40,25 @@ def extract_decks(
         done = chunks.select("deck", "chunk", "pages").join(results.filter(F.col("status") == "ok"), ["deck", "chunk"])
         S.write_slides(D.fill_gaps(done, mode), out)
 
-    tried = A.apply_with_fallback(chunks, extractors, parallelism=parallelism, finished=keep)
+    tried = A.apply_with_fallback(chunks, extractors, log=log, pieces_per_task=chunks_per_task, finished=keep)
     outcome = stage(chunks.select("deck", "chunk", "pages").join(tried, ["deck", "chunk"]), "responses")
+    answers.clear()
     return outcome.drop("raw_text")
 
 
+def _recover(spark: SparkSession, answers: A.ResultLog, out: str, mode: str) -> None:
+    """Write the chunks that a broken run finished in its first round and did not hand over."""
+    said = answers.said(0)
+    if said is None:
+        return
+    whole = said.filter("status = 'ok'").select("deck", F.col("pages")[0].alias("chunk"), "pages", F.col("text").alias("raw_text"))
+    slides = D.fill_gaps(whole, mode)
+    if S.has_slides(spark, out):
+        written = S.written_pages(spark, out).withColumnRenamed("page", "slide_no")
+        slides = slides.join(written, ["deck", "slide_no"], "left_anti")
+    S.write_slides(stage(slides, "recovered"), out)
+
+
 def index_decks(decks: DataFrame, out: str, start: int = 1, end: int | None = None, dpi: int = V.RENDER_DPI) -> DataFrame:
     """Index rows of all decks from what is written, whichever run wrote it."""
     meta = decks.select(

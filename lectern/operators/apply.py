@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import lectern
 from lectern.fixed_values import ERROR_CHARS, MAX_ATTEMPTS, MAX_SPLIT_DEPTH, RATE_LIMIT_MARKERS
 from lectern.functions import extraction as X
-from lectern.session import shuffle_width, small_batches, stage
+from lectern.operators.numbering import assign_ids
+from lectern.session import path_exists, remove_folder, scratch_path, shuffle_width, stage
 
 # Executors need not have this package: what runs there travels with the task.
 cloudpickle.register_pickle_by_value(lectern)
@@ -89,23 +91,68 @@ def split_plan(chunks: DataFrame, depth: int = MAX_SPLIT_DEPTH) -> DataFrame:
     return pieces
 
 
+#: Each task publishes its file when it ends, not when the job ends, so a broken job keeps what its tasks finished.
+_PUBLISH_BY_TASK = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
+_TASKS_PER_JOB = 20_000
+
+
+class ResultLog:
+    """What the extractors said, as files below ``path``: one folder per round, and in it one per job.
+
+    Every row is published when the task that made it ends, by the rename of one file, and a task that is tried again
+    writes the same file. A piece is known by deck and pages, so a later run finds it whatever number its chunk has.
+    Only texts and timeouts count as said; a failure is tried again. The file system's committer must publish a task's
+    files at its end, as those of local and HDFS paths do.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, shape: str):
+        self.spark, self.path, self.shape = spark, path.rstrip("/"), shape
+
+    def round(self, depth: int) -> DataFrame | None:
+        """(deck, pages, status, text, extractor, error) of one round, a row per piece; None if nothing is written."""
+        folder = f"{self.path}/round={depth}"
+        if not path_exists(self.spark, folder):
+            return None
+        rows = self.spark.read.schema(self.shape).option("recursiveFileLookup", "true").parquet(folder)
+        answer = [F.col(c) for c in ("status", "text", "extractor", "error")]
+        # A failure of a broken run may stand beside the answer that a later one got.
+        best = rows.groupBy("deck", "pages").agg(F.min_by(F.struct(*answer), F.col("status") == "error").alias("_best"))
+        return best.select("deck", "pages", "_best.*")
+
+    def said(self, depth: int) -> DataFrame | None:
+        rows = self.round(depth)
+        return None if rows is None else rows.filter(F.col("status") != "error")
+
+    def add(self, rows: DataFrame, depth: int) -> None:
+        rows.write.option(*_PUBLISH_BY_TASK).parquet(f"{self.path}/round={depth}/{uuid.uuid4().hex}")
+
+    def clear(self) -> None:
+        remove_folder(self.spark, self.path)
+
+
+def result_log(chunks: DataFrame, path: str) -> ResultLog:
+    """The log at ``path`` for chunks of this kind."""
+    names = {f.name: f.dataType.simpleString() for f in chunks.schema}
+    return ResultLog(chunks.sparkSession, path, f"deck {names['deck']}, pages {names['pages']}, status string, text string, "
+                                                "extractor string, error string")
+
+
 def apply_with_fallback(
     chunks: DataFrame, extractors: Sequence[Extractor], max_rounds: int = MAX_SPLIT_DEPTH,
-    attempts: int = MAX_ATTEMPTS, parallelism: int | None = None, rows_per_batch: int = 1,
+    attempts: int = MAX_ATTEMPTS, log: str | None = None, pieces_per_task: int = 1,
     finished: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """Run the extractors over (deck, chunk, pages, refs); one result row per chunk.
 
-    Each round is written before it is used, so no callable runs twice for a finished round. A
-    timeout ends the try and the piece is halved for the next round, up to ``max_rounds`` times.
-    After each round ``finished`` gets the result rows of the chunks that have no piece left to try.
-    ``parallelism`` tasks (the shuffle partitions, if not given) make the calls.
+    A timeout ends the try and the piece is halved for the next round, up to ``max_rounds`` times. What an extractor
+    says is published in the ``log`` (a folder; a fresh one if not given) as soon as its task ends, and a task takes
+    ``pieces_per_task`` pieces. A run with the log of a broken one asks only for what is not there. After each round
+    ``finished`` gets the result rows of the chunks that have no piece left to try. Pieces of the same deck and pages
+    are tried once.
     """
     spark = chunks.sparkSession
-    width = parallelism or shuffle_width(spark)
     shape = stage(chunks.select("deck", "chunk", "pages", "refs", F.lit("").alias("path")), "chunks")
-    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in shape.schema)
-    result_schema = f"{names}, status string, text string, extractor string, error string"
+    kept = result_log(chunks, log or scratch_path(spark, "extraction-log"))
     tried = list(extractors)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,28 +161,44 @@ def apply_with_fallback(
             refs = [list(row) for row in batch["refs"]]
             prompts = [{"inline": a, "listed": b} for a, b in zip(batch["_inline"], batch["_listed"])]
             results = [_first_success(tried, *row, attempts) for row in zip(pages, refs, prompts, batch["_budget"].map(int))]
-            batch = batch.drop(columns=["_inline", "_listed", "_budget"]).assign(pages=pages, refs=refs)
+            batch = batch[["deck"]].assign(pages=pages)
             for i, name in enumerate(("status", "text", "extractor", "error")):
                 batch[name] = pd.Series([r[i] for r in results], index=batch.index, dtype=object)
             yield batch
 
-    pending, n_pending, settled = shape, shape.count(), None
+    def say(pieces: DataFrame, depth: int) -> None:
+        numbered = assign_ids(pieces.dropDuplicates(["deck", "pages"]), "_at", 0)
+        count = numbered.count()
+        tasks = -(-count // pieces_per_task)
+        for first in range(0, tasks, _TASKS_PER_JOB):
+            last = min(first + _TASKS_PER_JOB, tasks)
+            task = F.expr(f"cast(_at div {pieces_per_task} as int)")
+            some = numbered.withColumn("_task", task).filter(F.col("_task").between(first, last - 1))
+            asked = some.repartitionById(last - first, F.col("_task") - first).select(
+                "deck", "pages", "refs", X.inline_prompt(F.col("pages"), F.col("refs")).alias("_inline"),
+                X.listed_prompt(F.col("pages"), F.col("refs")).alias("_listed"), X.time_budget(F.size("pages")).alias("_budget"))
+            kept.add(asked.mapInPandas(run, kept.shape), depth)
+
+    pending, settled = shape, None
     for depth in range(max_rounds + 1):
-        spread = pending.repartition(max(1, min(width, n_pending)), "deck", "chunk", "path").withColumns({
-            "_inline": X.inline_prompt(F.col("pages"), F.col("refs")), "_listed": X.listed_prompt(F.col("pages"), F.col("refs")),
-            "_budget": X.time_budget(F.size("pages"))})
-        with small_batches(spark, rows_per_batch):
-            outcome = stage(spread.mapInPandas(run, result_schema), "extracted")
+        before = kept.said(depth)
+        say(pending if before is None else pending.join(before, ["deck", "pages"], "left_anti"), depth)
+        answers = kept.round(depth)
+        if answers is None:
+            outcome = pending.select(*[pending[c] for c in shape.columns], *[F.lit(None).cast("string").alias(c) for c in (
+                "status", "text", "extractor", "error")])
+        else:
+            outcome = pending.join(answers, ["deck", "pages"]).select(*shape.columns, "status", "text", "extractor", "error")
         splittable = (F.col("status") == "timeout") & (F.size("pages") > 1) & F.lit(depth < max_rounds)
         final = outcome.filter(~splittable).drop("pages", "refs")
         settled = final if settled is None else settled.unionByName(final)
-        timed_out = outcome.filter(splittable).select(*shape.columns)
-        pending, n_pending = _halves(timed_out), 2 * timed_out.count()
+        timed_out = stage(outcome.filter(splittable).select(*shape.columns), "timed-out")
+        pending = _halves(timed_out)
         if finished:
             # A chunk that ends in this round had a piece in it.
             ended = outcome.select("deck", "chunk").distinct().join(timed_out.select("deck", "chunk"), ["deck", "chunk"], "left_anti")
             finished(_assembled(settled.join(ended, ["deck", "chunk"], "left_semi")))
-        if not n_pending:
+        if timed_out.isEmpty():
             break
     return _assembled(settled)
 

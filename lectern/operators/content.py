@@ -45,42 +45,45 @@ def with_difficulty(df: DataFrame, difficulty: str | None) -> DataFrame:
 
 # --- append -----------------------------------------------------------------------------------
 
-def _stamped(df: DataFrame, schema_of: DataFrame, as_of: Instant, ttl_days: int) -> DataFrame:
-    """Set both dates and line the columns up with the table, missing ones as NULL."""
+def _stamped(df: DataFrame, schema_of: DataFrame, as_of: Instant, ttl_days: int, keep: Sequence[str | Column] = ()) -> DataFrame:
+    """Set both dates and line the columns up with the table, missing ones as NULL; ``keep`` stays besides."""
     when = F.lit(str(as_of)).cast(schema_of.schema["fetched_at"].dataType)
     dated = df.withColumns({"fetched_at": when, "expires_at": when + F.make_dt_interval(F.lit(ttl_days))})
     return dated.select(*[
         (F.col(f.name) if f.name in dated.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema_of.schema
-    ])
+    ], *[c for c in keep if isinstance(c, str) and c not in schema_of.columns])
 
 
-def new_content(content: DataFrame, incoming: DataFrame, as_of: Instant, ttl_days: int = V.TTL_DAYS) -> DataFrame:
+def new_content(content: DataFrame, incoming: DataFrame, as_of: Instant, ttl_days: int = V.TTL_DAYS,
+                keep: Sequence[str | Column] = ()) -> DataFrame:
     """Incoming rows as they would be stored: body stripped, empty bodies rejected, expiry set."""
     rows = incoming.withColumn("body", strip(F.col("body"))).filter(F.col("body") != "")
     if "source_type" not in rows.columns:
         rows = rows.withColumn("source_type", F.lit(V.DEFAULT_SOURCE_TYPE))
-    return _stamped(rows, content, as_of, ttl_days)
+    return _stamped(rows, content, as_of, ttl_days, keep)
 
 
 def append_content(content: DataFrame, incoming: DataFrame, as_of: Instant, start_id: int,
                    order_cols: Sequence[str | Column] | None = None, ttl_days: int = V.TTL_DAYS) -> DataFrame:
-    """Pure append; duplicates are allowed. New rows are numbered from ``start_id`` on, which must lie above every
-    id ever issued (the largest one present is not enough after a purge)."""
-    new = new_content(content, incoming, as_of, ttl_days)
-    return content.unionByName(assign_ids(new, "entry_id", start_id, order_cols))
+    """Pure append; duplicates are allowed. New rows are numbered from ``start_id`` on in the order of ``order_cols``,
+    which need not be columns of the table. ``start_id`` must lie above every id ever issued (the largest one present is
+    not enough after a purge); a ``StudyStore`` keeps that mark itself."""
+    new = new_content(content, incoming, as_of, ttl_days, order_cols or ())
+    return content.unionByName(assign_ids(new, "entry_id", start_id, order_cols).select(*content.columns))
 
 
-def new_problems(problems: DataFrame, incoming: DataFrame, as_of: Instant, ttl_days: int = V.TTL_DAYS) -> DataFrame:
+def new_problems(problems: DataFrame, incoming: DataFrame, as_of: Instant, ttl_days: int = V.TTL_DAYS,
+                 keep: Sequence[str | Column] = ()) -> DataFrame:
     """Incoming problems as stored: the text is taken as it is."""
-    return _stamped(incoming, problems, as_of, ttl_days)
+    return _stamped(incoming, problems, as_of, ttl_days, keep)
 
 
 def append_problems(problems: DataFrame, incoming: DataFrame, as_of: Instant, start_id: int,
                     order_cols: Sequence[str | Column] | None = None, ttl_days: int = V.TTL_DAYS) -> DataFrame:
     """As ``append_content``, for problems."""
-    new = new_problems(problems, incoming, as_of, ttl_days)
-    return problems.unionByName(assign_ids(new, "problem_id", start_id, order_cols))
+    new = new_problems(problems, incoming, as_of, ttl_days, order_cols or ())
+    return problems.unionByName(assign_ids(new, "problem_id", start_id, order_cols).select(*problems.columns))
 
 
 # --- look up ----------------------------------------------------------------------------------

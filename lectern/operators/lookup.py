@@ -43,8 +43,9 @@ def lookup_many(content: DataFrame, queries: DataFrame, as_of: Instant, k: int =
 
     Only the newest ``k`` rows of a topic can be among a query's newest ``k``, so each topic is cut
     down first, by its keys alone. Distinct topics and distinct patterns then meet on the pattern's rarest
-    n-gram, and the LIKE test runs on those candidates. A pattern of wildcards only asks for a least length,
-    and is answered from the newest ``k`` rows of each topic length. The other columns are fetched last.
+    n-gram, and the LIKE test runs on those candidates. A pattern that is a gram itself is answered from the gram's
+    newest ``k`` rows, and one of wildcards only, which asks for a least length, from those of each topic length; so
+    neither meets every topic that it matches. The other columns are fetched last.
     """
     newest = [F.col("fetched_at").desc(), F.col("entry_id").desc()]
     keys = live(content, as_of).select("topic", "fetched_at", "entry_id")
@@ -59,9 +60,10 @@ def lookup_many(content: DataFrame, queries: DataFrame, as_of: Instant, k: int =
         F.regexp_replace(fold(F.col("query")), "%+", "%").alias("_text"),
     )
     distinct = patterns.select("_text").distinct()
+    is_gram = (F.length("_text").between(1, GRAM)) & ~F.col("_text").rlike("[%_]")
     frequency = topic_grams.groupBy("_gram").agg(F.count("*").alias("_topics"))
     rarest = (
-        distinct.select("_text", F.explode(F.expr(_pattern_grams("_text"))).alias("_gram"))
+        distinct.filter(~is_gram).select("_text", F.explode(F.expr(_pattern_grams("_text"))).alias("_gram"))
         .join(frequency, "_gram")
         .groupBy("_text").agg(F.min_by("_gram", F.struct("_topics", "_gram")).alias("_gram"))
     )
@@ -71,13 +73,22 @@ def lookup_many(content: DataFrame, queries: DataFrame, as_of: Instant, k: int =
         .select("_text", "topic")
     )
     found = pairs.join(heads, "topic").select("_text", "fetched_at", "entry_id").unionByName(
-        _by_length(distinct, heads, newest, k))
+        _by_length(distinct, heads, newest, k)).unionByName(_by_gram(distinct.filter(is_gram), heads, newest, k))
     best = in_first(found, ["_text"], newest, k, "place").select("_text", "place", "entry_id")
     entries = content.join(best.select("entry_id").distinct(), "entry_id", "left_semi").select(*content.columns)
     answered = patterns.join(best.join(entries, "entry_id"), "_text", "left").drop("_text")
     return queries.join(answered, "query", "left").withColumn("hit", F.col("entry_id").isNotNull())
 
 
+def _by_gram(grams: DataFrame, heads: DataFrame, newest: list[Column], k: int) -> DataFrame:
+    """Newest rows for the patterns that are grams: (_text, fetched_at, entry_id). Each map task keeps at most ``k`` rows
+    of a gram."""
+    held = heads.select("fetched_at", "entry_id", fold(F.col("topic")).alias("_folded")).select(
+        "fetched_at", "entry_id", F.explode(F.expr(_all_grams("_folded"))).alias("_gram"))
+    postings = in_first(held, ["_gram"], newest, k, "_place")
+    return grams.join(postings, F.col("_text") == F.col("_gram")).select("_text", "fetched_at", "entry_id")
+
+
 def _by_length(distinct: DataFrame, heads: DataFrame, newest: list[Column], k: int) -> DataFrame:
     """Newest rows for the patterns of wildcards: (_text, fetched_at, entry_id)."""
     wild = distinct.filter(F.regexp_replace("_text", "[%_]", "") == "").select(

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from lectern import fixed_values as K
 from lectern.functions import curriculum as G
 from lectern.operators import curriculum as U
 from lectern.operators import quiz as Q
 from lectern.operators import relevance as R
+from lectern.operators.numbering import positions
 from lectern.operators.prerequisites import prerequisite_levels
 from lectern.plans import views as V
 from lectern.plans.registry import query
@@ -450,5 +450,16 @@ def prerequisite_chain(t):
     linked = suppliers.filter("topic % 10 <> 7")
     customers = t.customer.select((F.col("c_custkey") + 1_000_000_000).alias("topic"))
     chains = linked.unionByName(customers).withColumn("chain", F.col("topic") >= 1_000_000_000)
-    before = F.lag("topic").over(Window.partitionBy("chain").orderBy("topic"))
-    return prerequisite_levels(chains.select(before.alias("prerequisite"), "topic"), suppliers)
+    placed = positions(chains, ["chain"], ["topic"])
+    before = placed.select(F.col("chain").alias("_chain"), (F.col("pos") + 1).alias("_next"), F.col("topic").alias("prerequisite"))
+    links = placed.join(before, (F.col("chain") == F.col("_chain")) & (F.col("pos") == F.col("_next")), "left")
+    return prerequisite_levels(links.select("prerequisite", "topic"), suppliers)
+
+
+@query("prerequisite_ladder", """
+SELECT p_partkey AS topic, CAST((p_partkey - (SELECT min(p_partkey) FROM part)) // 2 AS INTEGER) AS level, 'ordered' AS status FROM part""")
+def prerequisite_ladder(t):
+    """Every pair of parts, by key, needs both parts of the pair before: as many levels as half the parts."""
+    parts = t.part.select("p_partkey", (F.col("p_partkey") - t.part.agg(F.min("p_partkey")).scalar()).alias("n"))
+    up = parts.select(F.col("p_partkey").alias("prerequisite"), F.explode(F.array(F.col("n") + 2, F.col("n") + 3 - 2 * (F.col("n") % 2))).alias("to"))
+    return prerequisite_levels(up.join(parts, F.col("to") == F.col("n")).select("prerequisite", F.col("p_partkey").alias("topic")))

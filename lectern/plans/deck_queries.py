@@ -344,7 +344,9 @@ def strip_texts(t):
     return t.documents.select("doc_id", F.md5(X.strip(padded)).alias("text_md5"))
 
 
-# Stand-ins for real extractors: fixed rules on the page numbers decide what fails and how.
+# Stand-ins for real extractors: fixed rules on the page numbers decide what fails and how. They answer at once, so a
+# task may take many pieces.
+AT_ONCE = 200
 
 def _first_extractor(pages, refs, prompt, budget):
     if len(pages) > 8:
@@ -383,7 +385,7 @@ def apply_with_fallback(t):
     chunks = V.large_chunks(t).withColumn(
         "refs", F.transform("pages", lambda p: F.concat(F.lit("image "), p.cast("string"))))
     return A.apply_with_fallback(
-        chunks, [A.Extractor("first", _first_extractor), A.Extractor("second", _second_extractor, retry="any")])
+        chunks, [A.Extractor("first", _first_extractor), A.Extractor("second", _second_extractor, retry="any")], pieces_per_task=AT_ONCE)
 
 
 def _budget_extractor(pages, refs, prompt, budget):
@@ -403,7 +405,7 @@ SELECT deck, chunk, string_agg(greatest(180, least(900, 30 * len(pages))) || ':
 FROM pieces WHERE len(pages) <= 8 GROUP BY deck, chunk"""))
 def extraction_budgets(t):
     chunks = V.large_chunks(t).withColumn("refs", F.transform("pages", lambda p: F.concat(F.lit("image "), p.cast("string"))))
-    tried = A.apply_with_fallback(chunks, [A.Extractor("only", _budget_extractor, prompt="listed")])
+    tried = A.apply_with_fallback(chunks, [A.Extractor("only", _budget_extractor, prompt="listed")], pieces_per_task=AT_ONCE)
     return tried.select("deck", "chunk", "raw_text")
 
 
@@ -427,7 +429,8 @@ SELECT DISTINCT source || '/' || lang AS folder, CAST(1 AS BIGINT) AS files FROM
 def discover_files(t):
     """Files that the query writes, one per source and language, found by a suffix in another case."""
     root = scratch_path(t._spark, "found-files")
-    t.documents.select("source", "lang", "text").coalesce(1).write.partitionBy("source", "lang").parquet(root)
+    folders = t.documents.groupBy("source", "lang").agg(F.count("*").alias("texts"))
+    folders.repartition("source", "lang").write.partitionBy("source", "lang").parquet(root)
     found = S.discover_files(t._spark, root, [".PARQUET"])
     folder = F.regexp_replace(F.regexp_extract("path", "/(source=[^/]*/lang=[^/]*)/[^/]*$", 1), "source=|lang=", "")
     return found.groupBy(folder.alias("folder")).agg(F.count("*").alias("files"))

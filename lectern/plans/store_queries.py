@@ -16,7 +16,7 @@ from lectern.sources.store import StudyStore
 LIVE = f"(expires_at IS NULL OR expires_at > TIMESTAMP '{AS_OF}')"
 FOLD = "translate(topic, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ENTRY = "entry_id, topic, subject, url, md5(body) AS body_md5, source_type, fetched_at, expires_at"
-PROBLEM = "problem_id, topic, subject, difficulty, source, problem, fetched_at, expires_at"
+PROBLEM = "problem_id, topic, subject, difficulty, source, problem, solution, fetched_at, expires_at"
 
 
 def _entry(df):
@@ -25,7 +25,7 @@ def _entry(df):
 
 
 def _problem(df):
-    return df.select("problem_id", "topic", "subject", "difficulty", "source", "problem", "fetched_at", "expires_at")
+    return df.select("problem_id", "topic", "subject", "difficulty", "source", "problem", "solution", "fetched_at", "expires_at")
 
 
 # --- append -----------------------------------------------------------------------------------
@@ -40,7 +40,7 @@ def _incoming_content(t):
     return t.pages.select(
         F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1).alias("topic"), "url",
         F.concat(F.lit(" \n\t"), html, F.lit("\xa0\n\u3000")).alias("body"),
-        F.lpad(F.col("page_id").cast("string"), 20, "0").alias("tags"),
+        "page_id",
     )
 
 
@@ -55,19 +55,19 @@ SELECT {ENTRY} FROM content UNION ALL
 SELECT n + {HIGH_WATER}, topic, NULL, url, md5(body), 'web', TIMESTAMP '{AS_OF}',
        TIMESTAMP '{AS_OF}' + to_days(30) FROM accepted"""))
 def append_content(t):
-    return _entry(C.append_content(V.content(t), _incoming_content(t), AS_OF, HIGH_WATER + 1, ["tags"]))
+    return _entry(C.append_content(V.content(t), _incoming_content(t), AS_OF, HIGH_WATER + 1, ["page_id"]))
 
 
 @query("append_problems", with_sql(PROBLEMS, body=f"""
 SELECT {PROBLEM} FROM problems UNION ALL
-SELECT {HIGH_WATER} + row_number() OVER (ORDER BY item_id), 'benchmark', NULL, NULL, 'benchmark ' || item_id, '  ' || text || ' ',
+SELECT {HIGH_WATER} + row_number() OVER (ORDER BY item_id), 'benchmark', NULL, NULL, 'benchmark ' || item_id, '  ' || text || ' ', NULL,
        TIMESTAMP '{AS_OF}', TIMESTAMP '{AS_OF}' + to_days(30) FROM benchmark"""))
 def append_problems(t):
     incoming = t.benchmark.select(
         F.lit("benchmark").alias("topic"), F.concat(F.lit("benchmark "), F.col("item_id").cast("string")).alias("source"),
         F.concat(F.lit("  "), F.col("text"), F.lit(" ")).alias("problem"),
-        F.lpad(F.col("item_id").cast("string"), 20, "0").alias("solution"))
-    return _problem(C.append_problems(V.problems(t), incoming, AS_OF, HIGH_WATER + 1, ["solution"]))
+        "item_id")
+    return _problem(C.append_problems(V.problems(t), incoming, AS_OF, HIGH_WATER + 1, ["item_id"]))
 
 
 @query("assign_ids", """
@@ -243,22 +243,22 @@ def store_commands(t):
     def incoming(prefix):
         return t.documents.select(
             F.concat(F.lit(prefix), "source").alias("topic"), F.col("text").alias("body"),
-            F.lpad(F.col("doc_id").cast("string"), 20, "0").alias("tags"))
+            "doc_id")
 
-    issued = store.store_content(incoming(""), AS_OF, 1, order_cols=["tags"])
+    store.store_content(incoming(""), AS_OF, order_cols=["doc_id"])
     store.purge("src1")
-    store.store_content(incoming("again "), AS_OF, issued + 1, order_cols=["tags"])
+    store.store_content(incoming("again "), AS_OF, order_cols=["doc_id"])
     return store.read("content").select("entry_id", "topic", F.md5("body").alias("body_md5"), "fetched_at")
 
 
 @query("clear_all_keeps_counting", """
 SELECT (SELECT count(*) FROM part) + row_number() OVER (ORDER BY p_partkey) AS problem_id, p_name AS topic,
-       p_brand AS source FROM part""")
+       p_brand AS source, CAST(NULL AS VARCHAR) AS solution FROM part""")
 def clear_all_keeps_counting(t):
     spark = t.part.sparkSession
     store = StudyStore(spark, scratch_path(spark, "store"))
-    bank = V.problems(t).withColumn("solution", F.lpad(F.col("problem_id").cast("string"), 20, "0"))
-    issued = store.store_problems(bank, AS_OF, 1, order_cols=["solution"])
+    bank = V.problems(t).withColumn("place", F.col("problem_id")).drop("solution")
+    store.store_problems(bank, AS_OF, order_cols=["place"])
     store.clear_all()
-    store.store_problems(bank, AS_OF, issued + 1, order_cols=["solution"])
-    return store.read("problems").select("problem_id", "topic", "source")
+    store.store_problems(bank, AS_OF, order_cols=["place"])
+    return store.read("problems").select("problem_id", "topic", "source", "solution")

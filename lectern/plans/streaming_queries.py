@@ -24,10 +24,12 @@ sessions AS (
   FROM runs GROUP BY user_id, run)"""
 
 
-def _stream(t, table):
-    """The file of one test table as a stream."""
-    batch = getattr(t, table)
-    return ingest.read_files(t._spark, t._folder, batch.schema, f"{table}.parquet")
+def _in_turn(t, table: str, parts: list[str], take) -> None:
+    """Writes the rows of one table a part at a time (SQL conditions) and has ``take`` stream what is new each time."""
+    rows, folder = getattr(t, table), scratch_path(t._spark, f"{table}-in")
+    for n, condition in enumerate(parts):
+        rows.filter(condition).write.parquet(f"{folder}/{n}")
+        take(ingest.read_files(t._spark, f"{folder}/*", rows.schema))
 
 
 @query("session_rollup", with_sql(SESSIONS, body="SELECT * FROM sessions"))
@@ -36,58 +38,44 @@ def session_rollup(t):
 
 
 @query("session_stream", with_sql(SESSIONS, body="""
-SELECT * EXCLUDE (topics) FROM sessions WHERE session_end <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTES"""))
+SELECT * FROM sessions WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES"""))
 def session_stream(t):
+    """The later half of the log first: all of the earlier half is late, and reopens sessions."""
     out, checkpoint = scratch_path(t._spark, "sessions"), scratch_path(t._spark, "sessions-checkpoint")
-    log = _stream(t, "events").select("user_id", F.col("ts").alias("started_at"), F.col("event_type").alias("topic"))
-    sessions.session_stream(log, out, checkpoint, GAP_MINUTES)
-    return t._spark.read.parquet(out)
+    middle = t.events.agg(F.expr("timestamp_micros((unix_micros(timestamp(min(ts))) + unix_micros(timestamp(max(ts)))) div 2)")).first()[0]
+    half = f"ts >= TIMESTAMP_NTZ '{middle}'"
 
+    def take(rows):
+        log = rows.select("user_id", F.col("ts").alias("started_at"), F.col("event_type").alias("topic"))
+        sessions.session_stream(log, out, checkpoint, GAP_MINUTES)
 
-def _in_files(df, label: str, parts: dict[str, str]) -> str:
-    """The rows as one folder of files per part (SQL conditions), in the order given."""
-    folder = scratch_path(df.sparkSession, label)
-    for name, condition in parts.items():
-        df.filter(condition).coalesce(1).write.parquet(f"{folder}/{name}")
-    return folder
+    _in_turn(t, "events", [half, f"NOT {half}"], take)
+    user_type = t.events.schema["user_id"].dataType.simpleString()
+    return sessions.streamed_sessions(t._spark, out, GAP_MINUTES, user_type=user_type).filter("closed").drop("closed")
 
 
 @query("ingest_stream", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def ingest_stream(t):
-    """The later half first, then the earlier half and repeats, then a rerun that finds a last file."""
+    """The later half first, then the earlier half and repeats, then a last part."""
     spark, events = t._spark, t.events
-    parts = {"1-late": "event_id % 3 = 0 AND event_id % 2 = 0", "2-early": "event_id % 3 = 0", "3-middle": "event_id % 3 = 1"}
-    folder = _in_files(events, "events-in", parts)
     out, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-checkpoint")
-
-    def run():
-        rows = ingest.read_files(spark, f"{folder}/*", events.schema, files_per_batch=1)
-        ingest.ingest_stream(rows, out, checkpoint, "event_id", "ts")
-
-    run()
-    events.filter("event_id % 3 <> 0").coalesce(1).write.parquet(f"{folder}/4-last")
-    run()
+    parts = ["event_id % 3 = 0 AND event_id % 2 = 0", "event_id % 3 = 0", "event_id % 3 <> 0"]
+    _in_turn(t, "events", parts, lambda rows: ingest.ingest_stream(rows, out, checkpoint, "event_id", "ts"))
     return ingest.ingested(spark, out, events.schema)
 
 
-LATER = "2024-03-01 00:00:00"
+LATER, MUCH_LATER = "2024-03-01 00:00:00", "2024-06-01 00:00:00"
 
 
-@query("shortfall_stream", with_sql(PROBLEMS, body=f"""
-SELECT topic, CAST(available AS BIGINT) AS available, greatest(300 - available, 0)::BIGINT AS to_fetch
-FROM (SELECT topic, count(*) FILTER (expires_at IS NULL OR expires_at > TIMESTAMP '{LATER}') AS available
-      FROM problems GROUP BY topic)"""))
+@query("shortfall_stream", with_sql(PROBLEMS, body=" UNION ALL ".join(f"""
+SELECT '{at}' AS asked_at, topic, CAST(available AS BIGINT) AS available, greatest(300 - available, 0)::BIGINT AS to_fetch
+FROM (SELECT topic, count(*) FILTER (expires_at IS NULL OR expires_at > TIMESTAMP '{at}') AS available
+      FROM problems GROUP BY topic)""" for at in (LATER, MUCH_LATER))))
 def shortfall_stream(t):
-    """Three files in two runs; asked at an instant at which much has expired since it was counted."""
+    """Three parts, asked at two instants; what has expired by the first has left the table."""
     spark = t._spark
     out, checkpoint = scratch_path(spark, "shortfall"), scratch_path(spark, "shortfall-checkpoint")
-    folder = _in_files(t.part, "parts-in", {"1": "p_partkey % 3 = 0", "2": "p_partkey % 3 = 1"})
-
-    def run():
-        rows = ingest.read_files(spark, f"{folder}/*", t.part.schema, files_per_batch=1)
-        shortfall.shortfall_stream(V.problems_from(rows), out, checkpoint)
-
-    run()
-    t.part.filter("p_partkey % 3 = 2").coalesce(1).write.parquet(f"{folder}/3")
-    run()
-    return shortfall.shortfalls(spark, out, LATER, want=300)
+    _in_turn(t, "part", ["p_partkey % 3 = 0", "p_partkey % 3 = 1", "p_partkey % 3 = 2"],
+             lambda rows: shortfall.shortfall_stream(V.problems_from(rows), out, checkpoint, forget_before=LATER))
+    asked = [shortfall.shortfalls(spark, out, at, want=300).withColumn("asked_at", F.lit(at)) for at in (LATER, MUCH_LATER)]
+    return asked[0].unionByName(asked[1])

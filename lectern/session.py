@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,9 +31,14 @@ def build_session(app: str = "lectern", cores: str = "*", shuffle_partitions: in
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; without one, a folder below the warehouse, which is shared too."""
+    """Shared folder named by ``spark.checkpoint.dir``. Without one, a folder below the warehouse, but only where driver
+    and executors are one process; on a cluster that is an error, as no other folder is surely shared."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
+    if not configured:
+        if not re.fullmatch(r"local(\[[^,]*(,[^,]*)?\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    return configured.rstrip("/")
 
 
 def _folder(spark: SparkSession, path: str):
@@ -44,14 +51,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(folder)
 
 
-def folder_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers of the finished folders ``prefix``N below ``path``, ascending."""
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in ``path``; none if it is not there."""
     folder, fs = _folder(spark, path)
-    if not fs.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    done = [n for n in names if n.startswith(prefix) and path_exists(spark, f"{path}/{n}/_SUCCESS")]
-    return sorted(int(n[len(prefix):]) for n in done)
+    return [status.getPath().getName() for status in fs.listStatus(folder)] if fs.exists(folder) else []
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
@@ -59,6 +62,29 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not be there yet; false if it is."""
+    folder, fs = _folder(spark, path)
+    try:
+        out = fs.create(folder, False)
+    except Py4JJavaError as error:
+        if fs.exists(folder):
+            return False
+        raise error
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def small_text(spark: SparkSession, path: str) -> str:
+    folder, fs = _folder(spark, path)
+    stream = fs.open(folder)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch root."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

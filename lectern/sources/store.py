@@ -2,14 +2,14 @@
 
 The operators are those of ``lectern.operators.content``; here they meet tables on disk. Removals touch only the
 partitions that hold a row to remove: a partition that expires as a whole is dropped, others are rewritten from their
-survivors. One writer at a time. The caller knows which ids were issued and says where new ones start.
+survivors. Ids go on above every id ever issued, also after removals: a writer claims a range before it writes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import fixed_values as V
@@ -17,7 +17,7 @@ from lectern.functions.text import topic_matches
 from lectern.operators import content as C
 from lectern.operators.numbering import assign_ids
 from lectern.schemas import STORE_TABLES
-from lectern.session import path_exists, remove_folder, stage
+from lectern.session import create_once, folder_names, path_exists, remove_folder, small_text, stage
 
 DAY = "expires_on"
 
@@ -39,28 +39,54 @@ class StudyStore:
     def read(self, table: str) -> DataFrame:
         return self._with_day(table).drop(DAY)
 
-    def _append(self, table: str, rows: DataFrame, start_id: int, order_cols: Sequence[str] | None) -> int:
+    def claim_ids(self, table: str, count: int) -> int:
+        """Reserve ``count`` ids and return the first. Claims are numbered files below ``ids``; one is made by creating
+        the next number, which only one writer can, and says which id is the last one issued."""
+        folder = f"{self.root}/ids/{table}"
+        while True:
+            made = sorted(name for name in folder_names(self.spark, folder) if name.startswith("claim-"))
+            last = self._last_issued(table, f"{folder}/{made[-1]}" if made else None)
+            number = int(made[-1].removeprefix("claim-")) + 1 if made else 0
+            if create_once(self.spark, f"{folder}/claim-{number:012d}", str(last + count)):
+                return last + 1
+
+    def _last_issued(self, table: str, claim: str | None) -> int:
+        if claim is None:
+            # A table from before there were claims: nothing above its largest id is known to be taken.
+            _, id_col = STORE_TABLES[table]
+            return self.read(table).agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
+        said = small_text(self.spark, claim)
+        if not said:
+            raise RuntimeError(f"{claim} is being made by another writer; remove it if that writer is gone")
+        return int(said)
+
+    def _append(self, table: str, rows: DataFrame, start_id: int | None, order_cols: Sequence[str] | None) -> int:
+        """Number and write ``rows``, which may have columns besides the table's to be ordered by."""
         schema, id_col = STORE_TABLES[table]
         day = F.coalesce(F.date_format("expires_at", "yyyy-MM-dd"), F.lit(V.NEVER)) if "expires_at" in schema.fieldNames() else F.lit(V.NEVER)
-        numbered = assign_ids(rows, id_col, start_id, order_cols).select(*schema.fieldNames(), day.alias(DAY))
-        seen = Observation()
-        numbered.observe(seen, F.count("*").alias("rows")).write.mode("append").partitionBy(DAY).parquet(self._path(table))
-        return seen.get.get("rows") or 0
+        numbered = assign_ids(rows, id_col, 0, order_cols)
+        count = numbered.count()
+        if count:
+            start = self.claim_ids(table, count) if start_id is None else start_id
+            numbered.withColumn(id_col, F.col(id_col) + F.lit(start).cast("long")).select(*schema.fieldNames(), day.alias(DAY)).write.mode(
+                "append").partitionBy(DAY).parquet(self._path(table))
+        return count
 
     # --- commands -----------------------------------------------------------------------------
 
-    def store_content(self, incoming: DataFrame, as_of: C.Instant, start_id: int, ttl_days: int = V.TTL_DAYS,
+    def store_content(self, incoming: DataFrame, as_of: C.Instant, start_id: int | None = None, ttl_days: int = V.TTL_DAYS,
                       order_cols: Sequence[str] | None = None) -> int:
-        """Returns the number of rows stored; rows with an empty body are not."""
-        rows = C.new_content(self.read("content"), incoming, as_of, ttl_days)
+        """Returns the number of rows stored; rows with an empty body are not. Ids follow ``order_cols`` of
+        ``incoming``, which need not be columns of the table; they start at ``start_id`` only if that is given."""
+        rows = C.new_content(self.read("content"), incoming, as_of, ttl_days, order_cols or ())
         return self._append("content", rows, start_id, order_cols)
 
-    def store_problems(self, incoming: DataFrame, as_of: C.Instant, start_id: int, ttl_days: int = V.TTL_DAYS,
+    def store_problems(self, incoming: DataFrame, as_of: C.Instant, start_id: int | None = None, ttl_days: int = V.TTL_DAYS,
                        order_cols: Sequence[str] | None = None) -> int:
-        rows = C.new_problems(self.read("problems"), incoming, as_of, ttl_days)
+        rows = C.new_problems(self.read("problems"), incoming, as_of, ttl_days, order_cols or ())
         return self._append("problems", rows, start_id, order_cols)
 
-    def log_sessions(self, sessions: DataFrame, start_id: int, order_cols: Sequence[str] | None = None) -> int:
+    def log_sessions(self, sessions: DataFrame, start_id: int | None = None, order_cols: Sequence[str] | None = None) -> int:
         schema, _ = STORE_TABLES["sessions"]
         filled = sessions.select(*[
             (F.col(f.name) if f.name in sessions.columns else F.lit(0 if f.name == "checkpoint" else None))
@@ -112,6 +138,6 @@ class StudyStore:
         return removed
 
     def clear_all(self) -> None:
-        """Empty all three tables."""
+        """Empty all three tables. What ids were issued stays known."""
         for table in STORE_TABLES:
             remove_folder(self.spark, self._path(table))

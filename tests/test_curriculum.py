@@ -202,8 +202,8 @@ def brute_levels(edges):
         (n, None, "cycle" if n in cycle else "blocked") for n in held], key=repr)
 
 
-@pytest.mark.parametrize("seed, back", [(0, 0), (1, 0), (2, 3), (3, 6)])
-def test_prerequisites(spark, seed, back):
+@pytest.mark.parametrize("seed, back, local_links", [(0, 0, 200_000), (1, 0, 0), (2, 3, 0), (3, 6, 30), (3, 6, 200_000)])
+def test_prerequisites(spark, seed, back, local_links):
     rng = random.Random(seed)
     # A hot node is the prerequisite of a third of all pairs.
     edges = {(0, n) for n in range(1, 40)}
@@ -215,7 +215,37 @@ def test_prerequisites(spark, seed, back):
         b, a = sorted(rng.sample(range(1, 40), 2))
         edges.add((a, b))
     df = spark.createDataFrame(sorted(edges) * 2, "prerequisite long, topic long")
-    assert tuples(prerequisite_levels(df)) == brute_levels(edges)
+    assert tuples(prerequisite_levels(df, local_links=local_links)) == brute_levels(edges)
+
+
+def jobs_of(spark, work):
+    """What ``work`` gives, and the jobs that Spark ran for it (each exchange counts as one)."""
+    context, group = spark.sparkContext, f"counted-{random.random()}"
+    context.setJobGroup(group, group)
+    try:
+        return work(), len(context.statusTracker().getJobIdsForGroup(group))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_deep_ladder_is_no_long_job(spark):
+    """Each of 1,000 rungs needs both topics of the rung before."""
+    ladder = spark.range(1998).selectExpr("id AS prerequisite", "explode(array(id + 2, id + 3 - 2 * (id % 2))) AS topic")
+    rows, jobs = jobs_of(spark, lambda: prerequisite_levels(ladder).collect())
+    assert jobs < 100
+    assert {(r["topic"], r["level"], r["status"]) for r in rows} == {(n, n // 2, "ordered") for n in range(2000)}
+
+
+def test_steps_follow_the_logarithm_of_the_depth(spark, monkeypatch):
+    from lectern.operators import prerequisites as P
+    steps = []
+    run = P._Elimination.run
+    monkeypatch.setattr(P._Elimination, "run", lambda self: (run(self), steps.append(self.step))[0])
+    for depth in (40, 160):
+        ladder = spark.range(2 * depth - 2).selectExpr("id AS prerequisite", "explode(array(id + 2, id + 3 - 2 * (id % 2))) AS topic")
+        rows = prerequisite_levels(ladder, local_links=50).collect()
+        assert {(r["topic"], r["level"]) for r in rows} == {(n, n // 2) for n in range(2 * depth)}
+    assert steps[1] < 2.5 * steps[0] + 4
 
 
 def test_prerequisites_without_pairs_and_long_runs(spark):
@@ -223,8 +253,12 @@ def test_prerequisites_without_pairs_and_long_runs(spark):
     edges = [(i, i + 1) for i in range(60)] + [(10, 61), (61, 60), (None, 100), (None, 30), (5, None)]
     edges += [(200, 201), (201, 202), (202, 200), (202, 203), (203, 204)]
     edges += [(300, 301), (301, 302), (302, 303), (303, 300), (301, 310), (310, 311), (311, 303)]
-    got = {r["topic"]: (r["level"], r["status"]) for r in prerequisite_levels(
-        spark.createDataFrame(edges, "prerequisite long, topic long"), topics).collect()}
+    check_long_runs(prerequisite_levels(spark.createDataFrame(edges, "prerequisite long, topic long"), topics))
+    check_long_runs(prerequisite_levels(spark.createDataFrame(edges, "prerequisite long, topic long"), topics, local_links=0))
+
+
+def check_long_runs(levels):
+    got = {r["topic"]: (r["level"], r["status"]) for r in levels.collect()}
     assert all(got[i] == (i, "ordered") for i in range(61)) and got[61] == (11, "ordered")
     assert all(got[i] == (0, "ordered") for i in range(100, 105)) and None not in got
     assert {got[i] for i in (200, 201, 202, 300, 301, 302, 303, 310, 311)} == {(None, "cycle")}

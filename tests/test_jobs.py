@@ -1,5 +1,6 @@
 import os
 import sys
+import time
 
 import pytest
 from pyspark import cloudpickle
@@ -63,6 +64,36 @@ def test_a_broken_run_keeps_what_its_rounds_finished(spark, tmp_path):
     assert jobs.unfinished(jobs.index_decks(decks, out)).isEmpty()
 
 
+def test_a_run_killed_in_its_first_round_repeats_no_finished_chunk(spark, tmp_path):
+    out, log = str(tmp_path / "slides"), tmp_path / "calls"
+    log.mkdir()
+
+    def call(pages, refs, *_):
+        if len(pages) > 7:
+            raise TimeoutError
+        with open(log / refs[0].replace("#", "-"), "a") as f:
+            f.write("x")
+        return "\n\n".join(f"## Slide {p}\n\n{r}" for p, r in zip(pages, refs))
+
+    def dying(pages, refs, *_):
+        if refs[0].startswith("bad"):
+            time.sleep(6)
+            raise SystemExit("the machine is gone")
+        return call(pages, refs)
+
+    decks = spark.createDataFrame([("bad", 2), ("split", 60)] + [(f"d{i}", 5) for i in range(12)], "deck string, total_pages long")
+    with pytest.raises(Exception):
+        jobs.extract_decks(decks, [A.Extractor("a", dying)], out)
+    first = set(os.listdir(log))
+    assert len(first) > 12 and not os.path.exists(out)
+    jobs.extract_decks(decks, [A.Extractor("a", call)], out)
+    assert all((log / name).read_text() == "x" for name in os.listdir(log)) and set(os.listdir(log)) > first
+    assert jobs.unfinished(jobs.index_decks(decks, out)).isEmpty() and not os.path.exists(f"{out}-log")
+    slides = S.read_slides(spark, out)
+    assert slides.count() == 122 and slides.filter(F.col("text") != F.concat("deck", F.lit("#"), "slide_no")).isEmpty()
+    assert slides.select("deck", "slide_no").distinct().count() == 122
+
+
 def test_tree_conversion(spark, tmp_path):
     for name in ("a.ppt", "sub/b.PPTX", "sub/c.odp", "sub/c.pdf", "bad.pps", "notes.txt"):
         (tmp_path / name).parent.mkdir(exist_ok=True)

@@ -152,3 +152,23 @@ def test_purge_and_clear_split_the_rows(content):
     assert tuples(kept.select("entry_id")) == [(4,), (5,), (6,)]
     counts = dict(tuples(C.expiry_counts(content, content.filter("entry_id = 5"), AS_OF)))
     assert counts == {"content": 2, "problems": 1}
+
+
+def test_ids_go_on_by_themselves(spark, tmp_path):
+    store = StudyStore(spark, str(tmp_path / "store"))
+    pages = spark.createDataFrame([("T", "second", 2), ("T", "first", 1), ("T", "third", 3)], "topic string, body string, place int")
+    ids = lambda: {r.body: r.entry_id for r in store.read("content").collect()}
+    assert store.store_content(pages, AS_OF, order_cols=["place"]) == 3
+    assert ids() == {"first": 1, "second": 2, "third": 3} and "place" not in store.read("content").columns
+    store.clear_all()
+    store.store_content(pages, AS_OF, order_cols=["place"])
+    store.purge("t")
+    assert store.store_content(pages.limit(0), AS_OF) == 0
+    StudyStore(spark, str(tmp_path / "store")).store_content(pages, AS_OF, order_cols=["place"])
+    assert ids() == {"first": 7, "second": 8, "third": 9}
+    # Another writer that took the next claim first.
+    (tmp_path / "store" / "ids" / "content" / "claim-000000000003").write_text("500")
+    assert store.claim_ids("content", 2) == 501 and store.claim_ids("problems", 2) == 1
+    (tmp_path / "store" / "ids" / "content" / "claim-000000000005").write_text("")
+    with pytest.raises(RuntimeError):
+        store.claim_ids("content", 1)
