@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.session import scratch_path, stage
@@ -43,6 +44,27 @@ class _Powers:
 _UP, _DOWN = _Powers(_BASE), _Powers(_BASE_INVERSE)
 
 
+class Shipped:
+    """An array on its way to the tasks: packed in a broadcast, and unpacked once by each task that asks for it.
+
+    Tables of fixed size are mostly empty, so they take little of the disks of driver and executors this way.
+    """
+
+    def __init__(self, spark: SparkSession, array: np.ndarray):
+        self.kind, self.shape = array.dtype.str, array.shape
+        self.sent = spark.sparkContext.broadcast(zlib.compress(array.tobytes(), 1))
+        self.opened: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"opened": None}
+
+    @property
+    def value(self) -> np.ndarray:
+        if self.opened is None:
+            self.opened = np.frombuffer(zlib.decompress(self.sent.value), self.kind).reshape(self.shape)
+        return self.opened
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once below ``spark.checkpoint.dir`` and read back."""
     return stage(df, label)
@@ -97,6 +119,26 @@ def span_hashes(lowered: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mixed((total[ends] - total[starts]) * _DOWN.upto(n)[starts] + (ends - starts).astype(np.uint64))
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of batches that are sorted by the integer columns ``keys``, some whole groups at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        if held and any(held[-1].column(k)[-1].as_py() != c[0] for k, c in zip(keys, columns, strict=True)):
+            yield pa.Table.from_batches(held)
+            held = []
+        cuts = np.flatnonzero(np.any([np.diff(c) != 0 for c in columns], axis=0))
+        if len(cuts):
+            end = int(cuts[-1]) + 1
+            yield pa.Table.from_batches([*held, batch.slice(0, end)])
+            held, batch = [], batch.slice(end)
+        held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """Connected components of the links (``a``, ``b``): columns ``node``, ``component`` (its smallest node).
 
@@ -128,5 +170,7 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         if now == mark:
             break
         mark = now
+    else:
+        raise RuntimeError("components: 199 rounds were not enough")
     return tree.selectExpr("child AS node", "parent AS component").unionAll(
         tree.selectExpr("parent AS node", "parent AS component").distinct())

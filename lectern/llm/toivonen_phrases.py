@@ -21,10 +21,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import mixed, stored
+from lectern.llm.common import Shipped, mixed, stored
 
 MIN_COUNT = 10
 MAX_WORDS = 3
@@ -218,6 +218,10 @@ def _pairs_of(words_known: np.ndarray, pairs_known: np.ndarray | None, each: np.
     return [pair, whole[2] & known & after]
 
 
+def _shipped(spark: SparkSession, *tables: np.ndarray) -> list[Shipped]:
+    return [Shipped(spark, x) for x in tables]
+
+
 def frequent_hashes(docs: DataFrame, min_count: int = MIN_COUNT, sample: float = SAMPLE, seed: int = 0) -> DataFrame:
     """(k, h) of every phrase hash of ``docs`` (lang, text) that stands at ``min_count`` places or more."""
     spark = docs.sparkSession
@@ -228,14 +232,13 @@ def frequent_hashes(docs: DataFrame, min_count: int = MIN_COUNT, sample: float =
     before: tuple[np.ndarray, np.ndarray] | None = None
     found: DataFrame | None = None
     while True:
-        sent = spark.sparkContext.broadcast((words_known, pairs_known, before))
+        now, earlier = _shipped(spark, words_known, pairs_known), before and _shipped(spark, *before)
 
-        def choose(each: np.ndarray, hashes: list, whole: list, sent=sent) -> list[np.ndarray]:
-            words_now, pairs_now, earlier = sent.value
-            chosen = _pairs_of(words_now, pairs_now, each, hashes, whole)
+        def choose(each: np.ndarray, hashes: list, whole: list, now=now, earlier=earlier) -> list[np.ndarray]:
+            chosen = _pairs_of(*[x.value for x in now], each, hashes, whole)
             if earlier is None:
                 return [whole[0], *chosen]
-            counted = _pairs_of(*earlier, each, hashes, whole)
+            counted = _pairs_of(*[x.value for x in earlier], each, hashes, whole)
             return [np.zeros(len(whole[0]), bool), *[c & ~old for c, old in zip(chosen, counted, strict=True)]]
 
         fresh = stored(_counted(docs, choose).filter(F.col("n") >= min_count).select("k", "h"), "phrase-counts")
@@ -257,10 +260,10 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     """
     slim = docs.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
     frequent = frequent_hashes(slim, min_count, sample, seed)
-    sent = slim.sparkSession.sparkContext.broadcast([_table(frequent.filter(F.col("k") == k)) for k in range(1, MAX_WORDS + 1)])
+    tables = _shipped(slim.sparkSession, *[_table(frequent.filter(F.col("k") == k)) for k in range(1, MAX_WORDS + 1)])
 
     def choose(each: np.ndarray, hashes: list, whole: list) -> list[np.ndarray]:
-        return [w & _known(table, h) for w, table, h in zip(whole, sent.value, hashes, strict=True)]
+        return [w & _known(table.value, h) for w, table, h in zip(whole, tables, hashes, strict=True)]
 
     parts = slim.mapInArrow(lambda batches: _walk(batches, choose, True), "lang string, phrase string, k int, n long")
     total = parts.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))

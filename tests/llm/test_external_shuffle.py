@@ -33,19 +33,18 @@ def test_same_seed_same_order_whatever_the_partitions(spark):
 
 
 def test_order_is_uniform(spark):
-    """Over many seeds every record stands in every shard equally often, and neighbours do not stay together."""
-    docs = spark.range(40).selectExpr("id AS doc_id", "'same text' AS text")
-    seen = [[0] * 4 for _ in range(40)]
-    together = 0
-    for seed in range(60):
-        found = places(S.shuffle_into_shards(docs, shards=4, seed=seed, bucket_bytes=200))
-        for shard, _, doc in found:
-            seen[doc][shard] += 1
-        at = {doc: (shard, slot) for shard, slot, doc in found}
-        together += sum(at[i][0] == at[i + 1][0] and abs(at[i][1] - at[i + 1][1]) == 1 for i in range(39))
-    # Chi-square with 120 degrees of freedom; about 18 neighbours a seed would stay if order were kept within shards.
-    assert sum((n - 15) ** 2 / 15 for row in seen for n in row) < 185
-    assert together / 60 < 5
+    """Records stand in every part of every shard equally often, and neighbours do not stay together."""
+    docs = spark.range(4000).selectExpr("id AS doc_id", "'same text' AS text")
+    found = places(S.shuffle_into_shards(docs, shards=4, seed=3, bucket_bytes=4000))
+    seen = [[0] * 10 for _ in range(10)]
+    for shard, slot, doc in found:
+        seen[doc // 400][(slot // 100) % 10] += 1
+    # Chi-square with 81 degrees of freedom.
+    assert sum((n - 40) ** 2 / 40 for row in seen for n in row) < 135
+    at = {doc: (shard, slot) for shard, slot, doc in found}
+    assert sum(at[i][0] == at[i + 1][0] and abs(at[i][1] - at[i + 1][1]) == 1 for i in range(3999)) < 12
+    drawn = [S.fisher_yates(3, 9, n).tolist() for n in range(1200)]
+    assert all(160 < drawn.count(p) < 240 for p in ([0, 1, 2], [0, 2, 1], [1, 0, 2], [1, 2, 0], [2, 0, 1], [2, 1, 0]))
 
 
 def test_hot_ids_are_spread(spark):

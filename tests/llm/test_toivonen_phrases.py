@@ -38,11 +38,11 @@ def rows():
     words = [f"w{i}" for i in range(60)] + ["Übel", "a\x1cb", "0", "w1-w2"]
     weights = 1 / np.arange(1, len(words) + 1)
     out = []
-    for n in range(400):
+    for n in range(300):
         picked = rng.choice(words, int(rng.integers(0, 60)), p=weights / weights.sum()).tolist()
         text = "".join(w + rng.choice([" ", " ", "  ", "\t", ", ", ".", "\n", " W1 w2 w3 "]) for w in picked)
         out.append(([None, "und", "en", "de"][n % 4], text))
-    return [*out, ("en", None), (None, ""), ("xx", "only a few words"), ("long", "to be or not to be, " * 30_000)]
+    return [*out, ("en", None), (None, ""), ("xx", "only a few words"), ("long", "to be or not to be, " * 3_000)]
 
 
 def test_equals_counting_everything(spark, rows):
@@ -52,7 +52,7 @@ def test_equals_counting_everything(spark, rows):
     assert sorted(map(tuple, P.collocations(docs).collect())) == expected
 
 
-@pytest.mark.parametrize("sample", [0.0, 0.02, 1.0])
+@pytest.mark.parametrize("sample", [0.0, 1.0])
 def test_any_sample_gives_the_same(spark, rows, sample):
     """An empty sample proposes nothing, so every level comes from border failures and expansion passes."""
     docs = spark.createDataFrame(rows, "lang string, text string")
