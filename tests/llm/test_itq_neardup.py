@@ -7,6 +7,7 @@ from lectern.llm import itq_neardup as Q
 
 def brute(rows, threshold=0.95):
     good = [(i, np.array(v, float)) for i, v in rows if v is not None and len(v) and None not in v and np.isfinite(v).all() and np.any(v)]
+    good = [(i, v / np.abs(v).max()) for i, v in good]
     links, parent = [0] * len(good), list(range(len(good)))
 
     def find(x):
@@ -54,12 +55,35 @@ def test_links_equal_brute_force_and_no_false_link(spark):
 
 
 def test_recall_on_the_table(spark):
-    frame = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
-    part = frame.filter("pmod(vec_id, 4) = 0")
-    expected = brute([(r["vec_id"], r["embedding"]) for r in part.collect()][:1500])
-    got = {r["vec_id"]: r["n_links"] for r in Q.link_vectors(part.filter(part.vec_id.isin(list(expected)))).collect()}
-    wanted = sum(n for n, _ in expected.values())
-    assert wanted and sum(got.values()) >= 0.9 * wanted
+    """The table's vectors, each with a copy that is turned by an angle around the threshold."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").toPandas()
+    x = np.stack(rows["embedding"].to_numpy()).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    random = np.random.default_rng(8)
+    noise = random.normal(size=x.shape)
+    noise -= (noise * x).sum(axis=1, keepdims=True) * x
+    noise *= np.tan(np.arccos(random.uniform(0.93, 0.99, (len(x), 1)))) / np.linalg.norm(noise, axis=1, keepdims=True)
+    x = np.concatenate((x, x + noise))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    wanted = dict(enumerate(((x @ x.T >= 0.95).sum(axis=1) - 1).tolist()))
+    frame = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in Q.link_vectors(frame).collect()}
+    assert all(n <= wanted[i] for i, n in got.items())
+    assert sum(wanted.values()) and sum(got.values()) >= 0.9 * sum(wanted.values())
+
+
+def test_huge_and_tiny_vectors(spark):
+    rows = clustered(60, 6, 5) + [(1000, [1e200, 1e200]), (1001, [1e-200, 1e-200]), (1002, [3e307, 2.9e307]), (1003, [5e-324, 5e-324]),
+                                  (1004, [1e300, -1e300]), (1005, [-0.0, 2.0]), (1006, [0.0, 7.0]), (1007, [1e200, 1e-200])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in Q.link_vectors(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>"), recall=0.999).collect()}
+    expected = brute(rows)
+    assert {i: got[i] for i in got if i >= 1000} == {i: expected[i] for i in expected if i >= 1000}
+    assert got[1000] == (3, 1000) and got[1005] == (1, 1005) and got[1004] == (0, 1004)
+
+
+def test_code_limit():
+    assert 14 < Q.code_limit(64, 0.95) < 24 and Q.code_limit(2, 0.95) == 2 and Q.code_limit(64, 1.0) == 0
 
 
 def test_odd_rows(spark):
