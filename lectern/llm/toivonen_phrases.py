@@ -30,11 +30,12 @@ MIN_COUNT = 10
 MAX_WORDS = 3
 TOP = 2000
 SAMPLE = 0.25
-TABLE_BITS = 27
-_SLICE_BITS = 21
-_BLOCK_WORDS = 1 << 19
-_BLOCK_BYTES = 4 << 20
-_HELD_ROWS = 1 << 22
+TABLE_BITS = 26
+_SLICE_BITS = 20
+_BLOCK_WORDS = 1 << 17
+_BLOCK_BYTES = 2 << 20
+_HELD_ROWS = 1 << 20
+_HELD_WORDS = 1 << 18
 _NO_LANG = "und"
 
 #: The characters that end a piece of text; `.` stands for all of them after this translation.
@@ -190,10 +191,11 @@ def _walk(batches: Iterator[pa.RecordBatch], choose: Callable, by_text: bool) ->
                         sums.setdefault((lang, k), _Summed()).add(key)
                 if by_text:
                     sums.setdefault((lang, 0), _Summed()).add(np.zeros(int(whole[0].sum()), np.uint64))
-                if len(vocabulary) > 1 << 20 or sum(s.held for s in sums.values()) > _HELD_ROWS:
+                many_words = sum(map(len, words.values())) > _HELD_WORDS
+                if many_words or sum(s.held for s in sums.values()) > _HELD_ROWS:
                     yield from flushed()
-                    if len(vocabulary) > 1 << 20:
-                        del words[lang]
+                if many_words:
+                    words.clear()
     yield from flushed()
 
 
