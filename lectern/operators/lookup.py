@@ -20,12 +20,12 @@ def _grams(text: str, width: int) -> str:
     return f"filter(transform({starts}, i -> substring({text}, i, {width})), g -> length(g) = {width})"
 
 
-def _all_grams(text: str) -> str:
-    """SQL for all grams of a text up to the widest."""
+def all_grams(text: str) -> str:
+    """SQL for all grams of a text up to the widest, each once."""
     return f"array_distinct(concat({', '.join(_grams(text, w) for w in range(1, GRAM + 1))}))"
 
 
-def _pattern_grams(pattern: str) -> str:
+def pattern_grams(pattern: str) -> str:
     """SQL for the grams that every match must hold: those of the widest width found in a literal run; none for a
     pattern of wildcards."""
     runs = f"split({pattern}, '[%_]')"
@@ -53,7 +53,7 @@ def lookup_many(content: DataFrame, queries: DataFrame, as_of: Instant, k: int =
     topics = heads.select("topic").distinct().withColumn("_folded", fold(F.col("topic")))
     topic_grams = topics.select(
         "topic", "_folded",
-        F.explode(F.expr(_all_grams("_folded"))).alias("_gram"),
+        F.explode(F.expr(all_grams("_folded"))).alias("_gram"),
     )
     patterns = queries.select("query").distinct().select(
         "query",
@@ -63,7 +63,7 @@ def lookup_many(content: DataFrame, queries: DataFrame, as_of: Instant, k: int =
     is_gram = (F.length("_text").between(1, GRAM)) & ~F.col("_text").rlike("[%_]")
     frequency = topic_grams.groupBy("_gram").agg(F.count("*").alias("_topics"))
     rarest = (
-        distinct.filter(~is_gram).select("_text", F.explode(F.expr(_pattern_grams("_text"))).alias("_gram"))
+        distinct.filter(~is_gram).select("_text", F.explode(F.expr(pattern_grams("_text"))).alias("_gram"))
         .join(frequency, "_gram")
         .groupBy("_text").agg(F.min_by("_gram", F.struct("_topics", "_gram")).alias("_gram"))
     )
@@ -84,7 +84,7 @@ def _by_gram(grams: DataFrame, heads: DataFrame, newest: list[Column], k: int) -
     """Newest rows for the patterns that are grams: (_text, fetched_at, entry_id). Each map task keeps at most ``k`` rows
     of a gram."""
     held = heads.select("fetched_at", "entry_id", fold(F.col("topic")).alias("_folded")).select(
-        "fetched_at", "entry_id", F.explode(F.expr(_all_grams("_folded"))).alias("_gram"))
+        "fetched_at", "entry_id", F.explode(F.expr(all_grams("_folded"))).alias("_gram"))
     postings = in_first(held, ["_gram"], newest, k, "_place")
     return grams.join(postings, F.col("_text") == F.col("_gram")).select("_text", "fetched_at", "entry_id")
 

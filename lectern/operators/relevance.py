@@ -53,9 +53,10 @@ def _tercile(rank: Column, total: Column) -> Column:
     return F.when(rank <= first, 1).when(rank <= second, 2).otherwise(3)
 
 
-def module_files(tagged: DataFrame) -> DataFrame:
-    """Files of each module, one row per file."""
-    return tagged.select("module", "deck").distinct()
+def module_files(slides: DataFrame) -> DataFrame:
+    """Files of each module, one row per file. The pages need not be judged for this, so give them as they are: the two
+    names are all that is read."""
+    return slides.select("module", "deck").distinct()
 
 
 def module_key_topics(tagged: DataFrame, terms: Sequence[str] = V.INCLUDE_TERMS) -> DataFrame:

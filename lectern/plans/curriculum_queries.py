@@ -15,6 +15,7 @@ from lectern.plans import views as V
 from lectern.plans.registry import query
 from lectern.plans.store_queries import LIVE
 from lectern.plans.views import AS_OF, CONTENT, PROBLEMS, SECTION_TOTALS, SLIDES, SYLLABUS, TAGGED, with_sql
+from lectern.session import scratch_path
 from lectern.sources import guide
 
 TIER_RANK = "list_position(['CRITICAL', 'HIGH', 'MEDIUM', 'LOW'], tier)"
@@ -52,17 +53,25 @@ def _guide_lines(t):
         F.col("subject").alias("file"), (section_no * 100_000_000 + F.col("i")).alias("pos"), "line")
 
 
+def _guide_files(lines):
+    """The lines (file, pos, line) as text files, each written by one task."""
+    folder = scratch_path(lines.sparkSession, "guide")
+    in_order = lines.repartition("file").sortWithinPartitions("file", "pos")
+    in_order.select("file", F.col("line").alias("value")).write.partitionBy("file").text(folder)
+    return f"{folder}/*"
+
+
 @query("load_guide_topics", with_sql(SYLLABUS, body="""
 SELECT left(subject, 1) || lower(substr(subject, 2)) AS subject, section, topic, weight_pct, advanced, tier, notes
 FROM syllabus"""))
 def load_guide_topics(t):
-    return guide.parse_syllabus(_guide_lines(t)).drop("file")
+    return guide.load_syllabus(t._spark, _guide_files(_guide_lines(t)))
 
 
 @query("load_guide_totals", with_sql(SYLLABUS, SECTION_TOTALS, body="""
 SELECT left(subject, 1) || lower(substr(subject, 2)) AS subject, section, lo_pct, hi_pct FROM section_totals"""))
 def load_guide_totals(t):
-    return guide.parse_section_totals(_guide_lines(t)).drop("file")
+    return guide.load_section_totals(t._spark, _guide_files(_guide_lines(t)))
 
 
 @query("load_guide_order", """
@@ -70,7 +79,8 @@ SELECT CAST(n_nationkey % 4 + 1 AS INTEGER) AS phase, c_mktsegment AS subject, i
        [c_name, 'Part (' || n_name || ' → ' || c_custkey || ')', n_name][i] AS label
 FROM customer JOIN nation ON n_nationkey = c_nationkey, (SELECT unnest([1, 2, 3]) AS i)""")
 def load_guide_order(t):
-    """One file per market segment with four lines per customer, one of them a list with a sub-list."""
+    """Files of a thousand customers of a market segment, with four lines per customer, one of them a list with a
+    sub-list."""
     rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     key = F.col("c_custkey").cast("string")
     listed = F.concat(
@@ -78,8 +88,9 @@ def load_guide_order(t):
         F.lit(") → "), "n_name")
     phase = F.concat(F.lit("### Phase "), (F.col("n_nationkey") % 4 + 1).cast("string"), F.lit(" — part"))
     lines = rows.select("c_mktsegment", "c_custkey", F.posexplode(F.array(F.lit("## Order"), phase, listed, F.lit(""))).alias("i", "line"))
-    return guide.parse_study_order(lines.select(
-        F.col("c_mktsegment").alias("file"), (F.col("c_custkey") * 4 + F.col("i")).alias("pos"), "line")).drop("file")
+    name = F.concat_ws("-", F.lower("c_mktsegment"), F.expr("c_custkey div 1000").cast("string"))
+    return guide.load_study_order(t._spark, _guide_files(lines.select(
+        name.alias("file"), (F.col("c_custkey") * 4 + F.col("i")).alias("pos"), "line")))
 
 
 @query("arrow_lists", """
@@ -356,7 +367,7 @@ def course_map(t):
 
 @query("module_files", with_sql(TAGGED, body="SELECT DISTINCT module, deck FROM tagged"))
 def module_files(t):
-    return R.module_files(_tagged(t))
+    return R.module_files(V.pages_with_module(t))
 
 
 @query("module_key_topics", with_sql(TAGGED, body=f"""

@@ -57,6 +57,11 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(folder)] if fs.exists(folder) else []
 
 
+def remove_file(spark: SparkSession, path: str) -> None:
+    file, fs = _folder(spark, path)
+    fs.delete(file, False)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     folder, fs = _folder(spark, path)
     fs.delete(folder, True)

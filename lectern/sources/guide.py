@@ -8,16 +8,25 @@ from pyspark.sql import Window
 
 from lectern.functions.curriculum import arrow_items, tier, weight, weight_range
 from lectern.functions.text import strip
+from lectern.session import stage
 
 LINES_PER_BLOCK = 4096
 
 
 def guide_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, pos, line) of one or many guide files."""
-    return (
-        spark.read.text(path, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("pos", "line"))
-    )
+    """(file, pos, line) of one or many guide files, read by as many tasks as they have splits.
+
+    ``pos`` rises with the line's place in its file: a split's offset plus the line's number in it. A line has a byte at
+    least, so the numbers of a split end before those of the next begin. They are written once, since they are looked at
+    from several sides.
+    """
+    read = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"), F.col("value").alias("line"))
+    held = stage(read, "guide-lines")
+    firsts = held.groupBy("file", "_start").agg(F.min("_row").alias("_first"))
+    inner = (F.col("_start") > 0).cast("long")
+    return held.join(firsts, ["file", "_start"]).select("file", (F.col("_start") + inner + F.col("_row") - F.col("_first")).alias("pos"), "line")
 
 
 def _headed(lines: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Content, problems and sessions as plain Parquet tables, partitioned by the day of expiry.
 
-The operators are those of ``lectern.operators.content``; here they meet tables on disk. Removals touch only the
-partitions that hold a row to remove: a partition that expires as a whole is dropped, others are rewritten from their
-survivors. Ids go on above every id ever issued, also after removals: a writer claims a range before it writes.
+The operators are those of ``lectern.operators.content``; here they meet tables on disk. Removals touch only what holds
+a row to remove: a partition that expires as a whole is dropped, others are rewritten from their survivors. Of each file
+a summary says which n-grams its topics have, so a purge reads no file that cannot match, and rewrites only those that do. Ids go on above every id ever issued, also after removals: a writer claims a range before it writes.
 """
 
 from __future__ import annotations
@@ -13,15 +13,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import fixed_values as V
-from lectern.functions.text import topic_matches
+from lectern.functions.text import fold, topic_matches
 from lectern.operators import content as C
+from lectern.operators.lookup import all_grams, pattern_grams
 from lectern.operators.numbering import assign_ids
 from lectern.schemas import STORE_TABLES
-from lectern.session import create_once, folder_names, path_exists, remove_folder, small_text, stage
+from lectern.session import create_once, folder_names, path_exists, remove_file, remove_folder, small_text, stage
 
 DAY = "expires_on"
 
 
+#: Bits of a file's summary: those of one bitmap.
+GRAM_BITS = 32_768
+
+
+def _gram_bit(gram: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(GRAM_BITS)).cast("long")
+
+
+def _below(table: str, path: str) -> str:
+    return path.rpartition(f"/{table}/")[2]
+
+
 class StudyStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -70,6 +83,8 @@ class StudyStore:
             start = self.claim_ids(table, count) if start_id is None else start_id
             numbered.withColumn(id_col, F.col(id_col) + F.lit(start).cast("long")).select(*schema.fieldNames(), day.alias(DAY)).write.mode(
                 "append").partitionBy(DAY).parquet(self._path(table))
+            if table != "sessions":
+                self.summarise(table)
         return count
 
     # --- commands -----------------------------------------------------------------------------
@@ -126,8 +141,64 @@ class StudyStore:
                 remove_folder(self.spark, f"{self._path(table)}/{DAY}={d[DAY]}")
         return sum(d["gone"] for d in days)
 
+    def _files(self, table: str) -> dict[str, str]:
+        """Data files by their name below the table."""
+        if not path_exists(self.spark, self._path(table)):
+            return {}
+        return {_below(table, path): path for path in self._with_day(table).inputFiles()}
+
+    def _summaries(self, table: str) -> DataFrame:
+        path = f"{self.root}/topics/{table}"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], "name string, grams binary")
+        return self.spark.read.schema("name string, grams binary").parquet(path)
+
+    def summarise(self, table: str) -> None:
+        """Summarise the files that have no summary yet; their topics are all that is read."""
+        known = {r["name"] for r in self._summaries(table).select("name").collect()}
+        fresh = [path for name, path in self._files(table).items() if name not in known]
+        if not fresh:
+            return
+        name = F.element_at(F.split("_metadata.file_path", f"/{table}/"), -1)
+        topics = self.spark.read.schema("topic string").parquet(*fresh).select(name.alias("name"), fold(F.col("topic")).alias("topic")).distinct()
+        grams = topics.select("name", F.explode(F.expr(all_grams("topic"))).alias("gram")).select("name", _gram_bit(F.col("gram")).alias("bit")).distinct()
+        grams.groupBy("name").agg(F.bitmap_construct_agg("bit").alias("grams")).write.mode("append").parquet(f"{self.root}/topics/{table}")
+
+    def may_hold(self, table: str, text: str) -> list[str]:
+        """Paths of the files that may have a topic containing ``text``: all bits of its grams are set, or nothing is
+        known about them."""
+        files = self._files(table)
+        pattern = self.spark.createDataFrame([(text,)], "p string").select(fold(F.col("p")).alias("p"))
+        wanted = pattern.select(F.explode(F.expr(pattern_grams("p"))).alias("gram")).select(_gram_bit(F.col("gram")).alias("bit"))
+        rows = self._summaries(table)
+        without = F.lit(False)
+        for r in wanted.distinct().collect():
+            byte = F.conv(F.hex(F.substring("grams", r["bit"] // 8 + 1, 1)), 16, 10).cast("int")
+            without = without | (byte.bitwiseAND(F.lit(1 << r["bit"] % 8)) == 0)
+        ruled_out = {r["name"] for r in rows.filter(without).select("name").collect()}
+        return [path for name, path in files.items() if name not in ruled_out]
+
+    def _purge(self, table: str, text: str) -> int:
+        paths = self.may_hold(table, text)
+        if not paths:
+            return 0
+        schema, _ = STORE_TABLES[table]
+        rows = self.spark.read.schema(f"{schema.toDDL()}, {DAY} string").option("basePath", self._path(table)).parquet(*paths)
+        rows = rows.withColumns({"_file": F.col("_metadata.file_path"), "_gone": F.coalesce(topic_matches(F.col("topic"), text), F.lit(False))})
+        # A row per file with something to remove.
+        hit = rows.groupBy("_file").agg(F.count_if("_gone").alias("gone"), F.count("*").alias("rows")).filter("gone > 0").collect()
+        partly = [r["_file"] for r in hit if r["gone"] < r["rows"]]
+        if partly:
+            kept = stage(rows.filter(F.col("_file").isin(partly) & ~F.col("_gone")).drop("_file", "_gone"), "survivors")
+            kept.write.mode("append").partitionBy(DAY).parquet(self._path(table))
+        for r in hit:
+            remove_file(self.spark, r["_file"])
+        self.summarise(table)
+        return sum(r["gone"] for r in hit)
+
     def purge(self, text: str) -> dict[str, int]:
-        return {t: self._remove(t, topic_matches(F.col("topic"), text)) for t in ("content", "problems")}
+        """Remove the entries and problems whose topic contains ``text``. Survivors of a file are written before it goes."""
+        return {t: self._purge(t, text) for t in ("content", "problems")}
 
     def clear_expired(self, as_of: C.Instant) -> dict[str, int]:
         """Whole days before ``as_of`` are counted from the files' footers and dropped."""
@@ -141,3 +212,4 @@ class StudyStore:
         """Empty all three tables. What ids were issued stays known."""
         for table in STORE_TABLES:
             remove_folder(self.spark, self._path(table))
+            remove_folder(self.spark, f"{self.root}/topics/{table}")

@@ -70,6 +70,31 @@ def test_guide(spark, guide_path, monkeypatch, block):
         (1, "Geology", 1, "Rocks (Basalt → Chalk)"), (1, "Geology", 2, "Deltas"), (2, "Geology", 1, "Rivers")]
 
 
+def test_a_large_guide_is_read_by_many_tasks(spark, tmp_path):
+    """Sections go on over the borders of splits; empty lines and lone carriage returns change nothing."""
+    lines, expected = ["# Guide"], []
+    for s in range(40):
+        lines += [f"## SUBJECT {s // 8}", "", f"### Section {s} (Total: ~5%)", "", *[""] * (s % 3)]
+        for n in range(60):
+            lines += [f"| Topic {s}-{n} | ~{n % 9 + 1}% | Low | 🟢 | note \r {n} |\r", *[""] * (n % 5 == 0)]
+            expected.append((f"Subject {s // 8}", f"Section {s}", f"Topic {s}-{n}", n % 9 + 1))
+    (tmp_path / "large.md").write_bytes("\n".join(lines).encode())
+    (tmp_path / "small.md").write_text(GUIDE, encoding="utf-8")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "100")
+        splits = spark.read.text(str(tmp_path)).select("_metadata.file_block_start", "_metadata.file_path").distinct().count()
+        found = tuples(guide.load_syllabus(spark, str(tmp_path)).select("subject", "section", "topic", "weight_pct"))
+        positions = guide.guide_lines(spark, str(tmp_path)).filter("line LIKE '| Topic %-%'").orderBy("file", "pos").collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert splits > 20
+    assert found == sorted(expected + [("Geology", "Rivers", "Deltas", 4), ("Geology", "Rocks", "Basalt (dark)", 5), ("Geology", "Rocks", "Chalk", 3)], key=repr)
+    assert [r["line"].split()[2] for r in positions] == [e[2].split()[1] for e in expected]
+
+
 def test_sections_add_up(spark, guide_path):
     checked = U.check_sections(guide.load_syllabus(spark, guide_path), guide.load_section_totals(spark, guide_path))
     assert tuples(checked.select("section", "total_pct", "within")) == [("Rivers", 4, True), ("Rocks", 8, True)]

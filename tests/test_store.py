@@ -126,7 +126,7 @@ def test_store_life(spark, tmp_path):
 
 def test_removals_leave_other_files_alone(spark, tmp_path):
     store = StudyStore(spark, str(tmp_path / "s"))
-    texts = spark.createDataFrame([("Optics", "a"), ("Atoms", "b")], "topic string, body string")
+    texts = spark.createDataFrame([("Optics", "a"), ("Atoms", "b")], "topic string, body string").coalesce(1)
     atoms = texts.filter("topic = 'Atoms'")
     store.store_content(texts, AS_OF, 1, ttl_days=5)
     store.store_content(atoms, AS_OF, 10, ttl_days=9)
@@ -172,3 +172,31 @@ def test_ids_go_on_by_themselves(spark, tmp_path):
     (tmp_path / "store" / "ids" / "content" / "claim-000000000005").write_text("")
     with pytest.raises(RuntimeError):
         store.claim_ids("content", 1)
+
+
+def test_purge_reads_and_rewrites_only_files_that_may_match(spark, tmp_path):
+    root = tmp_path / "store"
+    store = StudyStore(spark, str(root))
+    for topic in ("Optics", "Atoms", "Rocks and waves"):
+        store.store_content(spark.createDataFrame([(topic, f"{topic} {i}") for i in range(5)] + [("Shared_1", topic)], "topic string, body string").coalesce(1), AS_OF)
+    files = sorted(store.may_hold("content", ""))
+    assert len(files) == 3 and len(store.may_hold("content", "OPT")) == 1 and store.may_hold("content", "quantum") == []
+    assert len(store.may_hold("content", "shared")) == 3 and len(store.may_hold("content", "%wav%_s")) == 1 and len(store.may_hold("content", "%")) == 3
+    other = [f for f in files if f not in store.may_hold("content", "optics")]
+    for f in other:
+        spoiled = f.replace("file://", "").replace("file:", "")
+        with open(spoiled, "rb") as whole:
+            held = whole.read()
+        with open(spoiled, "wb") as out:
+            out.write(b"not to be read")
+    assert store.purge("optics") == {"content": 5, "problems": 0}
+    with pytest.raises(Exception):
+        store.read("content").select("body").collect()
+    assert sorted(f for f in store.may_hold("content", "") if f in other) == sorted(other) and len(store.may_hold("content", "")) == 3
+    assert store.may_hold("content", "optics") == [] and held
+    # A file without a summary is always looked at.
+    store.clear_all()
+    store.store_content(spark.createDataFrame([("Waves", "x")], "topic string, body string"), AS_OF)
+    spark.createDataFrame([(99, "Optics", "y")], "entry_id long, topic string, body string").coalesce(1).write.mode("append").parquet(f"{root}/content/expires_on=never")
+    assert len(store.may_hold("content", "optics")) == 1 and store.purge("optics")["content"] == 1
+    assert [r.topic for r in store.read("content").collect()] == ["Waves"]
