@@ -1,20 +1,28 @@
 """Main text of web pages by consensus host paths.
 
 First every page scores its own containers: from the deepest element that holds most of the page's text outside links
-and boilerplate it climbs to the article around it, or as far below the body as the further text is not boilerplate.
-That is its candidate, written as a generalised path of tags and classes (digits replaced, ids left out). Spark
-counts the votes of each host's pages for their paths. Then every page is read again with its host's winning path; a
-page without such an element, or with no text in it, uses its own candidate.
+and boilerplate it climbs to the article around it, or as far as the further text is not boilerplate; to the body itself
+if headings or paragraphs stand right in it. That is its candidate, written as a generalised path of tags and classes
+(digits replaced, ids left out; a long path by its hash). Spark counts the votes of each host's pages for their paths.
+Then every page is read again with its host's winning path; a page without such an element, or with no text in it, uses
+its own candidate.
+
+A class or id marks boilerplate if all its words are marking or neutral ones, so `post-search-engines` does not; an
+element that holds most of the text of a page without an article is not dropped for its name. Reading takes time in proportion to the page,
+however deep its elements are nested.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +39,9 @@ BLOCKS = frozenset(("address article aside blockquote body center dd details div
 CONTAINERS = frozenset("html body main article section div center td".split())
 CLOSES_P = BLOCKS - {"html", "body"}
 OUTSIDE = frozenset(("head title nav footer aside form button select textarea option label dialog menu noscript template "
-                     "iframe object svg canvas audio video math").split())
+                     "iframe object svg canvas audio video annotation annotation-xml").split())
+BREAKING = frozenset("head title nav footer aside form dialog menu".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 RAW = "script|style|noscript|template|textarea|iframe|svg|title"
 MARKED = frozenset((
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar "
@@ -40,22 +50,33 @@ MARKED = frozenset((
     "recommended recommendations comments comment disqus respond responses replies reply pagination pager toolbar search "
     "skip").split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
-UNMARKED_AFTER = frozenset(("has", "with", "no", "without"))
+#: Words that may stand beside a marking one in a class or id.
+NEUTRAL = frozenset((
+    "area author avatar bar block body bottom box btn button buttons card cards center col column container content count "
+    "date fixed float floating form full global google group header heading holder icon icons id info inline inner item "
+    "items label large law left link links list main media meta mobile modal number outer page panel policy popular position "
+    "post posts primary right row secondary section site slot small space sticky text this title toggle top trail unit user "
+    "view wide wrap wrapper").split())
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(?P<close2>/?)(?P<tag2>[a-z][^\s/>]*+)[^>]*+(?:>|\Z)",
     re.S | re.I)
 _ATTRIBUTE = re.compile(r"""([a-z][\w:-]*+)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++))""", re.I)
-_PARTS = re.compile(r"[a-z]+|\d+", re.I)
+_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _DIGITS = re.compile(r"\d+")
+_VALUE = re.compile(r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']++)""")
+_PATH_CHARS = 300
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
     tag: str
-    path: str
+    step: str
+    path_id: int
     above: int
+    container: int
+    mark: int
     outside: bool
     in_header: bool
     in_article: bool
@@ -63,82 +84,112 @@ class Element:
 
 @dataclass
 class Page:
-    """Elements of a page and its blocks: (container, text, characters outside links), boilerplate left out."""
+    """Elements of a page in page order and its blocks: (container, text, characters outside links), boilerplate left
+    out."""
     elements: list[Element] = field(default_factory=list)
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
+    def path(self, at: int) -> str:
+        """Steps of the containers down to one, or its hash if that is long; '' for the page as a whole."""
+        steps, size, n = [], 0, at
+        while n > 0 and size <= _PATH_CHARS:
+            if self.elements[n].tag in CONTAINERS:
+                steps.append(self.elements[n].step)
+                size += len(steps[-1]) + 1
+            n = self.elements[n].above
+        return "/".join(reversed(steps)) if size <= _PATH_CHARS else f"#{self.elements[at].path_id:016x}"
 
-def _marked(tag: str, found: dict[str, str]) -> bool:
+
+def _below(path_id: int, step: str) -> int:
+    return xxhash.xxh64_intdigest(step.encode(), path_id)
+
+
+def path_number(path: str) -> int:
+    """The hash that the elements at a path have."""
+    if path.startswith("#"):
+        return int(path[1:], 16)
+    number = 0
+    for step in path.split("/") if path else ():
+        number = _below(number, step)
+    return number
+
+
+def _named_boilerplate(name: str) -> bool:
+    parts = [p.lower() for p in _PARTS.findall(name)]
+    return any(p in MARKED for p in parts) and all(p in MARKED or p in NEUTRAL or p.isdigit() for p in parts)
+
+
+def _hidden(tag: str, found: dict[str, str], attrs: str) -> bool:
+    """Attributes say that the element is not shown or not content."""
     if tag in ("html", "body", "main"):
         return False
     if found.get("role", "").lower() in ROLES or found.get("aria-hidden", "").lower() == "true":
         return True
     if "display:none" in found.get("style", "").replace(" ", "").lower():
         return True
-    for name in (*found.get("class", "").split(), found.get("id", "")):
-        parts = [p.lower() for p in _PARTS.findall(name)]
-        for before, part in zip(["", *parts], parts, strict=False):
-            if part in MARKED and before not in UNMARKED_AFTER:
-                return True
-    return False
+    return "hidden" in attrs.lower() and ("hidden" in found or "hidden" in _VALUE.sub("", attrs).lower().split())
+
+
+def _marked(tag: str, found: dict[str, str]) -> bool:
+    """A class or id says that the element is boilerplate; headings and articles are never judged by theirs."""
+    if tag in ("html", "body", "main", "article") or tag in HEADINGS:
+        return False
+    return any(_named_boilerplate(name) for name in (*found.get("class", "").split(), found.get("id", "")))
 
 
 def _is_header(tag: str, found: dict[str, str]) -> bool:
-    names = f"{found.get('class', '')} {found.get('id', '')}".lower()
-    return tag == "header" or (tag in ("div", "section") and "header" in _PARTS.findall(names))
+    if tag == "header" or tag not in ("div", "section"):
+        return tag == "header"
+    names = [[p.lower() for p in _PARTS.findall(n)] for n in (*found.get("class", "").split(), found.get("id", ""))]
+    return any("header" in parts and all(p == "header" or p in NEUTRAL or p in MARKED or p.isdigit() for p in parts) for parts in names)
 
 
 def read_page(html: str) -> Page:
     """Parses a page leniently: unclosed and stray tags are put up with, a cut page ends where it is cut."""
     page = Page()
-    page.elements.append(Element("", "", -1, False, False, False))
+    elements = page.elements
+    elements.append(Element("", "", 0, -1, 0, -1, False, False, False))
     stack = [0]
+    places: dict[str, list[int]] = defaultdict(list)  # where each open tag stands in the stack
+    blocks: list[tuple[int, int, str, int]] = []
     text: list[str] = []
-    linked = 0
-    links = 0
+    text_at = linked = 0
 
     def flush() -> None:
         nonlocal linked
         if text:
             joined = " ".join("".join(text).split())
-            top = page.elements[stack[-1]]
-            if joined and not top.outside:
-                at = stack[-1]
-                while page.elements[at].tag not in CONTAINERS and page.elements[at].above >= 0:
-                    at = page.elements[at].above
-                page.blocks.append((at, joined, max(0, len(joined) - linked)))
+            if joined:
+                top = elements[text_at]
+                blocks.append((top.mark, top.container, joined, max(0, len(joined) - linked)))
             text.clear()
         linked = 0
 
     def keep(raw: str) -> None:
-        nonlocal linked
-        top = page.elements[stack[-1]]
-        if top.outside or (top.in_header and not any(page.elements[i].tag in ("h1", "h2", "h3", "h4", "h5", "h6") for i in stack)):
+        nonlocal linked, text_at
+        top = elements[stack[-1]]
+        if top.outside or (top.in_header and not any(places[h] for h in HEADINGS)):
             return
+        if not text:
+            text_at = stack[-1]
         piece = entities.unescape(raw) if "&" in raw else raw
         text.append(piece)
-        if links:
+        if places["a"]:
             linked += len(piece.strip())
 
     def close(tag: str) -> None:
-        nonlocal links
-        for n in range(len(stack) - 1, 0, -1):
-            if page.elements[stack[n]].tag == tag:
-                if any(page.elements[i].tag in BLOCKS or page.elements[i].tag in OUTSIDE for i in stack[n:]):
-                    flush()
-                links -= sum(page.elements[i].tag == "a" for i in stack[n:])
-                del stack[n:]
-                return
+        if not places[tag]:
+            return
+        n = places[tag][-1]
+        if any(_breaks(elements[i]) for i in stack[n:]):
+            flush()
+        while len(stack) > n:
+            places[elements[stack.pop()].tag].pop()
 
     def ends(tag: str, within: tuple[str, ...]) -> None:
         """Closes an open ``tag`` that nothing in ``within`` shields."""
-        for n in range(len(stack) - 1, 0, -1):
-            open_tag = page.elements[stack[n]].tag
-            if open_tag == tag:
-                close(tag)
-                return
-            if open_tag in within:
-                return
+        if places[tag] and not any(places[w] and places[w][-1] > places[tag][-1] for w in within):
+            close(tag)
 
     at = 0
     for token in _TOKEN.finditer(html):
@@ -154,7 +205,8 @@ def read_page(html: str) -> Page:
                 text.append(" ")
             continue
         if tag == "br":
-            text.append(" ")
+            if text:
+                text.append(" ")
             continue
         if tag in VOID:
             if tag == "hr":
@@ -172,59 +224,94 @@ def read_page(html: str) -> Page:
         elif tag in ("dt", "dd"):
             ends("dt", ("dl",))
             ends("dd", ("dl",))
-        elif tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-            if page.elements[stack[-1]].tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-                close(page.elements[stack[-1]].tag)
+        elif tag in HEADINGS:
+            if elements[stack[-1]].tag in HEADINGS:
+                close(elements[stack[-1]].tag)
         elif tag in ("body", "main", "article"):
             for open_tag in ("head", "title", "nav", "footer", "aside") if tag != "article" else ("head", "nav", "footer"):
                 ends(open_tag, ())
-        if tag in BLOCKS or tag in OUTSIDE:
+        if tag in BLOCKS or tag in BREAKING:
             flush()
         attrs = token["attrs"] or ""
         found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attrs)} if "=" in attrs else {}
-        above = page.elements[stack[-1]]
-        classes = sorted({_DIGITS.sub("#", c.lower()) for c in found.get("class", "").split()})[:2]
-        path = above.path
+        above, number = elements[stack[-1]], len(elements)
+        step, path_id, container = "", above.path_id, above.container
         if tag in CONTAINERS:
-            path = "/".join(x for x in (above.path, ".".join((tag, *classes))) if x)
+            classes = sorted({_DIGITS.sub("#", c.lower()).replace("/", "|") for c in found.get("class", "").split()})
+            step = ".".join((tag, *classes))
+            path_id, container = _below(above.path_id, step), number
         header = _is_header(tag, found)
-        outside = above.outside or tag in OUTSIDE or _marked(tag, found) or (header and not above.in_article)
-        outside = outside or bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs))
-        page.elements.append(Element(tag, path, stack[-1], outside, above.in_header or header,
-                                     above.in_article or tag in ("article", "main")))
-        stack.append(len(page.elements) - 1)
-        links += tag == "a"
+        outside = above.outside or tag in OUTSIDE or (header and not above.in_article) or (bool(attrs) and _hidden(tag, found, attrs))
+        mark = above.mark
+        if not outside and found and _marked(tag, found):
+            if tag in BLOCKS:
+                mark = number
+            else:
+                outside = True
+        elements.append(Element(tag, step, path_id, stack[-1], container, mark, outside, above.in_header or header,
+                                above.in_article or tag in ("article", "main")))
+        places[tag].append(len(stack))
+        stack.append(number)
     if at < len(html):
         keep(html[at:])
     flush()
+    page.blocks = _unmarked(elements, blocks)
     return page
 
 
+def _breaks(element: Element) -> bool:
+    return element.tag in BLOCKS or element.tag in BREAKING
+
+
+def _unmarked(elements: list[Element], blocks: list[tuple[int, int, str, int]]) -> list[tuple[int, str, int]]:
+    """The blocks outside marked elements. On a page with no article or main outside them, a marked element with two
+    thirds of the text does not count as one."""
+    total = sum(len(text) for _, _, text, _ in blocks)
+    named = any(mark < 0 and elements[at].in_article for mark, at, _, _ in blocks)
+    below: dict[int, int] = defaultdict(int)
+    for mark, _, text, _ in blocks:
+        below[mark] += len(text)
+    # An element's mark is the nearest marked one that is itself or above it.
+    outer = {n: elements[elements[n].above].mark for n, e in enumerate(elements) if e.mark == n}
+    for n in sorted(outer, reverse=True):
+        below[outer[n]] += below[n]
+    dropped: dict[int, bool] = {-1: False}
+    for n in sorted(outer):
+        dropped[n] = dropped[outer[n]] or named or 3 * below[n] <= 2 * total
+    return [(at, text, size) for mark, at, text, size in blocks if not dropped[mark]]
+
+
 def candidate(page: Page, share: float = SHARE) -> tuple[str, int]:
     """Path and score of the page's own container; '' if none.
 
     It is the container around the deepest one with ``share`` of the text outside links: see ``_around``.
     """
-    score, length = [0] * len(page.elements), [0] * len(page.elements)
+    elements = page.elements
+    score, length, own, end = ([0] * len(elements) for _ in range(4))
     for at, text, size in page.blocks:
-        while at >= 0:
-            score[at] += size
-            length[at] += len(text)
-            at = page.elements[at].above
-    total = score[0]
+        own[at] += size
+        score[at] += size
+        length[at] += len(text)
+    for n in range(len(elements) - 1, -1, -1):
+        end[n] = max(end[n], n + 1)
+        if n:
+            above = elements[n].above
+            score[above] += score[n]
+            length[above] += length[n]
+            end[above] = max(end[above], end[n])
     best = 0
-    for n, element in enumerate(page.elements):
-        if element.tag in CONTAINERS and total and score[n] >= share * total:
+    for n, element in enumerate(elements):
+        if element.tag in CONTAINERS and score[0] and score[n] >= share * score[0]:
             best = n
-    best = _around(page, best, score, length)
-    return page.elements[best].path, score[best]
+    best = _around(page, best, score, length, own, end)
+    return page.path(best), score[best]
 
 
-def _around(page: Page, best: int, score: list[int], length: list[int]) -> int:
-    """The outermost container around ``best`` and below the body whose further text is not boilerplate.
+def _around(page: Page, best: int, score: list[int], length: list[int], own: list[int], end: list[int]) -> int:
+    """The outermost container around ``best`` whose further text is not boilerplate.
 
     The nearest article around it always counts. Above that, text that is mostly links and other articles end the
-    climb, and so does the nearest main, or the article if there is no main.
+    climb, and so does the nearest main, or the article if there is no main. The body counts if text stands right in it.
     """
     chain, at = [], best
     while at >= 0 and page.elements[at].tag not in ("", "html", "body"):
@@ -235,31 +322,29 @@ def _around(page: Page, best: int, score: list[int], length: list[int]) -> int:
     if not chain:
         return best
     home = tags.index("article") if "article" in tags else 0
-    end = tags.index("main") if "main" in tags else home if "article" in tags else len(chain) - 1
+    last = tags.index("main") if "main" in tags else home if "article" in tags else len(chain) - 1
+    if last == len(chain) - 1 and not {"article", "main"} & set(tags) and at >= 0 and own[at]:
+        chain.append(at)
+        last += 1
     articles = [n for n, element in enumerate(page.elements) if element.tag == "article" and length[n]]
+
+    def held(n: int) -> int:
+        return bisect_left(articles, end[n]) - bisect_left(articles, n)
+
     found = chain[home]
-    for n in chain[home + 1:end + 1]:
-        if 2 * (score[n] - score[found]) < length[n] - length[found] or _other_article(page, n, found, articles):
+    for n in chain[home + 1:last + 1]:
+        if 2 * (score[n] - score[found]) < length[n] - length[found] or held(n) > held(found):
             break
         found = n
     return found
 
 
-def _other_article(page: Page, outer: int, inner: int, articles: list[int]) -> bool:
-    """Whether one of ``articles`` stands in ``outer`` and not in ``inner``; elements below one follow it."""
-    for at in articles:
-        while at > outer and at != inner:
-            at = page.elements[at].above
-            if at == outer:
-                return True
-    return False
-
-
 def text_below(page: Page, path: str) -> str:
     """Blocks of the elements at ``path``, in page order."""
+    wanted = path_number(path)
     inside = [False] * len(page.elements)
     for n, element in enumerate(page.elements):
-        inside[n] = (element.above >= 0 and inside[element.above]) or (element.tag in CONTAINERS and element.path == path)
+        inside[n] = (element.above >= 0 and inside[element.above]) or (element.tag in CONTAINERS and element.path_id == wanted)
     return "\n".join(text for at, text, _ in page.blocks if inside[at] or not path)
 
 

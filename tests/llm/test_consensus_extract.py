@@ -1,6 +1,11 @@
+import re
+import time
+from html.parser import HTMLParser
+
 import pytest
 
 from lectern.llm import consensus_extract as C
+from lectern.llm import queries as Q
 
 MENU = '<nav><ul><li><a href="/a">Menu one</a></li><li><a href="/b">Menu two</a></li></ul></nav>'
 HEAD = "<!DOCTYPE html><html><head><title>Site title</title><style>p{}</style><script>var t='</p>';</script></head><body>"
@@ -62,15 +67,114 @@ LINKS = "<div class='more'>" + "".join(f"<a href='/{i}'>Another page of this sit
     (f"<article>{LEAD}</article>", "body/article"), (f"<div class=page>{LINKS}<div class=post>{LEAD}</div></div>", "body/div.page/div.post"),
     (f"<main><h1>Top</h1><article>{LEAD}</article></main>", "body/main"), (f"<div id=page><article>{LEAD}</article>{LINKS}</div>", "body/div/article"),
     (f"<main><article>{LEAD}</article><article class='teaser'><p>Another article.</p></article></main>", "body/main/article"),
-    (f"<div><main>{LEAD}</main><div>Other words.</div></div>", "body/div/main"), (LEAD, "body/div.body")])
+    (f"<div><main>{LEAD}</main><div>Other words.</div></div>", "body/div/main"), (LEAD, "body")])
 def test_heading_lead_and_closing_text_stay(html, path):
     page = C.read_page(f"<body>{html}</body>")
     assert C.candidate(page)[0] == path
     text = C.text_below(page, path)
-    if html != LEAD:
+    if html:
         assert "Title\nLead words.\nWords" in text and text.endswith("Closing words.") and "Another" not in text and "Other" not in text
 
 
+LONG = "<p>" + "Words of an article that goes on for a while. " * 8 + "</p>"
+
+
+@pytest.mark.parametrize("container", [
+    'article id="post-search-engines"', 'article class="post ad-free"', 'div class="social-science"', 'article data-title="A hidden gem"',
+    'article class="post type-post category-social tag-search hentry"', 'div class="sidebar"', 'section id="banner-1"', "div class='has-sidebar'",
+    'article class="comments"', 'div title="a > b"'])
+def test_an_article_is_not_dropped_for_its_name(container):
+    page = C.read_page(f"<body>{MENU}<{container}>{LONG}</{container.split()[0]}><div class='ad'>Buy</div></body>")
+    assert C.text_below(page, C.candidate(page)[0]) == C.read_page(LONG).blocks[0][1]
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-1", "sidebar-left", "cookie-banner", "share-buttons", "related-posts", "site-footer", "commentList comments", "nav_main"])
+def test_boilerplate_is_dropped_for_its_name(name):
+    for attribute in ("class", "id"):
+        page = C.read_page(f'<body><article>{LONG}<div {attribute}="{name}"><p>Something else</p></div></article></body>')
+        assert "Something" not in C.text_below(page, C.candidate(page)[0])
+
+
+def test_parts_of_an_article_stay():
+    body = ('<h2 id="related-work">Related work</h2><section id="cookies-and-cream"><p>Mix well.</p></section><p>Let <math><mi>x</mi><annotation>x^2'
+            '</annotation></math> be <button>copy</button> positive.</p><p>One <span hidden>no</span><svg><p>no</p></svg>two</p><div hidden="">no</div>')
+    page = C.read_page(f"<body><article>{LONG}{body}</article></body>")
+    text = C.text_below(page, C.candidate(page)[0]).split("\n")[1:]
+    assert text == ["Related work", "Mix well.", "Let x be positive.", "One two"]
+
+
+def test_different_containers_have_different_paths():
+    a, b = (C.read_page(f"<body><div class='a b {c}'>{LONG}</div></body>") for c in "cd")
+    assert C.candidate(a)[0] == "body/div.a.b.c" and C.text_below(b, C.candidate(a)[0]) == ""
+    deep = C.read_page("<body>" + "<div class='some-longer-name'>" * 40 + f"<article>{LONG}")
+    path = C.candidate(deep)[0]
+    assert path.startswith("#") and len(path) == 17 and C.text_below(deep, path).startswith("Words of an article")
+
+
+@pytest.mark.parametrize("html", [
+    "<div>" * 100_000 + "x", "<p>" * 100_000 + "x", "<p><button>" + "<div>x" * 30_000, "<span>" * 50_000 + "<p>x" * 30_000, "<div>x" * 50_000,
+    "</b>" * 100_000, "<a>" * 50_000 + "</i>x" * 30_000, "<article><div class=ad>" * 20_000 + "x", "<header>" + "<b>x" * 50_000])
+def test_time_follows_the_length_of_the_page(html):
+    started = time.process_time()
+    page = C.read_page(html)
+    C.text_below(page, C.candidate(page)[0])
+    assert time.process_time() - started < 5
+
+
+class Plain(HTMLParser):
+    """An independent extractor for pages with one article: its text by blocks, but for what is never content."""
+
+    SKIP = {"script", "style", "form", "aside", "nav", "footer", "select", "button", "label", "noscript", "template", "iframe", "title"}
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.skipped, self.parts, self.blocks = 0, [], [], []
+
+    def end_block(self):
+        joined = " ".join("".join(self.parts).split())
+        self.blocks += [joined] if joined else []
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        marked = re.search(r"\b(ad|comments?|sidebar|share|cookie|related)\b", " ".join(v or "" for k, v in attrs if k in ("class", "id")))
+        if (tag in self.SKIP or marked) and tag not in C.VOID:
+            self.skipped.append(tag)
+        if tag == "br":
+            self.parts.append(" ")
+        elif tag in C.BLOCKS:
+            self.end_block()
+
+    def handle_endtag(self, tag):
+        if tag in C.BLOCKS:
+            self.end_block()
+        if self.skipped and self.skipped[-1] == tag:
+            self.skipped.pop()
+        self.inside -= tag == "article"
+
+    def handle_data(self, data):
+        if self.inside > 0 and not self.skipped:
+            self.parts.append(data)
+
+
+def test_query_equals_an_independent_extractor(spark):
+    for folder in ("sf0.001", "sf0.01"):
+        pages = spark.read.parquet(f"/root/testdata/{folder}/pages.parquet")
+        got = {r["page_id"]: r["text"] for r in Q.QUERIES["op7_consensus_extract"](spark, f"/root/testdata/{folder}").collect()}
+        for r in pages.collect():
+            plain = Plain()
+            plain.feed(r["html"] or "")
+            plain.close()
+            plain.end_block()
+            assert got[r["page_id"]] == "\n".join(plain.blocks), r["page_id"]
+
+
+def test_odd_pages(spark):
+    pages = spark.createDataFrame([(None, None, f"<article>{LONG}"), (1, None, None), (1, None, None)], "page_id long, url string, html string")
+    rows = C.extract_pages(pages).collect()
+    assert sorted((str(r["page_id"]), r["n_chars"] > 100) for r in rows) == [("1", False), ("1", False), ("None", True)]
+
+
 def test_host_votes_for_the_whole_article(spark):
     rows = [(i, f"http://site.example/{i}", f"{HEAD}{MENU}<article>{LEAD}</article>{FOOT}") for i in range(5)]
     got = C.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
