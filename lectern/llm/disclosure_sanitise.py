@@ -1,9 +1,12 @@
-"""Personal data by pattern, and information-theoretic sanitisation of the terms around it.
+"""Personal data by pattern, and information-theoretic sanitisation of the terms that reveal it.
 
-E-mail and IP addresses, card and phone numbers are protected entities. Over the corpus, the words that stand near an
-entity are counted together with it, and all words by document. A word t discloses an entity e by the share of e's
-information that it carries: PMI(e, t) / IC(e), with PMI = log(n(e,t) N / (n(e) n(t))) and IC = log(N / n(e)) over N
-documents. Words above ``REMOVE`` are removed next to the entity, words above ``GENERALISE`` are replaced by their kind.
+E-mail and IP addresses, card and phone numbers are protected entities, and so are the groups to which they belong: the
+mail domain, the first half of an IP address, the issuer digits of a card, the first digits of a phone number. Over the
+corpus, documents are counted that hold an entity or group e, a word t, and both, the word outside all spans. A word
+discloses e by the share of e's information that it carries: PMI(e, t) / IC(e), with PMI = log(n(e,t) N / (n(e) n(t)))
+and IC = log(N / n(e)) over N documents. Wherever it stands in a document of e, a word above ``REMOVE`` is removed and
+one above ``GENERALISE`` is replaced by its kind. An entity of one text alone is judged through its groups: beside it
+every rare word of that text would look like a disclosure.
 
 Everything runs in DataFrame functions. Patterns are written with possessive repeats, which find the same matches as
 the plain ones, so that no text makes the matcher recurse or search a run of characters again and again.
@@ -11,7 +14,7 @@ the plain ones, so that no text makes the matcher recurse or search a run of cha
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.common import stored
@@ -20,7 +23,6 @@ from lectern.llm.common import stored
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 
-CONTEXT = 120
 SUPPORT = 2
 GENERALISE = 0.7
 REMOVE = 0.9
@@ -34,6 +36,8 @@ _PATTERNS = {
 }
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What names the group of an entity, as a pattern on its normal form.
+_GROUPS = (r"^email:.*(@.*)$", r"^ip:([0-9]+[.][0-9]+)[.]", r"^card:([0-9]{6})", r"^phone:([0-9]{4})")
 _PLACED = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -97,53 +101,62 @@ def _span_list(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _near_words(text: Column, span: Column, spans: Column, context: int) -> Column:
-    """Words within ``context`` code points of a span, lower-cased, outside all spans; words cut by the edge are left out."""
-    begin = F.greatest(F.lit(0), span["start"] - context)
-    before = F.substring(text, begin + 1, span["start"] - begin)
-    before_cut = F.when(begin > 0, F.regexp_extract(before, f"^(?:{_WORD})", 0)).otherwise(F.lit(""))
-    after = F.substring(text, span["end"] + 1, F.lit(context))
-    whole = F.length(after) < context
-    after_text = F.when(whole, after).otherwise(F.regexp_replace(after, f"(?<!{_WORD[:-1]}){_WORD[:-1]}++$", ""))
-    left = placed_matches(F.substring(before, F.length(before_cut) + 1, F.length(before)), _WORD, begin + F.length(before_cut))
-    right = placed_matches(after_text, _WORD, span["end"])
-    free = F.filter(F.concat(left, right), lambda w: ~F.exists(spans, lambda s: (w["start"] < s["end"]) & (s["start"] < w["end"])))
-    return F.transform(free, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), F.lower(w["value"]).alias("term")))
-
-
-def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str, context: int, support: int, generalise: float) -> DataFrame:
-    """``row``, ``start``, ``end`` and ``share`` of the words that disclose an entity beside which they stand."""
-    near = found.filter("size(base) > 0").select("row", "text", "base", F.explode("base").alias("span")).select(
-        "row", F.xxhash64("text").alias("copy_of"), F.col("span.entity").alias("entity"), F.explode(_near_words(F.col("text"), F.col("span"), F.col("base"), context)).alias("w")
-    ).select("row", "copy_of", "entity", "w.start", "w.end", "w.term")
+def _protected(spans: Column) -> Column:
+    """The entities of the spans, their groups and kinds, each once."""
+    def of(span: Column) -> Column:
+        groups = [F.concat(F.lit(f"{kind}s "), F.regexp_extract(span["entity"], pattern, 1)) for kind, pattern in zip(KINDS, _GROUPS, strict=True)]
+        group = F.coalesce(*[F.when(span["kind"] == kind, g) for kind, g in zip(KINDS, groups, strict=True)])
+        return F.array(span["entity"], group, span["kind"])
+
+    return F.array_distinct(F.flatten(F.transform(spans, of)))
+
+
+def _free_words(held: DataFrame) -> DataFrame:
+    """``row``, ``copy_of``, ``start``, ``end``, ``term`` of every word outside the spans; places are summed over rows,
+    so a long text costs no more a word than a short one."""
+    words, gaps = F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), F.split("text", _WORD, -1)
+    each = held.select("row", F.xxhash64("text").alias("copy_of"), "base", F.posexplode(
+        F.zip_with(words, F.slice(gaps, 1, F.size(words)), lambda w, g: F.struct(w.alias("word"), F.length(g).alias("gap")))).alias("at", "w"))
+    so_far = Window.partitionBy("row").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    placed = each.select("row", "copy_of", "base", "at", "w.word", (F.col("w.gap") + F.length("w.word")).alias("step")).withColumn(
+        "end", F.sum("step").over(so_far).cast("int")).withColumn("start", F.col("end") - F.length("word"))
+    free = ~F.exists("base", lambda s: (F.col("start") < s["end"]) & (s["start"] < F.col("end")))
+    return placed.filter(free).select("row", "copy_of", "start", "end", F.lower("word").alias("term"))
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str, support: int, generalise: float) -> DataFrame:
+    """``row``, ``start``, ``end`` and ``share`` of the words that disclose an entity or group of their document."""
+    held = found.filter("size(base) > 0")
+    near = stored(_free_words(held), "free-words")
+    groups = held.select("row", F.explode(_protected(F.col("base"))).alias("group"))
     documents = found.count()
-    entities = found.select("row", F.explode(F.array_distinct(F.transform("base", lambda s: s["entity"]))).alias("entity")).groupBy(
-        "entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= support)
-    texts = near.select("row", "copy_of", "entity", "term").distinct().groupBy("entity", "term", "copy_of").agg(F.count("*").alias("n"))
-    together = texts.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("n_texts")).filter(
+    sizes = groups.groupBy("group").agg(F.count("*").alias("n_e")).filter((F.col("n_e") >= support) & (F.col("n_e") < documents))
+    beside = groups.join(sizes.select("group"), "group", "left_semi").join(near.select("row", "copy_of", "term").distinct(), "row")
+    texts = beside.groupBy("group", "term", "copy_of").agg(F.count("*").alias("n"))
+    together = texts.groupBy("group", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("n_texts")).filter(
         F.col("n_texts") >= support)
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(_WORD), F.lit(0)))
     terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     pmi = F.log(F.col("n_et") * F.lit(float(documents)) / (F.col("n_e") * F.col("n_t")))
     content = F.log(F.lit(float(documents)) / F.col("n_e"))
-    judged = together.join(entities, "entity").join(terms, "term").filter(F.col("n_e") < documents).withColumn(
-        "share", pmi / content).filter(F.col("share") >= generalise).select("entity", "term", "share")
-    return near.join(judged, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
+    judged = together.join(sizes, "group").join(terms, "term").withColumn("share", pmi / content).filter(
+        F.col("share") >= generalise).select("group", "term", "share")
+    disclosed = groups.join(judged, "group").groupBy("row", "term").agg(F.max("share").alias("share"))
+    return near.join(disclosed, ["row", "term"]).select("row", "start", "end", "share")
 
 
-def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = CONTEXT,
-                       support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
+                       generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """Per row of ``docs``: counts of each kind, ``base`` spans, ``terms`` (start, end, share) and the sanitised text.
 
-    Null and empty texts have no spans; a null text stays null. A word counts with an entity only if it stands beside
-    it in ``support`` different texts, so that copies alone show nothing; an entity of all documents is disclosed by
-    none. Repeated rows count as documents and come back repeated; ids may be null;
+    Null and empty texts have no spans; a null text stays null. A word counts with an entity or group only if it stands
+    in ``support`` different texts of it, so that copies alone show nothing; one of all documents is disclosed by none. Repeated rows count as documents and come back repeated; ids may be null;
     other columns are not read. An empty table gives an empty result.
     """
     found = stored(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("_id"), F.col(text_col).alias("text"),
         base_spans(F.coalesce(F.col(text_col), F.lit(""))).alias("base")), "personal-data")
-    terms = disclosing_terms(docs, found, text_col, context, support, generalise).groupBy("row").agg(
+    terms = disclosing_terms(docs, found, text_col, support, generalise).groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
     none = F.array().cast("array<struct<start:int,end:int,share:double>>")
     both = found.join(terms, "row", "left").withColumn("terms", F.coalesce("terms", none))
@@ -207,31 +220,26 @@ span AS (
     WHEN 'card' THEN length(d) BETWEEN 14 AND 19 AND list_sum(list_transform(range(length(d)), lambda i:
          CASE WHEN i % 2 = 0 THEN {digit} WHEN {digit} > 4 THEN 2 * {digit} - 9 ELSE 2 * {digit} END)) % 10 = 0
     ELSE length(d) BETWEEN 10 AND 15 END),
-beside AS (
-  SELECT doc_id, t, entity, kind, s, 0 AS side, greatest(0, s - {CONTEXT}) AS off,
-         substr(t, greatest(0, s - {CONTEXT}) + 1, s - greatest(0, s - {CONTEXT})) AS x FROM span
-  UNION ALL SELECT doc_id, t, entity, kind, s, 1, e, substr(t, e + 1, {CONTEXT}) FROM span),
-cut AS (
-  SELECT doc_id, t, entity, kind, s, side,
-         off + CASE WHEN side = 0 AND off > 0 THEN length(regexp_extract(x, '^{word}')) ELSE 0 END AS off,
-         CASE WHEN side = 0 AND off > 0 THEN regexp_replace(x, '^{word}', '')
-              WHEN side = 1 AND length(x) >= {CONTEXT} THEN regexp_replace(x, '{word}$', '') ELSE x END AS x
-  FROM beside),
 worded AS (
-  SELECT * EXCLUDE (ws, gs), unnest(ws) AS w, unnest(gs[1:len(ws)]) AS g, unnest(range(len(ws))) AS i
-  FROM (SELECT *, regexp_extract_all(x, '{word}') AS ws, string_split_regex(x, '{word}') AS gs FROM cut)),
+  SELECT doc_id, t, unnest(ws) AS w, unnest(gs[1:len(ws)]) AS g, unnest(range(len(ws))) AS i
+  FROM (SELECT doc_id, t, regexp_extract_all(t, '{word}') AS ws, string_split_regex(t, '{word}') AS gs FROM doc
+        WHERE doc_id IN (SELECT doc_id FROM span))),
 ended AS (
-  SELECT doc_id, t, entity, lower(w) AS term, length(w) AS n,
-         off + CAST(sum(length(g) + length(w)) OVER (PARTITION BY doc_id, kind, s, side ORDER BY i) AS BIGINT) AS e
+  SELECT doc_id, t, lower(w) AS term, length(w) AS n, CAST(sum(length(g) + length(w)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS e
   FROM worded),
 near AS (
-  SELECT doc_id, t, entity, term, e - n AS s, e FROM ended
+  SELECT doc_id, t, term, e - n AS s, e FROM ended
   WHERE NOT EXISTS (SELECT 1 FROM span WHERE span.doc_id = ended.doc_id AND ended.e - n < span.e AND span.s < ended.e)),
+protected AS (
+  SELECT DISTINCT doc_id, t, unnest([entity, kind || 's ' || CASE kind
+    WHEN 'email' THEN regexp_extract(entity, '{_GROUPS[0]}', 1) WHEN 'ip' THEN regexp_extract(entity, '{_GROUPS[1]}', 1)
+    WHEN 'card' THEN regexp_extract(entity, '{_GROUPS[2]}', 1) ELSE regexp_extract(entity, '{_GROUPS[3]}', 1) END, kind]) AS entity
+  FROM span),
 together AS (
   SELECT entity, term, sum(n) AS n_et FROM (
-    SELECT entity, term, t, count(DISTINCT doc_id) AS n FROM near GROUP BY entity, term, t)
+    SELECT entity, term, near.t AS t, count(DISTINCT near.doc_id) AS n FROM near JOIN protected USING (doc_id) GROUP BY entity, term, near.t)
   GROUP BY entity, term HAVING count(*) >= {SUPPORT}),
-entities AS (SELECT entity, count(DISTINCT doc_id) AS n_e FROM span GROUP BY entity),
+entities AS (SELECT entity, count(DISTINCT doc_id) AS n_e FROM protected GROUP BY entity HAVING count(DISTINCT doc_id) >= {SUPPORT}),
 terms AS (SELECT term, count(DISTINCT doc_id) AS n_t
           FROM (SELECT doc_id, unnest(regexp_extract_all(lower(t), '{word}')) AS term FROM doc) GROUP BY term),
 total AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM doc),
@@ -240,7 +248,7 @@ judged AS (
   WHERE n_e < n AND ln(n_et * n / (n_e * n_t)) / ln(n / n_e) >= {GENERALISE}),
 every AS (
   SELECT doc_id, kind, rank, s, e FROM span
-  UNION ALL SELECT DISTINCT doc_id, '{TERM}', {len(KINDS)}, s, e FROM near JOIN judged USING (entity, term)),
+  UNION ALL SELECT DISTINCT doc_id, '{TERM}', {len(KINDS)}, s, e FROM near JOIN protected USING (doc_id) JOIN judged USING (entity, term)),
 per_doc AS (
   SELECT doc_id, {counts},
          coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) FILTER (kind <> '{TERM}'), '') AS base,

@@ -73,6 +73,25 @@ def test_terms_that_stand_only_beside_an_entity_disclose_it(spark):
     assert "term:" in out[0]["span_list"]
 
 
+def test_a_single_entity_is_disclosed_through_its_group_anywhere_in_the_text(spark):
+    """Every address stands in one text; the name of their firm, far away from them, stands in all of its domain."""
+    far = "some words that fill the space between " * 8
+    rows = [(i, f"Zebulon Works opens. {far} write to p{i}@zeb.example, says page {i} of zebulon") for i in range(4)]
+    rows += [(10 + i, f"page {i} says: some words fill the space between, write to nobody") for i in range(60)]
+    out = {r["doc_id"]: r for r in P.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(4):
+        words = [rows[i][1][t["start"]:t["end"]] for t in out[i]["terms"]]
+        assert words.count("Zebulon") == words.count("zebulon") == 1 and "Works" in words and "write" not in words
+        assert "ebulon" not in out[i]["sanitised"]
+    assert not any(r["terms"] for i, r in out.items() if i >= 10)
+
+
+def test_terms_of_the_table(spark):
+    """The rule adds terms on the given tables, to documents with an entity only."""
+    rows = P.find_personal_data(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).select("base", "terms").collect()
+    assert sum(bool(r["terms"]) for r in rows) > 0 and not any(r["terms"] and not r["base"] for r in rows)
+
+
 def test_copies_alone_disclose_nothing(spark):
     rows = [(i, "mister zebulon writes from ann@host.org") for i in range(5)] + [(9 + i, f"other {i}") for i in range(20)]
     out = P.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
