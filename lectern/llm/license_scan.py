@@ -1,10 +1,11 @@
 """Licence scan with a positional rare-token index.
 
-The words of the licence templates are counted over all documents. Each template is indexed by the rarest word (highest
-IDF) of its key phrases with its places there: a text that holds the phrases holds that word, and no word of its own
-that stands in them is rarer. A document's licence words are looked up there; each proposes a template at a relative
-position, which stands if its key phrases stand there word for word. A key phrase with a word of no document stands
-nowhere. Besides, three base phrases are found wherever their words stand consecutively.
+The words of the licence templates are counted over all documents, which gives their IDF. A file's licence words are
+ranked by it: of each template's key phrases, the two words of highest IDF are looked up in the file (a file that holds
+the phrases holds all their words, so these are its own rarest ones of them), and their postings, shifted by the words'
+places in the template, are intersected. Each relative position on which both agree proposes the template, which stands
+if its mandatory key phrases stand there word for word. A key phrase with a word of no document stands nowhere. Besides,
+three base phrases are found wherever their words stand consecutively.
 
 Everything runs in DataFrame functions on one row at a time; only the document counts of the template words are
 shuffled. Templates and index are constants of fixed size.
@@ -17,9 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Of the DuckDB twin, whose rule wants rare words of the whole notice besides the key phrase.
-RARE_WORDS = 3
-RARE_WORDS_IN_PLACE = 2
+RARE_WORDS = 2
 
 #: Phrases and their labels.
 BASE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -30,21 +29,42 @@ TEMPLATES = (
     ("apache-2.0", "licensed under the apache license version 2 0", ("apache license version 2 0",)),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the "
             "following conditions are met", ("redistribution and use in source and binary forms",)),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                     "products derived from this software without specific prior written permission",
+     ("may be used to endorse or promote products derived from this software",)),
     ("bsl-1.0", "distributed under the boost software license version 1 0", ("boost software license",)),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution",)),
     ("cc-by-nc", "licensed under cc by nc 4 0", ("cc by nc",)),
+    ("cc-by-nd", "licensed under cc by nd 4 0", ("cc by nd",)),
     ("cc-by-sa", "licensed under cc by sa 4 0", ("cc by sa",)),
+    ("cc0-1.0", "this work is dedicated under cc0 1 0 universal", ("cc0 1 0",)),
+    ("epl", "the accompanying materials are made available under the terms of the eclipse public license", ("eclipse public license",)),
     ("gpl", "this work is licensed under the gnu general public license", ("gnu general public license",)),
+    ("gpl-2.0", "licensed under the gnu general public license version 2", ("gnu general public license version 2",)),
+    ("gpl-2.0", "licensed under the gnu gpl v2", ("gnu gpl v2",)),
+    ("gpl-3.0", "licensed under the gnu general public license version 3", ("gnu general public license version 3",)),
+    ("gpl-3.0", "licensed under the gnu gpl v3", ("gnu gpl v3",)),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
             "granted", ("permission to use copy modify and or distribute this software",)),
     ("lgpl", "licensed under the gnu lesser general public license", ("gnu lesser general public license",)),
-    ("mit", "released under the mit license", ("mit license",)),
+    ("mit", "released under the mit license", ("under the mit license",)),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
             "documentation files", ("permission is hereby granted free of charge",)),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("released into the public domain",)),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable",
+     ("in no event will the authors be held liable",)),
 )
 
+#: Identifiers that follow `SPDX-License-Identifier:`, as words, and their labels.
+IDENTIFIERS = (
+    ("agpl 3 0", "agpl"), ("apache 2 0", "apache-2.0"), ("bsd 2 clause", "bsd"), ("bsd 3 clause", "bsd-3-clause"), ("bsl 1 0", "bsl-1.0"),
+    ("cc by 4 0", "cc-by"), ("cc by nc 4 0", "cc-by-nc"), ("cc by sa 4 0", "cc-by-sa"), ("cc0 1 0", "cc0-1.0"), ("epl 2 0", "epl"),
+    ("gpl 2 0", "gpl-2.0"), ("gpl 3 0", "gpl-3.0"), ("isc", "isc"), ("lgpl 2 1", "lgpl"), ("lgpl 3 0", "lgpl"), ("mit", "mit"),
+    ("mpl 2 0", "mpl-2.0"), ("unlicense", "unlicense"), ("zlib", "zlib"),
+)
+NOTICES = TEMPLATES + tuple((label, f"spdx license identifier {words}", (f"spdx license identifier {words}",)) for words, label in IDENTIFIERS)
+
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -53,11 +73,11 @@ class Template:
     label: str
     words: list[str]
     phrases: list[int]  # places that must match
-    anchor: dict[str, list[int]]  # rarest word of the phrases -> its places there; empty if a word stands in no document
+    anchors: list[tuple[str, int]]  # rarest words of the phrases and a place of each; none if a word stands in no document
 
 
 def vocabulary() -> list[str]:
-    return sorted({w for _, words, _ in TEMPLATES for w in words.split()})
+    return sorted({w for _, words, _ in NOTICES for w in words.split()})
 
 
 def words_column(text: Column) -> Column:
@@ -76,19 +96,19 @@ def document_counts(words: DataFrame) -> dict[str, int]:
 
 
 def rare_word_index(counts: dict[str, int]) -> list[Template]:
-    """Templates with the word of highest IDF (fewest documents, then alphabetical) of their key phrases."""
+    """Templates with the words of highest IDF (fewest documents, then alphabetical) of their key phrases."""
     found = []
-    for label, text, phrases in TEMPLATES:
+    for label, text, phrases in NOTICES:
         words = text.split()
         places = set()
         for phrase in phrases:
             part = phrase.split()
             at = next(i for i in range(len(words)) if words[i:i + len(part)] == part)
             places.update(range(at, at + len(part)))
-        key_words = {words[i] for i in places}
-        rarest = min(key_words, key=lambda w: (counts.get(w, 0), w))
-        anchor = {rarest: [i for i in sorted(places) if words[i] == rarest]} if counts.get(rarest, 0) else {}
-        found.append(Template(label, words, sorted(places), anchor))
+        key_words = {words[i]: i for i in sorted(places, reverse=True)}
+        rarest = sorted(key_words, key=lambda w: (counts.get(w, 0), w))[:RARE_WORDS]
+        held = all(counts.get(w, 0) for w in key_words)
+        found.append(Template(label, words, sorted(places), [(w, key_words[w]) for w in rarest] if held else []))
     return found
 
 
@@ -109,13 +129,14 @@ def _base_places(words: Column) -> Column:
 
 def _template_places(words: Column, hits: Column, t: Template) -> Column:
     """(place, label, share) of a template's stands that pass; ``hits`` has the document's anchors (place, word)."""
-    # The first place is enough: a stand has the anchor in each of its places.
-    postings = [(w, places[0]) for w, places in t.anchor.items()]
-
     def starts(word: str, place: int) -> Column:
         return F.transform(F.filter(hits, lambda h: h["word"] == word), lambda h: h["place"] - place)
 
-    proposed = F.flatten(F.array(*[starts(w, p) for w, p in postings]))
+    # The first place of a word is enough: a stand has it in each of its places.
+    (word, first), *others = t.anchors
+    proposed = starts(word, first)
+    for other, at in others:
+        proposed = F.array_intersect(proposed, starts(other, at))
 
     def in_place(off: Column, place: int) -> Column:
         return F.get(words, off + place).eqNullSafe(F.lit(t.words[place]))
@@ -143,8 +164,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     be null; other columns are not read.
     """
     words = docs.select(F.col(id_col).alias("_id"), words_column(F.col(text_col)).alias("words"))
-    index = [t for t in rare_word_index(document_counts(words.select("words"))) if t.anchor]
-    anchors = F.array(*[F.lit(w) for w in sorted({w for t in index for w in t.anchor})]).cast("array<string>")
+    index = [t for t in rare_word_index(document_counts(words.select("words"))) if t.anchors]
+    anchors = F.array(*[F.lit(w) for w in sorted({w for t in index for w, _ in t.anchors})]).cast("array<string>")
     starts = F.array(*[F.lit(phrase.split()[-1]) for phrase, _ in BASE_PHRASES])
     place = "array<struct<place:int,label:string>>"
     hit = F.filter(
@@ -174,10 +195,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def duckdb_twin() -> str:
     """The same scan as SQL over ``documents``."""
     rows, phrases = [], []
-    for n, (label, text, keys) in enumerate(TEMPLATES):
-        words = text.split()
-        t = rare_word_index({})[n]
-        rows.append(f"({n}, '{label}', {words!r}, {t.phrases!r}::BIGINT[])")
+    for n, t in enumerate(rare_word_index({})):
+        rows.append(f"({n}, '{t.label}', {t.words!r}, {t.phrases!r}::BIGINT[])")
     for phrase, label in BASE_PHRASES:
         words = phrase.split()
         same = " AND ".join(f"ws[p + {i + 1}] = '{w}'" for i, w in enumerate(words))
@@ -189,13 +208,8 @@ doc AS (
                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 word AS (SELECT doc_id, ws, unnest(range(0, len(ws))) AS p FROM doc),
 place AS (SELECT t, unnest(tw) AS w, unnest(range(0, len(tw))) AS k FROM template),
-seen AS (SELECT ws[p + 1] AS w, count(DISTINCT doc_id) AS n FROM word WHERE ws[p + 1] IN (SELECT w FROM place) GROUP BY 1),
-ranked AS (
-  SELECT t, w, row_number() OVER (PARTITION BY t ORDER BY coalesce(n, 0), w) AS r
-  FROM (SELECT DISTINCT t, w FROM place) LEFT JOIN seen USING (w)),
-rare AS (SELECT t, w, k FROM ranked JOIN place USING (t, w) WHERE r <= {RARE_WORDS}),
 proposed AS (
-  SELECT DISTINCT doc_id, ws, t, p - k AS off FROM word JOIN rare ON ws[p + 1] = rare.w),
+  SELECT doc_id, ws, t, p - need[1] AS off FROM word JOIN template ON ws[p + 1] = tw[need[1] + 1]),
 checked AS (
   SELECT doc_id, t, off, k, place.w, off + k >= 0 AND coalesce(ws[CASE WHEN off + k >= 0 THEN off + k + 1 END] = place.w, false) AS same
   FROM proposed JOIN place USING (t)),
@@ -203,8 +217,7 @@ stand AS (
   SELECT doc_id, label, avg(CAST(same AS INT)) AS share
   FROM checked JOIN template USING (t)
   GROUP BY doc_id, t, off, label, need
-  HAVING bool_and(same OR NOT list_contains(need, k))
-     AND count(DISTINCT CASE WHEN same AND (t, checked.w) IN (SELECT (t, w) FROM rare) THEN checked.w END) >= {RARE_WORDS_IN_PLACE}),
+  HAVING bool_and(same OR NOT list_contains(need, k))),
 base AS ({' UNION ALL '.join(phrases)}),
 based AS (SELECT doc_id, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word,
                  array_to_string(list_sort(list_distinct(list(label))), ',') AS base_labels FROM base GROUP BY doc_id),

@@ -58,3 +58,21 @@ def test_a_whole_key_phrase_is_enough(spark):
     assert [rows[i]["labels"] for i in range(len(texts))] == ["mpl-2.0", "bsd", "cc-by", "bsl-1.0", "isc", "", ""]
     assert [len(r["stands"]) for _, r in sorted(rows.items())] == [1, 1, 1, 1, 1, 0, 0] and 0 < rows[0]["score"] < 1
     assert {r["labels"] for r in S.scan(docs.filter("doc_id = 6")).collect()} == {""}
+
+
+def test_notices_and_identifiers(spark):
+    texts = {"this is the mit license joke": "", "SPDX-License-Identifier: Apache-2.0": "apache-2.0", "// SPDX-License-Identifier: GPL-3.0-or-later": "gpl-3.0",
+             "under the GNU GPL v3": "gpl-3.0", "CC0 1.0 Universal": "cc0-1.0", "made available under the Eclipse Public License v2.0": "epl",
+             "Neither the name of the Foo nor its members may be used to endorse or promote products derived from this software.": "bsd-3-clause",
+             "GNU General Public License, version 2": "gpl,gpl-2.0", "spdx license": "", "SPDX-License-Identifier: MIT": "mit",
+             "in no event will the authors be held liable": "zlib", "identifier mit license spdx": ""}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in S.scan(docs).collect()} == dict(enumerate(texts.values()))
+
+
+def test_index_takes_the_two_rarest_words_of_the_key_phrases():
+    words = S.vocabulary()
+    index = S.rare_word_index({w: 5 + 90 * (w in ("the", "license")) + (w == "mozilla") for w in words})
+    mpl = next(t for t in index if t.label == "mpl-2.0" and "mozilla" in t.words)
+    assert mpl.anchors == [("public", mpl.words.index("public")), ("mozilla", mpl.words.index("mozilla"))]
+    assert next(t for t in S.rare_word_index({w: 1 for w in words if w != "mozilla"}) if "mozilla" in t.words).anchors == []
