@@ -134,14 +134,17 @@ def group_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``id_col``, ``fp`` and ``component_id`` (smallest id reachable by links, itself included) of every row.
 
     Null and empty texts have fingerprint zero and link like any other. Equal fingerprints form one class, so
-    copies cost one row each. A null id stands in no group (null component); repeated ids come back repeated.
-    Other columns are not read. An empty table gives an empty result.
+    copies cost one row each. A null id stands in no group (null component); repeated ids come back repeated. Ids are of
+    any type that can be ordered. Other columns are not read. An empty table gives an empty result.
     """
     marks = stored(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
-    classes = stored(marks.filter(F.col(id_col).isNotNull()).groupBy("fp").agg(F.min(id_col).alias("node")), "classes")
+    # Fingerprints are the nodes, so ids may be of any type that can be ordered.
+    classes = stored(marks.filter(F.col(id_col).isNotNull()).groupBy("fp").agg(F.min(id_col).alias("first")).select(
+        "fp", F.col("fp").alias("node"), "first"), "classes")
     merged = components(fingerprint_links(classes, max_distance), "simhash")
-    named = classes.join(merged, "node", "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("component", "node").alias("_component"))
+    grouped = classes.join(merged, "node", "left").select("fp", "first", F.coalesce("component", "node").alias("group"))
+    smallest = grouped.groupBy("group").agg(F.min("first").alias("_component"))
+    named = grouped.join(smallest, "group").select(F.col("fp").alias("_fp"), "_component")
     return marks.join(named, marks["fp"] == named["_fp"], "left").select(
         id_col, "fp", F.when(F.col(id_col).isNotNull(), F.col("_component")).alias("component_id"))
 

@@ -72,3 +72,11 @@ def test_odd_rows(odd_documents, no_documents):
 def test_distance_is_bounded(spark):
     with pytest.raises(ValueError):
         S.fingerprint_links(spark.createDataFrame([], "node long, fp long"), 3)
+
+
+def test_ids_of_any_type(spark):
+    texts = ["one two three four five six seven", "one two three four five six seven", "quite another text that shares nothing", None, ""]
+    docs = spark.createDataFrame([(f"id-{9 - i}", t) for i, t in enumerate(texts)], "doc_id string, text string")
+    got = {r["doc_id"]: r["component_id"] for r in S.group_documents(docs).collect()}
+    assert got == {"id-9": "id-8", "id-8": "id-8", "id-7": "id-7", "id-6": "id-5", "id-5": "id-5"}
+    assert {r["doc_id"] for r in S.keep_one_per_group(docs).collect()} == {"id-8", "id-7", "id-5"}
