@@ -105,6 +105,7 @@ class Encoder:
                 at += 1
             slots[at] = key << _ID_BITS | rank
         self.slots = np.array(slots, np.int64)
+        self.pair_ranks: dict[int, int] | None = None
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Place of the merge of each pair of symbols; ``_NEVER`` if there is none."""
@@ -180,33 +181,48 @@ class Encoder:
             grid[go, prev] = self.ranks(sym[base + prev], new)
         symbols[(starts[:, None] + inner)[inside]] = sym.reshape(-1, step)[inside]
 
+    def _pairs(self) -> dict[int, int]:
+        """Rank of each pair that has one, for the agendas that go one merge at a time."""
+        if self.pair_ranks is None:
+            held = self.slots[self.slots != 0]
+            self.pair_ranks = dict(zip((held >> _ID_BITS).tolist(), (held & _ID_MASK).tolist(), strict=True))
+        return self.pair_ranks
+
     def _alone(self, symbols: np.ndarray, start: int, size: int, key: int) -> None:
-        """The agenda of one run as a heap."""
-        sym = symbols[start:start + size].tolist()
+        """The agenda of one run as a heap of (rank, place, end of the left piece, end of the right piece)."""
+        whole = symbols[start:start + size]
+        first = self.ranks(whole[:-1], whole[1:])
+        heap = [(int(first[i]), int(i), int(i) + 1, int(i) + 2) for i in np.flatnonzero(first != _NEVER)]
+        heapq.heapify(heap)
+        sym, merged = whole.tolist(), self.merged_id.tolist()
         after, before, ends = list(range(1, size + 1)), list(range(-1, size - 1)), list(range(1, size + 1))
-        heap: list[tuple[int, int, int, int]] = []
-
-        def offer(left: list[int]) -> None:
-            left = [i for i in left if i >= 0 and after[i] < size]
-            found = self.ranks(np.array([sym[i] for i in left], np.int64), np.array([sym[after[i]] for i in left], np.int64))
-            for i, rank in zip(left, found.tolist(), strict=True):
-                if rank != _NEVER:
-                    heapq.heappush(heap, (rank, i, ends[i], ends[after[i]]))
-
-        offer(list(range(size)))
+        rank_of, gone, push, pop = self._pairs().get, int(_GONE), heapq.heappush, heapq.heappop
         while heap:
-            rank, i, middle, end = heapq.heappop(heap)
-            if sym[i] == _GONE or ends[i] != middle or after[i] >= size or ends[after[i]] != end:
+            rank, i, middle, end = pop(heap)
+            if sym[i] == gone or ends[i] != middle:
+                continue
+            j = after[i]
+            if j >= size or ends[j] != end:
                 continue
             if self.limit:
-                draw = self._draws(np.array([key], np.uint64), *(np.array([x]) for x in (i, middle, end)))
-                if draw[0] < self.limit:
+                x = key ^ ((i + (middle << 20) + (end << 40)) * _PLACES[0] & _MASK)
+                x = (x ^ x >> 29) * _PLACES[1] & _MASK
+                if (x ^ x >> 32) & 0xFFFFFFFF < self.limit:
                     continue
-            j = after[i]
-            sym[i], sym[j], ends[i], after[i] = int(self.merged_id[rank]), int(_GONE), end, after[j]
-            if after[j] < size:
-                before[after[j]] = i
-            offer([before[i], i])
+            k = after[j]
+            new = sym[i] = merged[rank]
+            sym[j], ends[i], after[i] = gone, end, k
+            if k < size:
+                before[k] = i
+                if sym[k] >= 0:
+                    found = rank_of(new << _ID_BITS | sym[k])
+                    if found is not None:
+                        push(heap, (found, i, end, ends[k]))
+            h = before[i]
+            if h >= 0 and sym[h] >= 0:
+                found = rank_of(sym[h] << _ID_BITS | new)
+                if found is not None:
+                    push(heap, (found, h, ends[h], end))
         symbols[start:start + size] = sym
 
     def encode(self, texts: list[str], documents: list[str]) -> list[bytes]:

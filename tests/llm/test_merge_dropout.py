@@ -1,3 +1,6 @@
+import random
+import time
+
 import numpy as np
 import pytest
 import sentencepiece
@@ -66,3 +69,20 @@ def test_each_occurrence_of_a_word_draws_for_itself(model):
     assert len(words) == 2000 and len(set(words)) > M.STREAMS
     assert len(set(encoder.encode(["extraordinary"] * 2000, [str(d) for d in range(2000)]))) > M.STREAMS
     assert encoder.encode(["", "extraordinary", ""], ["a", "1", "b"])[1] == encoder.encode(["extraordinary"], ["1"])[0]
+
+
+def test_long_runs_follow_the_same_agenda(monkeypatch):
+    """One merge at a time gives what the arrays give, with dropout too; a long run takes time as it grows."""
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choice("abcdeéß日1 ") for _ in range(rng.randrange(1, 60))) for _ in range(5)) for _ in range(100)]
+    names = [str(i) for i in range(100)]
+    model = M.load_model()
+    arrays = M.Encoder(model).encode(texts, names)
+    monkeypatch.setattr(M, "WIDTHS", (2,))
+    monkeypatch.setattr(M, "LONG_RUN", 2)
+    alone = M.Encoder(model)
+    assert alone.encode(texts, names) == arrays
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/") for _ in range(100_000))
+    started = time.process_time()
+    assert alone.decode(alone.encode([long], ["x"])[0]).decode() == long
+    assert time.process_time() - started < 6
