@@ -6,7 +6,8 @@ Fingerprints of the documents are looked up among those of the benchmark, and ev
 directions; only runs of ``span`` equal words (or of a whole shorter item) count, so chance hash hits do not.
 
 The benchmark's side is cut into blocks of at most ``block_words`` words. Each block is sent to all tasks, so what is
-broadcast has a fixed bound; a benchmark of one block needs no shuffle at all, a larger one a pass per block.
+broadcast has a fixed bound (an item longer than a block makes it that long); a benchmark of one
+block needs no shuffle at all, a larger one a pass per block, each read, used and written before the next one is read.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import LOWER, WORD_BYTE, WORD_PATTERN, mixed, span_hashes, text_chunks, word_bounds
+from lectern.llm.common import LOWER, WORD_BYTE, WORD_PATTERN, mixed, span_hashes, stored, text_chunks, word_bounds
 
 SPAN = 10
 GRAM = 5
@@ -189,16 +190,16 @@ def _merged_length(ranges: Column) -> Column:
     return F.when(F.size(ranges) > 0, total["n"]).otherwise(F.lit(0).cast("long"))
 
 
-def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, span: int, block_words: int) -> list[Block]:
-    """The benchmark in blocks of about ``block_words`` words; one block if it fits."""
+def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, span: int, block_words: int) -> tuple[int, Iterator[Block]]:
+    """How many blocks of about ``block_words`` words the benchmark makes (one if it fits), and each when it is asked for."""
     items = benchmark.select(F.col(id_col).cast("string").alias("id"), F.coalesce(
         F.col(text_col), F.lit("")).cast("binary").alias("text")).filter("id IS NOT NULL")
     sized = items.withColumn("n", F.octet_length("text") / 4 + 1)
     total = sized.agg(F.sum("n")).first()[0] or 0
     count = max(1, -(-int(total) // block_words))
     dealt = items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(count)))
-    return [Block.of([(r["id"], bytes(r["text"])) for r in dealt.filter(F.col("block") == b).select("id", "text").collect()], span)
-            for b in range(count)]
+    return count, (Block.of([(r["id"], bytes(r["text"])) for r in dealt.filter(F.col("block") == b).select("id", "text").collect()], span)
+                   for b in range(count))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -212,13 +213,16 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     """
     key_type = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("_key"), F.xxhash64(text_col).alias("_twin"), F.col(text_col).alias("_text"))
-    blocks = benchmark_blocks(benchmark, item_col, item_text_col, span, block_words)
-    passes = [_scan(slim, block, key_type) for block in blocks]
-    found = passes[0]
-    if len(passes) > 1:
-        parts = found.withColumn("_row", F.lit(1))
-        for more in passes[1:]:
-            parts = parts.unionAll(more.filter("size(items) > 0").withColumn("_row", F.lit(0)))
+    count, blocks = benchmark_blocks(benchmark, item_col, item_text_col, span, block_words)
+    if count == 1:
+        found = _scan(slim, next(blocks), key_type)
+    else:
+        parts = None
+        for block in blocks:
+            # The first pass has a row for every text, the others for those with hits.
+            part = _scan(slim, block, key_type).withColumn("_row", F.lit(int(parts is None)))
+            part = stored(part if parts is None else part.filter("size(items) > 0"), "benchmark-pass")
+            parts = part if parts is None else parts.unionAll(part)
         found = parts.groupBy("_key", "_twin").agg(
             F.max("n_words").alias("n_words"), F.flatten(F.collect_list("ranges")).alias("ranges"),
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),

@@ -1,3 +1,6 @@
+import math
+import re
+
 import numpy as np
 
 from lectern.llm import attention_quality as A
@@ -54,3 +57,41 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert {r["score"] for r in A.score_documents(odd_documents, unlabelled).collect()} == {0.5}
     kept = A.keep_good(odd_documents, labels.limit(0))
     assert kept.columns == odd_documents.columns and kept.count() == odd_documents.count()
+
+
+def plain_score(text, w, size=A.PASSAGE_WORDS):
+    """The score of one text, a passage and a number at a time."""
+    raw = (text or "").encode()
+    words = [(m.start(), m.end()) for m in re.finditer(rb"[^\x09-\x0D\x20]+", raw)]
+    groups = [words[i:i + size] for i in range(0, len(words), size)] or [[]]
+    heads = [0] + [g[0][0] for g in groups[1:]] + [len(raw)]
+    encoded, logits = [], []
+    for group, begin, end in zip(groups, heads, heads[1:]):
+        part = raw[begin:end]
+        kinds = [0] * A._KINDS
+        for byte in part:
+            named = [i for i, kind in enumerate(A.CHARACTER_KINDS) if chr(byte) in kind] if byte < 128 else [len(A.CHARACTER_KINDS) + 1]
+            kinds[named[0] if named else len(A.CHARACTER_KINDS)] += 1
+        spelled = [raw[a:b].lower() for a, b in group]
+        n = max(1, len(group))
+        x = [math.sqrt(k / max(1, len(part))) for k in kinds] + [
+            math.log1p(len(group)), sum(b - a for a, b in group) / n / 8, math.sqrt(sum((b - a) ** 2 for a, b in group) / n) / 8,
+            sum(p == q for p, q in zip(spelled, spelled[1:])) / n, len(set(spelled)) / n, sum(b - a <= 3 for a, b in group) / n]
+        x = [(v - m) / s for v, m, s in zip(x, w["mean"], w["scale"])]
+        h = [math.tanh(sum(v * w["encode"][i][j] for i, v in enumerate(x)) + w["encode0"][j]) for j in range(A.ENCODED)]
+        gated = [math.tanh(sum(v * w["tanh"][i][j] for i, v in enumerate(h))) / (1 + math.exp(-sum(v * w["gate"][i][j] for i, v in enumerate(h))))
+                 for j in range(A.GATES)]
+        encoded.append(h)
+        logits.append(math.exp(sum(v * u for v, u in zip(gated, w["attend"]))))
+    pooled = [sum(a * h[j] for a, h in zip(logits, encoded)) / sum(logits) for j in range(A.ENCODED)]
+    return 1 / (1 + math.exp(-max(-30, min(30, sum(v * u for v, u in zip(pooled, w["out"])) + float(w["out0"])))))
+
+
+def test_scores_equal_a_plain_scorer(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    model = A.fit_model(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = A.score_documents(docs, model).collect()
+    short = [r for r in rows if len(texts[r["doc_id"]] or "") < 6000][:80]
+    assert len(short) == 80 and all(abs(r["score"] - plain_score(texts[r["doc_id"]], model.w)) < 1e-4 for r in short)
