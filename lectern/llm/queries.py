@@ -107,7 +107,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_line_dedup")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     return docs.select("doc_id", F.coalesce(lines, F.lit(0)).cast("long").alias("n_lines")).join(
         line_dedup.removed_by_document(docs), "doc_id", "left").select(
         "doc_id", "n_lines", F.coalesce("n_compared", F.lit(0)).cast("long").alias("n_compared"),
