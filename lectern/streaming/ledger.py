@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.session import folder_names, stage
 
-BUCKETS = 64
+BUCKETS = 32
 BITS_PER_ID = 24
 _PROBES = 12
 
