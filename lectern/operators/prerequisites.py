@@ -6,6 +6,9 @@ with the lengths added up, so the graph never grows. That covers topics without
 trees, and lattices such as ladders. In each step all such topics go that have no such neighbour of smaller draw, a
 constant share of them, so a path of n topics takes about log n steps and not n. What is left when the graph is small
 is solved in one task. Then each step's topics get their values from their neighbours at that time.
+
+Every step joins, so a side that is small enough for a broadcast in each of them would add up on the driver; the joins
+of the graph are merge joins, and rows without a neighbour take no part in them.
 """
 
 from __future__ import annotations
@@ -59,23 +62,26 @@ class _Elimination:
             ((F.col("into") > 0) & (F.col("out") > 0)).alias("inner"), F.xxhash64("node", F.lit(self.step)).alias("draw"), F.col("node").alias("tie")).alias("rank"))
         a, b = (draws.select(F.col("node").alias(f"node_{s}"), F.col("rank").alias(f"rank_{s}")) for s in "ab")
         later = F.when(F.col("rank_a") < F.col("rank_b"), F.col("node_b")).otherwise(F.col("node_a"))
-        stay = proper.filter("link = 1").join(a, F.col("before") == F.col("node_a")).join(b, F.col("after") == F.col("node_b")).select(
-            later.alias("node")).distinct()
-        return draws.select("node").join(stay, "node", "left_anti")
+        stay = proper.filter("link = 1").join(_merged(a), F.col("before") == F.col("node_a")).join(
+            _merged(b), F.col("after") == F.col("node_b")).select(later.alias("node")).distinct()
+        return draws.select("node").join(_merged(stay), "node", "left_anti")
 
     def run(self) -> None:
         while self.n_links > self.local_links:
             chosen = stage(self._chosen(), "chosen-topics")
             first, last = (chosen.select(F.col("node").alias(f"_{s}")) for s in ("first", "last"))
-            flagged = self.links.join(first, F.col("before") == F.col("_first"), "left").join(last, F.col("after") == F.col("_last"), "left").select(
-                "before", "after", "weight", F.col("_first").isNotNull().alias("first_goes"), F.col("_last").isNotNull().alias("last_goes"))
+            firsts = self.links.filter("before IS NOT NULL").join(_merged(first), F.col("before") == F.col("_first"), "left").select(
+                "before", "after", "weight", F.col("_first").isNotNull().alias("first_goes")).unionByName(
+                self.links.filter("before IS NULL").withColumn("first_goes", F.lit(False)))
+            flagged = firsts.join(_merged(last), F.col("after") == F.col("_last"), "left").select(
+                "before", "after", "weight", "first_goes", F.col("_last").isNotNull().alias("last_goes"))
             marked, going = self._written(flagged, "marked", "first_goes OR last_goes")
             if not going:
                 break
             self.step += 1
             into = marked.filter("last_goes").select(F.col("before").alias("u"), F.col("after").alias("v"), F.col("weight").alias("w"))
             out = marked.filter("first_goes").select(F.col("before").alias("v"), F.col("after").alias("x"), F.col("weight").alias("y"))
-            joined = into.join(out, "v").select(F.col("u").alias("before"), F.col("x").alias("after"), (F.col("w") + F.col("y")).alias("weight"))
+            joined = into.join(_merged(out), "v").select(F.col("u").alias("before"), F.col("x").alias("after"), (F.col("w") + F.col("y")).alias("weight"))
             stay = marked.filter("NOT first_goes AND NOT last_goes").select("before", "after", "weight")
             self.links, self.n_links = self._written(
                 stay.unionByName(joined).groupBy("before", "after").agg(F.max("weight").alias("weight")), "links")
@@ -97,8 +103,11 @@ class _Elimination:
             known = self.spark.read.schema(shape).option("recursiveFileLookup", "true").parquet(f"{self.root}/values").withColumnRenamed("node", "other")
             sides = marked.filter("last_goes").selectExpr("after AS node", "before AS other", "weight").unionByName(
                 marked.filter("first_goes").selectExpr("before AS node", "after AS other", "CAST(NULL AS int) AS weight"))
-            back = sides.join(known, "other", "left").groupBy("node").agg(
-                F.max(F.col("weight") + F.when(F.col("other").isNull(), F.lit(0)).otherwise(F.col("level"))).cast("int").alias("level"),
+            least = sides.filter("other IS NULL").select(
+                "node", "weight", F.lit(0).alias("level"), F.lit(None).cast("boolean").alias("held"), F.lit(None).cast("boolean").alias("holds"))
+            beside = sides.filter("other IS NOT NULL").join(_merged(known), "other", "left").select("node", "weight", "level", "held", "holds")
+            back = beside.unionByName(least).groupBy("node").agg(
+                F.max(F.col("weight") + F.col("level")).cast("int").alias("level"),
                 F.coalesce(F.bool_or(F.col("held") & F.col("weight").isNotNull()), F.lit(False)).alias("held"),
                 F.coalesce(F.bool_or(F.col("holds") & F.col("weight").isNull()), F.lit(False)).alias("holds"))
             self._written(back.withColumn("level", F.when(~F.col("held"), F.col("level"))), "values")
@@ -139,6 +148,11 @@ def _solved_locally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             "held": [n not in levels for n in nodes], "holds": [n not in ends for n in nodes]})
 
 
+def _merged(side: DataFrame) -> DataFrame:
+    """``side`` of a join that sends nothing to the driver."""
+    return side.hint("merge")
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("before").alias("topic")).unionByName(pairs.select(F.col("after").alias("topic"))).distinct()
 
@@ -161,5 +175,5 @@ def prerequisite_levels(edges: DataFrame, topics: DataFrame | None = None, local
     alone = named.select("topic")
     if topics is not None:
         alone = alone.unionByName(topics.select("topic").filter("topic IS NOT NULL"))
-    rest = alone.distinct().join(_ends(pairs), "topic", "left_anti").select("topic", F.lit(0).alias("level"), F.lit("ordered").alias("status"))
+    rest = alone.distinct().join(_merged(_ends(pairs)), "topic", "left_anti").select("topic", F.lit(0).alias("level"), F.lit("ordered").alias("status"))
     return result.unionByName(rest)

@@ -463,7 +463,7 @@ def prerequisite_chain(t):
     chains = linked.unionByName(customers).withColumn("chain", F.col("topic") >= 1_000_000_000)
     placed = positions(chains, ["chain"], ["topic"])
     before = placed.select(F.col("chain").alias("_chain"), (F.col("pos") + 1).alias("_next"), F.col("topic").alias("prerequisite"))
-    links = placed.join(before, (F.col("chain") == F.col("_chain")) & (F.col("pos") == F.col("_next")), "left")
+    links = placed.join(before.hint("merge"), (F.col("chain") == F.col("_chain")) & (F.col("pos") == F.col("_next")), "left")
     return prerequisite_levels(links.select("prerequisite", "topic"), suppliers)
 
 
@@ -473,4 +473,4 @@ def prerequisite_ladder(t):
     """Every pair of parts, by key, needs both parts of the pair before: as many levels as half the parts."""
     parts = t.part.select("p_partkey", (F.col("p_partkey") - t.part.agg(F.min("p_partkey")).scalar()).alias("n"))
     up = parts.select(F.col("p_partkey").alias("prerequisite"), F.explode(F.array(F.col("n") + 2, F.col("n") + 3 - 2 * (F.col("n") % 2))).alias("to"))
-    return prerequisite_levels(up.join(parts, F.col("to") == F.col("n")).select("prerequisite", F.col("p_partkey").alias("topic")))
+    return prerequisite_levels(up.join(parts.hint("merge"), F.col("to") == F.col("n")).select("prerequisite", F.col("p_partkey").alias("topic")))

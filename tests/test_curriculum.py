@@ -290,6 +290,25 @@ def check_long_runs(levels):
     assert got[203] == got[204] == (None, "blocked")
 
 
+def test_prerequisite_steps_send_nothing_to_the_driver(spark, monkeypatch):
+    """A broadcast in every join of every step would add up on the driver."""
+    from lectern.operators import prerequisites as P
+
+    plans, written = [], P._Elimination._written
+
+    def seen(self, df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(self, df, *rest)
+
+    monkeypatch.setattr(P._Elimination, "_written", seen)
+    monkeypatch.setattr(P, "stage", lambda df, label, stage=P.stage: (plans.append(df._jdf.queryExecution().executedPlan().toString()), stage(df, label))[1])
+    chain = spark.range(1, 60).selectExpr("id - 1 AS prerequisite", "id AS topic")
+    out = prerequisite_levels(chain, local_links=0)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert [(i, i, "ordered") for i in range(60)] == sorted(tuples(out))
+    assert sum("Join" in p for p in plans) > 10 and not any("Broadcast" in p for p in plans)
+
+
 def test_last_answer_counts_once(spark):
     key = spark.createDataFrame([("q", 1, "A"), ("q", 2, "B")], "quiz string, question int, answer string")
     given = spark.createDataFrame([("q", 1, "C", 1), ("q", 1, "A", 2), ("q", 2, "B", 3), ("q", 2, "D", 4)],
