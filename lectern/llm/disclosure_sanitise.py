@@ -40,6 +40,7 @@ _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: What names the group of an entity, as a pattern on its normal form.
 _GROUPS = (r"^email:.*(@.*)$", r"^ip:([0-9]+[.][0-9]+)[.]", r"^card:([0-9]{6})", r"^phone:([0-9]{4})")
 _PLACED = "array<struct<start:int,end:int,value:string>>"
+_SPANS = "array<struct<start:int,rank:int,end:int,kind:string,entity:string>>"
 
 
 def placed_matches(text: Column, pattern: str, offset: Column | int = 0) -> Column:
@@ -92,7 +93,7 @@ def base_spans(text: Column) -> Column:
             m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind"),
             F.concat(F.lit(f"{kind}:"), name(m["value"])).alias("entity")))
 
-    none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,entity:string>>")
+    none = F.array().cast(_SPANS)
     address = F.when(text.contains("@"), spans("email")).otherwise(none)
     numbers = F.when(text.rlike(r"[0-9][\x20().0-9-]+[0-9]"), F.concat(spans("ip"), spans("card"), spans("phone"))).otherwise(none)
     return F.array_sort(F.concat(address, numbers))
@@ -113,37 +114,54 @@ def _protected(spans: Column) -> Column:
 
 
 def _free_words(held: DataFrame) -> DataFrame:
-    """``row``, ``copy_of``, ``start``, ``end``, ``term`` of every word outside the spans; places are summed over rows,
-    so a long text costs no more a word than a short one."""
+    """``row``, ``term``, ``places`` (start, end) of the words outside the spans; places are summed over rows, so a long
+    text costs no more a word than a short one."""
     words, gaps = F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), F.split("text", _WORD, -1)
-    each = held.select("row", F.xxhash64("text").alias("copy_of"), "base", F.posexplode(
+    each = held.select("row", "base", F.posexplode(
         F.zip_with(words, F.slice(gaps, 1, F.size(words)), lambda w, g: F.struct(w.alias("word"), F.length(g).alias("gap")))).alias("at", "w"))
     so_far = Window.partitionBy("row").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    placed = each.select("row", "copy_of", "base", "at", "w.word", (F.col("w.gap") + F.length("w.word")).alias("step")).withColumn(
+    placed = each.select("row", "base", "at", "w.word", (F.col("w.gap") + F.length("w.word")).alias("step")).withColumn(
         "end", F.sum("step").over(so_far).cast("int")).withColumn("start", F.col("end") - F.length("word"))
     free = ~F.exists("base", lambda s: (F.col("start") < s["end"]) & (s["start"] < F.col("end")))
-    return placed.filter(free).select("row", "copy_of", "start", "end", F.lower("word").alias("term"))
+    # Rows of a document are together already, so this shuffles nothing more.
+    return placed.filter(free).groupBy("row", F.lower("word").alias("term")).agg(F.collect_list(F.struct("start", "end")).alias("places"))
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str, support: int, generalise: float) -> DataFrame:
-    """``row``, ``start``, ``end`` and ``share`` of the words that disclose an entity or group of their document."""
-    held = found.filter("size(base) > 0")
+def disclosing_terms(docs: DataFrame, held: DataFrame, text_col: str, support: int, generalise: float) -> DataFrame:
+    """``row``, ``start``, ``end`` and ``share`` of the words that disclose an entity or group of their document.
+
+    ``held`` are the documents with an entity. A word stands beside an entity at most as often as there is the entity,
+    so its share is at most log(N / n(t)) / IC(e). Only words that may reach ``generalise`` by that, and stand in
+    ``support`` documents with an entity, meet the entities of their documents.
+    """
     near = stored(_free_words(held), "free-words")
-    groups = held.select("row", F.explode(_protected(F.col("base"))).alias("group"))
-    documents = found.count()
+    groups = held.select("row", F.xxhash64("text").alias("copy_of"), F.explode(_protected(F.col("base"))).alias("group"))
+    documents = docs.count()
     sizes = groups.groupBy("group").agg(F.count("*").alias("n_e")).filter((F.col("n_e") >= support) & (F.col("n_e") < documents))
-    beside = groups.join(sizes.select("group"), "group", "left_semi").join(near.select("row", "copy_of", "term").distinct(), "row")
-    texts = beside.groupBy("group", "term", "copy_of").agg(F.count("*").alias("n"))
-    together = texts.groupBy("group", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("n_texts")).filter(
-        F.col("n_texts") >= support)
+    largest = sizes.agg(F.max("n_e")).first()[0] or support
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(_WORD), F.lit(0)))
-    terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    everywhere = docs.select(F.explode(words).alias("term"), F.lit(1).alias("in_all"), F.lit(0).alias("in_held"))
+
+    def content(n: Column) -> Column:
+        return F.log(F.lit(float(documents)) / n)
+
+    def may_reach(n_e: Column) -> Column:
+        return content(F.col("n_t")) >= (generalise - 1e-9) * content(n_e)
+
+    terms = everywhere.unionAll(near.select("term", F.lit(0), F.lit(1))).groupBy("term").agg(
+        F.sum("in_all").alias("n_t"), F.sum("in_held").alias("n_held")).filter(
+        (F.col("n_held") >= support) & (F.col("n_t") > 0) & may_reach(F.lit(largest))).select("term", "n_t")
+    beside = stored(near.select("row", "term").join(terms, "term").join(groups.join(sizes, "group"), "row").filter(
+        may_reach(F.col("n_e"))), "words-beside")
+    texts = beside.groupBy("group", "n_e", "term", "n_t", "copy_of").agg(F.count("*").alias("n"))
+    together = texts.groupBy("group", "n_e", "term", "n_t").agg(F.sum("n").alias("n_et"), F.count("*").alias("n_texts")).filter(
+        F.col("n_texts") >= support)
     pmi = F.log(F.col("n_et") * F.lit(float(documents)) / (F.col("n_e") * F.col("n_t")))
-    content = F.log(F.lit(float(documents)) / F.col("n_e"))
-    judged = together.join(sizes, "group").join(terms, "term").withColumn("share", pmi / content).filter(
+    judged = together.withColumn("share", pmi / content(F.col("n_e"))).filter(
         F.col("share") >= generalise).select("group", "term", "share")
-    disclosed = groups.join(judged, "group").groupBy("row", "term").agg(F.max("share").alias("share"))
-    return near.join(disclosed, ["row", "term"]).select("row", "start", "end", "share")
+    disclosed = beside.select("row", "group", "term").join(judged, ["group", "term"]).groupBy("row", "term").agg(F.max("share").alias("share"))
+    return near.join(disclosed, ["row", "term"]).select("row", F.explode("places").alias("place"), "share").select(
+        "row", "place.start", "place.end", "share")
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
@@ -154,13 +172,16 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     in ``support`` different texts of it, so that copies alone show nothing; one of all documents is disclosed by none. Repeated rows count as documents and come back repeated; ids may be null;
     other columns are not read. An empty table gives an empty result.
     """
-    found = stored(docs.select(
+    # Only documents with an entity are written; the others keep their text, and are read again.
+    base, empty = base_spans(F.coalesce(F.col(text_col), F.lit(""))), F.array().cast(_SPANS)
+    held = stored(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("_id"), F.col(text_col).alias("text"),
-        base_spans(F.coalesce(F.col(text_col), F.lit(""))).alias("base")), "personal-data")
-    terms = disclosing_terms(docs, found, text_col, support, generalise).groupBy("row").agg(
+        base.alias("base")).filter("size(base) > 0"), "personal-data")
+    terms = disclosing_terms(docs, held, text_col, support, generalise).groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
     none = F.array().cast("array<struct<start:int,end:int,share:double>>")
-    both = found.join(terms, "row", "left").withColumn("terms", F.coalesce("terms", none))
+    both = held.join(terms, "row", "left").select("_id", "text", "base", F.coalesce("terms", none).alias("terms")).unionAll(
+        docs.filter(F.size(base) == 0).select(F.col(id_col), F.col(text_col), empty, none))
     counts = [F.size(F.filter("base", _of_kind(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
     added = F.transform("terms", lambda t: F.struct(
         t["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), t["end"].alias("end"), F.lit(TERM).alias("kind"),

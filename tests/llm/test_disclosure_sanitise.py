@@ -98,6 +98,19 @@ def test_copies_alone_disclose_nothing(spark):
     assert not any(r["terms"] for r in out)
 
 
+def test_only_what_may_disclose_is_written(spark, monkeypatch):
+    """Texts without an entity are not written, and words that stand everywhere do not meet the entities."""
+    written = {}
+    monkeypatch.setattr(P, "stored", lambda df, label, stored=P.stored: written.setdefault(label, stored(df, label)))
+    rows = [(i, f"common words and zebulon writes from ann@host.org, says page {i}") for i in range(4)]
+    rows += [(10 + i, f"common words and more of them on page {i}") for i in range(100)]
+    out = {r["doc_id"]: r for r in P.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(out) == 104 and all(out[10 + i]["sanitised"] == rows[4 + i][1] for i in range(100))
+    assert written["personal-data"].count() == 4
+    assert {r["term"] for r in written["words-beside"].collect()} == {"zebulon", "writes", "from", "says"}
+    assert all({rows[i][1][t["start"]:t["end"]] for t in out[i]["terms"]} == {"zebulon", "writes", "from", "says"} for i in range(4))
+
+
 def test_no_documents_and_no_python(no_documents, odd_documents):
     assert P.find_personal_data(no_documents).count() == 0
     plan = P.find_personal_data(odd_documents)._jdf.queryExecution().executedPlan().toString()
