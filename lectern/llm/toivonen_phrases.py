@@ -24,7 +24,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import Shipped, mixed, stored
+from lectern.llm.common import LOWER, Shipped, mixed, span_hashes, stored, word_bounds
+from lectern.session import small_batches
 
 MIN_COUNT = 10
 MAX_WORDS = 3
@@ -33,35 +34,36 @@ SAMPLE = 0.25
 TABLE_BITS = 26
 _SLICE_BITS = 20
 _BLOCK_WORDS = 1 << 17
-_BLOCK_BYTES = 2 << 20
+_BLOCK_BYTES = 1 << 20
 _HELD_ROWS = 1 << 20
+_ROWS_AT_ONCE = 2000
 _HELD_WORDS = 1 << 18
 _NO_LANG = "und"
 
-#: The characters that end a piece of text; `.` stands for all of them after this translation.
+#: The characters that end a piece of text; blanks and tabs stand between its words.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
-_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + PIECE_ENDS, b"abcdefghijklmnopqrstuvwxyz" + b"." * len(PIECE_ENDS))
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + PIECE_ENDS, b"abcdefghijklmnopqrstuvwxyz" + b" " * len(PIECE_ENDS))
+_IS_END = np.isin(np.arange(256), np.frombuffer(PIECE_ENDS, np.uint8))
+_IN_WORD = ~_IS_END & ~np.isin(np.arange(256), np.frombuffer(b" \t", np.uint8))
 _FACTORS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
 class _Words(dict):
-    """Numbers the words of one language from 1; 0 is the end of a piece. Keeps a 64-bit hash of each."""
-
-    def __init__(self, lang: str):
-        super().__init__({b".": 0})
-        self.lang = lang.encode() + b"\t"
-        self.hashes = np.zeros(1, np.uint64)
+    """Numbers the words of one language from 0."""
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
         return number
 
-    def hashed(self) -> np.ndarray:
-        have = len(self.hashes)
-        if have < len(self):
-            fresh = [xxhash.xxh64_intdigest(self.lang + w) for w in list(self)[have:]]
-            self.hashes = np.concatenate((self.hashes, np.array(fresh, np.uint64)))
-        return self.hashes
+
+def hashed_words(lang: str, block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of a block, and whether the next word is of the same piece."""
+    data = np.frombuffer(block, np.uint8)
+    starts, ends = word_bounds(_IN_WORD[data], np.zeros(1, np.int64))
+    piece = np.searchsorted(np.flatnonzero(_IS_END[data]), starts)
+    follows = np.zeros(len(starts), bool)
+    follows[:-1] = piece[1:] == piece[:-1]
+    return mixed(span_hashes(LOWER[data], starts, ends) ^ np.uint64(xxhash.xxh64_intdigest(lang.encode()))), follows
 
 
 def phrase_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -169,19 +171,20 @@ def _walk(batches: Iterator[pa.RecordBatch], choose: Callable, by_text: bool) ->
 
     for batch in batches:
         for lang, block in _blocks(batch):
-            tokens = block.translate(_PLAIN).replace(b".", b" . ").split()
-            for at in range(0, len(tokens), _BLOCK_WORDS):
+            every, follows = hashed_words(lang, block)
+            tokens = block.translate(_PLAIN).split() if by_text else []
+            for at in range(0, len(every), _BLOCK_WORDS):
                 # Two words more, for the phrases that begin at the last places.
-                vocabulary = words.setdefault(lang, _Words(lang))
-                some = tokens[at:at + _BLOCK_WORDS + MAX_WORDS - 1]
-                ids = np.fromiter(map(vocabulary.__getitem__, some), np.int64, len(some))
-                ids = np.concatenate((ids, np.zeros(MAX_WORDS - 1, np.int64)))
-                n = min(_BLOCK_WORDS, len(some))
-                each = vocabulary.hashed()[ids]
+                some = slice(at, at + _BLOCK_WORDS + MAX_WORDS - 1)
+                n = min(_BLOCK_WORDS, len(every) - at)
+                each, on = (np.concatenate((x[some], np.zeros(MAX_WORDS - 1, x.dtype)))[:n + MAX_WORDS - 1] for x in (every, follows))
                 hashes = [phrase_hashes(each, k)[:n] for k in range(1, MAX_WORDS + 1)]
-                whole = [ids[:n] > 0]
+                whole = [np.ones(n, bool)]
                 for k in range(1, MAX_WORDS):
-                    whole.append(whole[-1] & (ids[k:n + k] > 0))
+                    whole.append(whole[-1] & on[k - 1:n + k - 1])
+                if by_text:
+                    ids = np.fromiter(map(words.setdefault(lang, _Words()).__getitem__, tokens[some]), np.int64)
+                    ids = np.concatenate((ids, np.zeros(MAX_WORDS - 1, np.int64)))
                 for k, chosen in enumerate(choose(each, hashes, whole), 1):
                     places = np.flatnonzero(chosen)
                     if len(places):
@@ -190,7 +193,7 @@ def _walk(batches: Iterator[pa.RecordBatch], choose: Callable, by_text: bool) ->
                             key = sum(ids[places + i].astype(np.uint64) << np.uint64(21 * i) for i in range(k))
                         sums.setdefault((lang, k), _Summed()).add(key)
                 if by_text:
-                    sums.setdefault((lang, 0), _Summed()).add(np.zeros(int(whole[0].sum()), np.uint64))
+                    sums.setdefault((lang, 0), _Summed()).add(np.zeros(n, np.uint64))
                 many_words = sum(map(len, words.values())) > _HELD_WORDS
                 if many_words or sum(s.held for s in sums.values()) > _HELD_ROWS:
                     yield from flushed()
@@ -228,6 +231,11 @@ def frequent_hashes(docs: DataFrame, min_count: int = MIN_COUNT, sample: float =
     """(k, h) of every phrase hash of ``docs`` (lang, text) that stands at ``min_count`` places or more."""
     spark = docs.sparkSession
     lowered = max(1, int(min_count * sample * 0.8))
+    with small_batches(spark, _ROWS_AT_ONCE):
+        return _frequent_hashes(spark, docs, min_count, sample, seed, lowered)
+
+
+def _frequent_hashes(spark: SparkSession, docs: DataFrame, min_count: int, sample: float, seed: int, lowered: int) -> DataFrame:
     proposed = stored(_counted(docs.sample(sample, seed), lambda each, hashes, whole: [whole[0], whole[1]]).filter(
         F.col("n") >= lowered).select("k", "h"), "phrase-proposals")
     words_known, pairs_known = (_table(proposed.filter(F.col("k") == k)) for k in (1, 2))
@@ -285,7 +293,8 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     phrase inside a longer one that stands at half its places or more is left out. Ties go by a and then by the phrase's
     bytes. Input as in ``phrase_counts``.
     """
-    counts = stored(phrase_counts(docs, lang_col, text_col, min_count, sample, seed), "phrases")
+    with small_batches(docs.sparkSession, _ROWS_AT_ONCE):
+        counts = stored(phrase_counts(docs, lang_col, text_col, min_count, sample, seed), "phrases")
     longer = counts.filter("k >= 2").select("lang", "phrase", F.col("n").alias("a"), "k")
     cuts = longer.select("*", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut")).select(
         "lang", "phrase", "a", "k", "cut", F.expr("array_join(slice(split(phrase, ' '), 1, cut), ' ')").alias("left"),

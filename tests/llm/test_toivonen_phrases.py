@@ -83,3 +83,15 @@ def test_odd_documents(spark, odd_documents, no_documents):
     rows = [(r["lang"], r["text"]) for r in docs.collect()]
     assert sorted(map(tuple, P.collocations(docs, min_count=2).collect())) == plain(rows, min_count=2)
     assert P.collocations(no_documents.selectExpr("*", "'en' AS lang")).collect() == []
+
+
+def test_words_of_a_block_are_hashed_together():
+    """As many hashes as words of the plain split, equal for equal words of a language, and whether a piece goes on."""
+    block = "One two,\tthree  ÉTÉ one.\nTWO;\x0b;two x\x1fy  . one".encode()
+    pieces = [x.split() for x in "one two|three  ÉTÉ one||two|||two x\x1fy  | one".encode().split(b"|")]
+    words = [w for piece in pieces for w in piece]
+    hashes, follows = P.hashed_words("en", block)
+    assert follows.tolist() == [n < len(piece) - 1 for piece in pieces for n in range(len(piece))]
+    assert len(hashes) == len(words) and len(set(hashes.tolist())) == len(set(words))
+    assert all((hashes[i] == hashes[j]) == (v == w) for i, v in enumerate(words) for j, w in enumerate(words))
+    assert not set(hashes.tolist()) & set(P.hashed_words("de", block)[0].tolist())
